@@ -74,13 +74,15 @@ def top_n(df: DataFrame, by: str, n: int, tie: Sequence[str] = (), ascending: bo
           nan_last: bool = True) -> DataFrame:
     """Ordered sample: ORDER BY by (DESC by default), tie... LIMIT n.
 
-    NULLs sort last; with ``nan_last`` a NaN also sorts after every number
-    (Spark orders NaN above +inf). Plans as TakeOrderedAndProject: each task
+    NULLs sort last; with ``nan_last`` a NaN sorts after every number and
+    before NULL (Spark alone orders NaN above +inf, i.e. first in a
+    descending sort). Plans as TakeOrderedAndProject: each task
     keeps n rows, no full sort.
     """
     keys: list[Column] = []
     if nan_last and df.schema[by].dataType.typeName() in ("double", "float"):
-        keys.append(F.coalesce(F.isnan(F.col(by)), F.lit(False)).asc())
+        # numbers first, then NaN, then NULL
+        keys.append(F.when(F.col(by).isNull(), F.lit(2)).when(F.isnan(F.col(by)), F.lit(1)).otherwise(F.lit(0)).asc())
     keys.append(F.col(by).asc_nulls_last() if ascending else F.col(by).desc_nulls_last())
     keys += [F.col(t).asc_nulls_last() for t in tie]
     return df.orderBy(*keys).limit(n)

@@ -50,10 +50,19 @@ def reject_reason(payload: Column, expected: Column | None = None) -> Column:
     return out
 
 
+def is_json_array(text: Column) -> Column:
+    """True when the text is a JSON array (``from_json`` alone would also
+    accept a single object as a one-element array)."""
+    return F.coalesce(F.schema_of_variant(F.try_parse_json(text)).startswith("ARRAY"), F.lit(False))
+
+
 def split_rejects(payloads: DataFrame, array_json: Column | None = None, element: StructType | None = None,
                   payload_col: str = "payload") -> tuple[DataFrame, DataFrame]:
     """(good payloads, rejects with a ``reason``)."""
-    expected = None if array_json is None else F.from_json(array_json, ArrayType(element))
+    expected = None
+    if array_json is not None:
+        parsed = F.from_json(array_json, ArrayType(element))
+        expected = F.when(is_json_array(array_json), parsed)
     tagged = payloads.withColumn("_reason", reject_reason(F.col(payload_col), expected))
     good = tagged.filter(F.col("_reason").isNull()).drop("_reason")
     rejects = tagged.filter(F.col("_reason").isNotNull()).withColumnRenamed("_reason", "reason")
