@@ -97,39 +97,49 @@ def _value_at_rank(x: DataFrame, k: int, lo: float, hi: float, below: int,
 def exact_medians(df: DataFrame, cols: Sequence[str], fanout: int = 1024,
                   final_rows: int = 50_000) -> dict[str, float | None]:
     """Exact median (mean of the two middle values for an even count) of each
-    column, NULL and NaN skipped; None for a column without values."""
+    column, NULL and NaN skipped; None for a column without values.
+
+    The columns are materialised once (persisted, recomputable from lineage
+    if an executor is lost) and every selection pass reads that copy.
+    """
     if not cols:
         return {}
-    def present(c):
-        v = F.col(c).cast("double")
+    names = [f"_m{i}" for i in range(len(cols))]
+    base = df.select(*[F.col(c).cast("double").alias(n) for c, n in zip(cols, names)]).persist(
+        StorageLevel.MEMORY_AND_DISK)
+
+    def present(n):
+        v = F.col(n)
         return F.when(v.isNotNull() & ~F.isnan(v), v)
 
-    stats = df.agg(*[e for c in cols for e in (
-        F.count(present(c)).alias(f"n_{c}"),
-        F.min(present(c)).alias(f"lo_{c}"),
-        F.max(present(c)).alias(f"hi_{c}"))]).first()
-    out: dict[str, float | None] = {}
-    for c in cols:
-        n, lo, hi = stats[f"n_{c}"], stats[f"lo_{c}"], stats[f"hi_{c}"]
-        if not n:
-            out[c] = None
-            continue
-        x = (df.select(F.col(c).cast("double").alias("x"))
-             .filter(F.col("x").isNotNull() & ~F.isnan(F.col("x")))
-             .persist(StorageLevel.MEMORY_AND_DISK))
-        try:
+    try:
+        stats = base.agg(*[e for n in names for e in (
+            F.count(present(n)).alias(f"n{n}"), F.min(present(n)).alias(f"lo{n}"),
+            F.max(present(n)).alias(f"hi{n}"))]).first()
+        out: dict[str, float | None] = {}
+        for c, name in zip(cols, names):
+            n, lo, hi = stats[f"n{name}"], stats[f"lo{name}"], stats[f"hi{name}"]
+            if not n:
+                out[c] = None
+                continue
+            x = base.select(F.col(name).alias("x")).filter(F.col("x").isNotNull() & ~F.isnan(F.col("x")))
             k_lo, k_hi = (n - 1) // 2, n // 2
+            if n <= final_rows:
+                # small column: one bounded top-k job returns both middle values
+                mid = [r.x for r in x.orderBy("x").offset(k_lo).limit(k_hi - k_lo + 1).collect()]
+                out[c] = float(mid[0] + (mid[-1] - mid[0]) * 0.5)
+                continue
             v_lo = _value_at_rank(x, k_lo, lo, hi, 0, fanout, final_rows)
             if k_hi == k_lo:
                 out[c] = float(v_lo)
-            else:
-                nxt = x.agg(F.count(F.when(F.col("x") <= F.lit(v_lo), F.lit(1))).alias("le"),
-                            F.min(F.when(F.col("x") > F.lit(v_lo), F.col("x"))).alias("nxt")).first()
-                v_hi = v_lo if nxt.le > k_hi else nxt.nxt
-                out[c] = float(v_lo + (v_hi - v_lo) * 0.5)
-        finally:
-            x.unpersist()
-    return out
+                continue
+            nxt = x.agg(F.count(F.when(F.col("x") <= F.lit(v_lo), F.lit(1))).alias("le"),
+                        F.min(F.when(F.col("x") > F.lit(v_lo), F.col("x"))).alias("nxt")).first()
+            v_hi = v_lo if nxt.le > k_hi else nxt.nxt
+            out[c] = float(v_lo + (v_hi - v_lo) * 0.5)
+        return out
+    finally:
+        base.unpersist()
 
 
 def approx_medians(df: DataFrame, cols: Sequence[str], accuracy: int = 10_000) -> dict[str, float | None]:
@@ -153,9 +163,12 @@ def median_fill(df: DataFrame, cols: Sequence[str], approx: bool = False,
     return out
 
 
-def above_median_flag(df: DataFrame, col: str, name: str, approx: bool = False) -> DataFrame:
-    """``name = (col > median(col))`` as 0/1 (strict; a NULL median gives 0)."""
-    med = (approx_medians(df, [col]) if approx else exact_medians(df, [col]))[col]
+def above_median_flag(df: DataFrame, col: str, name: str, approx: bool = False,
+                      median: float | None = None) -> DataFrame:
+    """``name = (col > median(col))`` as 0/1 (strict; a NULL median gives 0).
+    ``median`` may be passed when it was computed together with others."""
+    med = median if median is not None else (
+        approx_medians(df, [col]) if approx else exact_medians(df, [col]))[col]
     if med is None:
         return df.withColumn(name, F.lit(0))
     return df.withColumn(name, F.coalesce((F.col(col) > F.lit(med)).cast("int"), F.lit(0)))

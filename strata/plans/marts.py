@@ -18,7 +18,8 @@ from strata.functions.classify import flag, in_groups
 from strata.functions.clean import safe_double, safe_year, text_timestamp
 from strata.functions.keys import dotted, first_present, prefix, surrogate_key
 from strata.operators.change import lag_delta
-from strata.operators.features import above_median_flag, entity_profile, latest_non_null, median_fill
+from strata.operators.features import (above_median_flag, entity_profile, exact_medians, latest_non_null,
+                                       median_fill)
 from strata.operators.joins import inline_table, left_any_match, lookup, star
 from strata.operators.ordinal import encode_labels
 from strata.operators.pivot import pivot_max
@@ -27,6 +28,7 @@ from strata.operators.profile import (best_worst, category_share, count_by, cove
                                       table_counts, top_n)
 from strata.operators.rollup import distinct_rows, rollup_measures
 from strata.operators.stage import at_least, nan_as_null, non_empty, not_null, stage
+from strata.session import ensure_checkpoint_dir
 
 # ---------------------------------------------------------------------------
 # Fixed values that must equal the reference's for identical results.
@@ -253,9 +255,15 @@ def features(training: DataFrame, exclude_label_source: bool = False) -> DataFra
                           extra_mean={"avg_indicators_measured": "indicators_measured"})
     attrs = latest_non_null(t, "country_code", ["year", "goal_code"],
                             ["country_name", "region", "income_level", *ECONOMIC_COLUMNS])
-    feats = prof.join(attrs, "country_code", "left")
-    feats = median_fill(feats, ECONOMIC_COLUMNS)
-    feats = above_median_flag(feats, "avg_yoy_change", "on_track_2030")
+    # one row per (country, goal): materialised once in the shared checkpoint
+    # folder, so the median and label passes below read it instead of
+    # recomputing the facts (and the copy survives executor loss)
+    ensure_checkpoint_dir(training.sparkSession)
+    feats = prof.join(attrs, "country_code", "left").checkpoint(eager=True)
+    # the target's median is taken before the fills, which do not touch it
+    meds = exact_medians(feats, [*ECONOMIC_COLUMNS, "avg_yoy_change"])
+    feats = median_fill(feats, ECONOMIC_COLUMNS, medians=meds)
+    feats = above_median_flag(feats, "avg_yoy_change", "on_track_2030", median=meds["avg_yoy_change"])
     feats = encode_labels(feats, ["region", "income_level"], missing=UNKNOWN)
     return feats.withColumnRenamed("income_level_encoded", "income_encoded")
 

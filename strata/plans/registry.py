@@ -590,13 +590,15 @@ def q_feature_table(spark, sf):
 
 
 def q_forest_scores(spark, sf):
-    feats = _features(spark, sf).persist()
+    # materialised once in the shared checkpoint folder: training and scoring
+    # both read it, and it survives the loss of an executor
+    feats = _features(spark, sf).checkpoint(eager=True)
     _model, scored, _acc, _imp = marts.train_and_score(feats)
     return _round(sinks.prediction_extract(scored, for_table=True, predicted_at=EXTRACTED_AT))
 
 
 def q_forest_importance(spark, sf):
-    feats = _features(spark, sf).persist()
+    feats = _features(spark, sf).checkpoint(eager=True)
     _model, _scored, _acc, imp = marts.train_and_score(feats)
     return _round(imp)
 
