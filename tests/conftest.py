@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -14,7 +15,8 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[*]", app="strata-tests", shuffle_partitions=8)
+    s = build_session("local[*]", app="strata-tests", shuffle_partitions=8,
+                      conf={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="strata-wh-")})
     yield s
 
 

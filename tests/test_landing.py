@@ -20,6 +20,11 @@ def test_catalogues(spark, tmp_path):
                              {"code": 2, "title": "Two", "description": None}])
     goals = landing.flatten_goals(landing.read_payload_files(spark, d)).collect()
     assert sorted((r.goal_code, r.goal_description) for r in goals) == [("1", "d1"), ("17", ""), ("2", "")]
+    tg = str(tmp_path / "targets")
+    _write(tg, "t.json", [{"code": "1.2", "title": "T", "description": "d"}, {"code": "17.19", "title": "U"}])
+    targets = landing.flatten_targets(landing.read_payload_files(spark, tg)).collect()
+    assert sorted((r.target_code, r.goal_code, r.target_description) for r in targets) == [
+        ("1.2", "1", "d"), ("17.19", "17", "")]
     t = str(tmp_path / "ind")
     _write(t, "ind.json", [{"code": "1.2.1", "description": "x"}, {"code": "17.1"}])
     ind = landing.flatten_indicators(landing.read_payload_files(spark, t)).collect()

@@ -139,3 +139,17 @@ def test_csv_sink_booleans_and_nulls(spark):
     assert text[0] == "k,b,s" and sorted(text[1:]) == ["1,True,", "2,False,x"]
     status = sinks.export_all(spark, {"ok": (df, scratch_path(spark, "e")), "bad": (df, "/proc/forbidden/x")})
     assert {r.table_name: r.status for r in status.collect()} == {"ok": "ok", "bad": "error"}
+
+
+def test_table_sink_overwrite_namespace_and_comment(spark):
+    from strata.schemas import RAW_DESCRIPTIONS
+    path = scratch_path(spark, "table")
+    sinks.write_table(spark.range(5), path=path)
+    sinks.write_table(spark.range(3), path=path)              # replace-all, not append
+    assert spark.read.parquet(path).count() == 3
+    sinks.ensure_namespace(spark, "raw")
+    sinks.ensure_namespace(spark, "raw")                      # idempotent
+    sinks.write_table(spark.range(2), table="raw.sdg_goals", comment=RAW_DESCRIPTIONS["sdg_goals"])
+    assert spark.table("raw.sdg_goals").count() == 2
+    info = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED raw.sdg_goals").collect()}
+    assert info.get("Comment") == RAW_DESCRIPTIONS["sdg_goals"]
