@@ -10,18 +10,39 @@ from pyspark.sql import functions as F
 
 def rollup_measures(df: DataFrame, keys: Sequence, distinct: str, measure: str,
                     names: Sequence[str] = ("indicators_measured", "avg_indicator_value",
-                                            "min_indicator_value", "max_indicator_value")) -> DataFrame:
+                                            "min_indicator_value", "max_indicator_value"),
+                    partition_by: Sequence[str] | None = None) -> DataFrame:
     """GROUP BY keys: COUNT(DISTINCT distinct), AVG, MIN, MAX of measure.
 
-    Plain ``groupBy().agg`` keeps partial (map-side) aggregation, so a hot key
-    is combined inside each map task before the shuffle.
+    Default: one ``groupBy().agg``; Spark plans the distinct count as an
+    aggregation on (keys, distinct) followed by one on keys, each with
+    map-side partial aggregation, so a hot key is combined inside each map
+    task before it is shuffled.
+
+    ``partition_by`` (a subset of ``keys``) spells the same two levels out and
+    hash-partitions the first level's output by those columns only. Later
+    operators keyed by a superset of them (the second level, a join on them, a
+    window partitioned by them) then need no further exchange. The first level
+    has already combined every (key, distinct value) pair, so even a key
+    holding a third of all rows arrives as a bounded number of rows.
     """
     n_distinct, n_avg, n_min, n_max = names
-    return df.groupBy(*keys).agg(
-        F.count_distinct(distinct).alias(n_distinct),
-        F.avg(measure).alias(n_avg),
-        F.min(measure).alias(n_min),
-        F.max(measure).alias(n_max),
+    if not partition_by:
+        return df.groupBy(*keys).agg(
+            F.count_distinct(distinct).alias(n_distinct),
+            F.avg(measure).alias(n_avg),
+            F.min(measure).alias(n_min),
+            F.max(measure).alias(n_max),
+        )
+    m = F.col(measure)
+    level1 = (df.groupBy(*keys, distinct)
+              .agg(F.sum(m).alias("_s"), F.count(m).alias("_n"), F.min(m).alias("_mn"), F.max(m).alias("_mx"))
+              .repartition(*partition_by))
+    return level1.groupBy(*keys).agg(
+        F.count(F.col(distinct)).alias(n_distinct),
+        F.try_divide(F.sum("_s"), F.sum("_n")).alias(n_avg),
+        F.min("_mn").alias(n_min),
+        F.max("_mx").alias(n_max),
     )
 
 

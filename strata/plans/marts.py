@@ -196,7 +196,10 @@ def fact_progress(observations: DataFrame, countries: DataFrame, with_name: bool
         *([F.col("geo_area_name").alias("country_name")] if with_name else []),
         dotted(F.col("indicator_code"), 1).alias("goal_code"),
         F.col("year"), F.col("indicator_code"), F.col("value"))
-    rolled = rollup_measures(g, keys, "indicator_code", "value").filter(F.col("year").isNotNull())
+    # partitioned by country once after the first aggregation level: the
+    # distinct-count level, the country join and the (country, goal) window reuse it
+    rolled = rollup_measures(g, keys, "indicator_code", "value",
+                             partition_by=["country_code"]).filter(F.col("year").isNotNull())
     take = ["region", "income_level"] + (["country_name"] if name_from_dimension and not with_name else [])
     joined = lookup(rolled, countries, "country_code", take)
     changed = lag_delta(joined, ["country_code", "goal_code"], ["year"], "avg_indicator_value",
