@@ -37,9 +37,17 @@ def assemble(df: DataFrame, features: Sequence[str], name: str = "features") ->
 
 
 def fit_forest(train: DataFrame, label: str, trees: int = 100, depth: int = 10, seed: int = 42,
-               features: str = "features"):
+               features: str = "features", max_memory_mb: int = 1024, cache_node_ids: bool = True):
+    """MLlib random forest (bootstrap, sqrt feature subsets per split).
+
+    ``max_memory_mb`` lets one pass over the data grow more nodes at once and
+    ``cache_node_ids`` keeps each row's node between passes (checkpointed in
+    the shared folder every 10 iterations), both cutting the passes a deep
+    forest needs; neither changes the model's parameters.
+    """
     rf = RandomForestClassifier(labelCol=label, featuresCol=features, numTrees=trees,
-                                maxDepth=depth, seed=seed)
+                                maxDepth=depth, seed=seed, maxMemoryInMB=max_memory_mb,
+                                cacheNodeIds=cache_node_ids)
     return rf.fit(train)
 
 

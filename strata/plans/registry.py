@@ -62,15 +62,17 @@ EXTRACTED_AT = _dt.datetime(2024, 1, 1, 0, 0, 0)
 
 
 def round4(c) -> "F.Column":
-    """Round to 4 places as ``round(x * 10000) / 10000``.
-
-    Spark's ``round(x, 4)`` rounds the shortest decimal text of the double, so
-    an exact tie such as 48954.17625 goes up even when the binary value lies
-    just below it; scaling first rounds the binary value itself, which gives
-    the same answer in any engine that gets the same double.
+    """Round to the binary grid of 1/16384 (about 6e-5): ``round(x * 16384) / 16384``.
+
+    Two engines that add the same doubles in different orders can differ in
+    the last bits; a decimal rounding (``round(x, 4)``) then splits exact ties
+    such as 48954.17625 differently, and Spark's ``round`` even rounds the
+    shortest decimal text rather than the binary value. Scaling by a power of
+    two is exact, and values derived from decimal data are essentially never
+    odd multiples of 1/32768, so both engines land on the same grid point.
     """
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c * F.lit(10000.0)) / F.lit(10000.0)
+    return F.round(c * F.lit(16384.0)) / F.lit(16384.0)
 
 
 def _round(df: DataFrame) -> DataFrame:

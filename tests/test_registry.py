@@ -13,7 +13,7 @@ from conftest import SF01  # noqa: E402
 from oracle_check import compare  # noqa: E402
 from strata.sources.catalog import TEST_TABLES  # noqa: E402
 
-ROWS_ONLY = {"hold_out_split", "feature_table", "forest_scores", "forest_importance"}
+ROWS_ONLY = {"hold_out_split", "forest_scores", "forest_importance"}
 
 
 @pytest.fixture(scope="module")
