@@ -422,7 +422,8 @@ def q_first_n_codes(spark, sf):
 
 def q_reject_report(spark, sf):
     e = _t(spark, sf, "events")
-    payload = F.when(F.col("event_type") == "error", F.substring("props", 1, 4)).otherwise(F.col("props"))
+    # error events land with a malformed document: ':' written as '='
+    payload = F.when(F.col("event_type") == "error", F.replace("props", F.lit(":"), F.lit("="))).otherwise(F.col("props"))
     tagged = e.select("event_type", landing.reject_reason(payload).alias("reason"))
     return tagged.groupBy("event_type", F.coalesce("reason", F.lit("ok")).alias("status")).agg(
         F.count(F.lit(1)).alias("rows"))

@@ -211,13 +211,30 @@ def page_report(payloads: DataFrame, series: str) -> DataFrame:
     ).withColumn("missing_pages", F.col("declared_pages") - F.col("landed_pages"))
 
 
-def missing_pages(payloads: DataFrame, series: str) -> DataFrame:
-    """One row per (series, page) declared by a header but not landed."""
+def missing_pages(payloads: DataFrame, series: str, block: int = 1024) -> DataFrame:
+    """One row per (series, page) declared by a header but not landed.
+
+    Pages are grouped in blocks of ``block`` pages: landed pages are counted
+    per (series, block), and only blocks with a gap are expanded page by page
+    and anti-joined with the landed pages. A series with millions of pages is
+    therefore spread over its blocks instead of being expanded in one task,
+    and the expansion is bounded by ``block`` times the number of gapped blocks.
+    """
     h = payloads.select(F.col(series).alias("series"), page_header(F.col("payload")).alias("h"))
-    landed = h.select("series", F.col("h.page").alias("page")).distinct()
+    landed = h.select("series", F.col("h.page").alias("page")).filter(F.col("page") >= 1).distinct()
+    b = F.lit(block).cast("long")
+    per_block = landed.groupBy("series", ((F.col("page") - 1) / b).cast("long").alias("blk")).agg(
+        F.count(F.lit(1)).alias("landed"))
     declared = (h.groupBy("series").agg(F.max("h.pages").alias("pages"))
-                .select("series", F.explode(F.sequence(F.lit(1).cast("long"), F.col("pages"))).alias("page")))
-    return declared.join(landed, ["series", "page"], "left_anti")
+                .filter(F.col("pages") >= 1)
+                .select("series", "pages", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                                ((F.col("pages") - 1) / b).cast("long"))).alias("blk")))
+    gapped = (declared.join(per_block, ["series", "blk"], "left")
+              .withColumn("size", F.least(b, F.col("pages") - F.col("blk") * b))
+              .filter(F.coalesce(F.col("landed"), F.lit(0)) < F.col("size")))
+    candidates = gapped.select("series", F.explode(F.sequence(F.col("blk") * b + 1,
+                                                              F.col("blk") * b + F.col("size"))).alias("page"))
+    return candidates.join(landed, ["series", "page"], "left_anti")
 
 
 def payload_sizes(payloads: DataFrame, series: str, records: StructType = schemas.SERIES_ELEMENT) -> DataFrame:

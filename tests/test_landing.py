@@ -104,3 +104,13 @@ def test_first_n_codes_and_restrict(spark):
     codes = landing.first_n_codes(cat, "code", "pos", 5)
     assert sorted(r.code for r in codes.collect()) == ["c0", "c1", "c2", "c3", "c4"]
     assert landing.restrict(data, codes, "code").count() == 50
+
+
+def test_missing_pages_blocks(spark):
+    # one series declares 5000 pages and lands all but 3; another lands none of 3
+    import json as _json
+    rows = [("S", _json.dumps([{"page": p, "pages": 5000}, []])) for p in range(1, 5001) if p not in (7, 2048, 5000)]
+    rows.append(("T", _json.dumps([{"page": 0, "pages": 3}, []])))
+    payloads = spark.createDataFrame(rows, "series string, payload string")
+    got = sorted((r.series, r.page) for r in landing.missing_pages(payloads, "series", block=1024).collect())
+    assert got == [("S", 7), ("S", 2048), ("S", 5000), ("T", 1), ("T", 2), ("T", 3)]
