@@ -3,7 +3,7 @@
 The median is exact and distributed: a histogram-refinement selection finds
 the value at a given rank with a few passes that each return at most
 ``fanout`` bucket summaries to the driver; only when the bracket holds at most
-``final_rows`` values are they ordered (a bounded top-k). No step holds the
+``final_rows`` values are they ordered (a bounded top-k, at most 2 MB). No step holds the
 whole column in one task, unlike ``median()``/``percentile()`` whose final
 merge keeps every distinct value of the group in one place.
 """
@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.clean import as_column
@@ -33,13 +33,18 @@ def latest_value(value, order: Sequence) -> Column:
 
 def entity_profile(df: DataFrame, keys: Sequence[str], measure: str, order: Sequence[str],
                    change: str | None = None, period: str | None = None,
-                   extra_mean: Mapping[str, str] | None = None) -> DataFrame:
+                   extra_mean: Mapping[str, str] | None = None,
+                   carry: Sequence[str] = (), carry_order: Sequence[str] | None = None) -> DataFrame:
     """One grouped pass computing the per-entity profile of a measure.
 
     value_mean, value_std (sample, 0 when undefined), value_min, value_max,
     value_latest (last non-null by ``order``); with ``change``: avg_yoy_change
     and total_change (0 when no change is known); with ``period``: data_points
     (rows with a period) and latest_year; ``extra_mean`` adds named means.
+    ``carry`` adds, per column, its latest non-null value in the group by
+    ``carry_order`` and that ordering (``<col>__at``), so a coarser entity's
+    latest values can be rolled up from this result (:func:`roll_latest`)
+    without a second pass over the rows.
     """
     m = F.col(measure)
     aggs = [
@@ -56,10 +61,23 @@ def entity_profile(df: DataFrame, keys: Sequence[str], measure: str, order: Sequ
         aggs += [F.count(period).alias("data_points"), F.max(period).alias("latest_year")]
     for name, c in (extra_mean or {}).items():
         aggs.append(F.avg(c).alias(name))
+    if carry:
+        at = F.struct(*[F.col(o) for o in (carry_order or order)])
+        for c in carry:
+            present = F.when(F.col(c).isNotNull(), at)
+            aggs += [F.max_by(F.col(c), present).alias(c), F.max(present).alias(f"{c}__at")]
     keep = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     return df.filter(keep).groupBy(*keys).agg(*aggs)
 
 
+def roll_latest(profile: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """Per ``key``, each carried column's value with the greatest ``<col>__at``
+    (see ``entity_profile(carry=...)``): the latest non-null value over all the
+    key's groups, identical to :func:`latest_non_null` on the original rows."""
+    return (profile.filter(F.col(key).isNotNull())
+            .groupBy(key).agg(*[F.max_by(F.col(c), F.col(f"{c}__at")).alias(c) for c in cols]))
+
+
 def latest_non_null(df: DataFrame, key: str, order: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Per key, each column's latest non-null value, independently per column."""
     return (df.filter(F.col(key).isNotNull())
@@ -95,7 +113,7 @@ def _value_at_rank(x: DataFrame, k: int, lo: float, hi: float, below: int,
 
 
 def exact_medians(df: DataFrame, cols: Sequence[str], fanout: int = 1024,
-                  final_rows: int = 50_000) -> dict[str, float | None]:
+                  final_rows: int = 250_000) -> dict[str, float | None]:
     """Exact median (mean of the two middle values for an even count) of each
     column, NULL and NaN skipped; None for a column without values.
 
@@ -122,13 +140,10 @@ def exact_medians(df: DataFrame, cols: Sequence[str], fanout: int = 1024,
             if not n:
                 out[c] = None
                 continue
+            if n <= final_rows:
+                continue            # done below, all small columns in one job
             x = base.select(F.col(name).alias("x")).filter(F.col("x").isNotNull() & ~F.isnan(F.col("x")))
             k_lo, k_hi = (n - 1) // 2, n // 2
-            if n <= final_rows:
-                # small column: one bounded top-k job returns both middle values
-                mid = [r.x for r in x.orderBy("x").offset(k_lo).limit(k_hi - k_lo + 1).collect()]
-                out[c] = float(mid[0] + (mid[-1] - mid[0]) * 0.5)
-                continue
             v_lo = _value_at_rank(x, k_lo, lo, hi, 0, fanout, final_rows)
             if k_hi == k_lo:
                 out[c] = float(v_lo)
@@ -137,11 +152,36 @@ def exact_medians(df: DataFrame, cols: Sequence[str], fanout: int = 1024,
                         F.min(F.when(F.col("x") > F.lit(v_lo), F.col("x"))).alias("nxt")).first()
             v_hi = v_lo if nxt.le > k_hi else nxt.nxt
             out[c] = float(v_lo + (v_hi - v_lo) * 0.5)
+        small = [(i, c, stats[f"n{name}"]) for i, (c, name) in enumerate(zip(cols, names))
+                 if 0 < (stats[f"n{name}"] or 0) <= final_rows]
+        if small:
+            out.update(_small_medians(base, names, small))
         return out
     finally:
         base.unpersist()
 
 
+def _small_medians(base: DataFrame, names: Sequence[str], small) -> dict[str, float]:
+    """Both middle values of every column whose checked count is at most
+    ``final_rows``, in one job: the columns are stacked as (column, value) and
+    ranked in a window per column (each window holds one such column)."""
+    stacked = (base.select(F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(names[i]).alias("x"))
+                                              for i, _, _ in small])).alias("s"))
+               .select("s.c", "s.x").filter(F.col("x").isNotNull() & ~F.isnan(F.col("x"))))
+    lo_rank = F.create_map(*[e for i, _, n in small for e in (F.lit(i), F.lit((n - 1) // 2))])
+    hi_rank = F.create_map(*[e for i, _, n in small for e in (F.lit(i), F.lit(n // 2))])
+    ranked = stacked.withColumn("rn", F.row_number().over(Window.partitionBy("c").orderBy("x")) - 1)
+    picked = ranked.filter((F.col("rn") == lo_rank[F.col("c")]) | (F.col("rn") == hi_rank[F.col("c")]))
+    found: dict[int, dict[int, float]] = {}
+    for r in picked.collect():                 # at most two rows per column
+        found.setdefault(r.c, {})[r.rn] = r.x
+    out = {}
+    for i, c, n in small:
+        v_lo, v_hi = found[i][(n - 1) // 2], found[i][n // 2]
+        out[c] = float(v_lo + (v_hi - v_lo) * 0.5)
+    return out
+
+
 def approx_medians(df: DataFrame, cols: Sequence[str], accuracy: int = 10_000) -> dict[str, float | None]:
     row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy).alias(c) for c in cols]).first()
     return {c: (None if row[c] is None else float(row[c])) for c in cols}

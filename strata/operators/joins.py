@@ -83,3 +83,13 @@ def star(fact: DataFrame, dims: Sequence[tuple[DataFrame, Sequence[str] | str, S
     for dim, on, take in dims:
         out = lookup(out, dim, on, take)
     return out
+
+
+def recode(df: DataFrame, crosswalk: DataFrame, col: str, source: str = "source_code",
+           target: str = "target_code") -> DataFrame:
+    """Translate codes of ``col`` through a crosswalk table (``source -> target``);
+    codes without an entry are kept as they are. Used when two sources use
+    different code systems for the same entity before they are joined."""
+    cw = crosswalk.select(F.col(source).alias("_cw_source"), F.col(target).alias("_cw_target"))
+    out = df.join(cw, df[col] == cw["_cw_source"], "left")
+    return out.withColumn(col, F.coalesce(F.col("_cw_target"), F.col(col))).drop("_cw_source", "_cw_target")

@@ -112,3 +112,16 @@ def best_worst(df: DataFrame, key: str, score: str, n: int = 10, mean_name: str
     # the windows below run over at most n rows each (after the limit)
     return (best.withColumn("side", F.lit("best")).withColumn("position", F.row_number().over(w_best))
             .unionByName(worst.withColumn("side", F.lit("worst")).withColumn("position", F.row_number().over(w_worst))))
+
+
+def fanout(joined: DataFrame, left_keys: Sequence[str], name: str = "fanout_rows") -> DataFrame:
+    """Rows a join added beyond one per left row: ``count(*) - count(distinct left keys)``.
+    Zero means the join kept the left side's grain."""
+    return joined.agg((F.count(F.lit(1)) - F.count_distinct(*[F.col(k) for k in left_keys])).alias(name))
+
+
+def duplicate_keys(df: DataFrame, key: str, count_name: str = "copies") -> DataFrame:
+    """Keys that occur more than once (e.g. a surrogate id built from fewer
+    columns than the grain), with their number of copies."""
+    return (df.groupBy(key).agg(F.count(F.lit(1)).alias(count_name))
+            .filter(F.col(count_name) > F.lit(1)))

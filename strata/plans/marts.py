@@ -19,7 +19,7 @@ from strata.functions.clean import safe_double, safe_year, text_timestamp
 from strata.functions.keys import dotted, first_present, prefix, surrogate_key
 from strata.operators.change import lag_delta
 from strata.operators.features import (above_median_flag, entity_profile, exact_medians, latest_non_null,
-                                       median_fill)
+                                       median_fill, roll_latest)
 from strata.operators.joins import inline_table, left_any_match, lookup, star
 from strata.operators.ordinal import encode_labels
 from strata.operators.pivot import pivot_max
@@ -253,16 +253,18 @@ def features(training: DataFrame, exclude_label_source: bool = False) -> DataFra
     target is derived from ``avg_yoy_change``, which is also a feature.
     """
     t = nan_as_null(training)
+    attr_cols = ["country_name", "region", "income_level", *ECONOMIC_COLUMNS]
+    # one pass over the training rows: the (country, goal) profile also carries
+    # each attribute's latest non-null value by (year, goal); materialised once
+    # in the shared checkpoint folder (it survives executor loss), so the
+    # country roll-up, medians and label passes below read it, not the facts
+    ensure_checkpoint_dir(training.sparkSession)
     prof = entity_profile(t, ["country_code", "goal_code"], "avg_indicator_value", ["year"],
                           change="yoy_change", period="year",
-                          extra_mean={"avg_indicators_measured": "indicators_measured"})
-    attrs = latest_non_null(t, "country_code", ["year", "goal_code"],
-                            ["country_name", "region", "income_level", *ECONOMIC_COLUMNS])
-    # one row per (country, goal): materialised once in the shared checkpoint
-    # folder, so the median and label passes below read it instead of
-    # recomputing the facts (and the copy survives executor loss)
-    ensure_checkpoint_dir(training.sparkSession)
-    feats = prof.join(attrs, "country_code", "left").checkpoint(eager=True)
+                          extra_mean={"avg_indicators_measured": "indicators_measured"},
+                          carry=attr_cols, carry_order=["year", "goal_code"]).checkpoint(eager=True)
+    attrs = roll_latest(prof, "country_code", attr_cols)
+    feats = prof.drop(*attr_cols, *[f"{c}__at" for c in attr_cols]).join(attrs, "country_code", "left")
     # the target's median is taken before the fills, which do not touch it
     meds = exact_medians(feats, [*ECONOMIC_COLUMNS, "avg_yoy_change"])
     feats = median_fill(feats, ECONOMIC_COLUMNS, medians=meds)

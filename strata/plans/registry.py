@@ -38,7 +38,7 @@ from strata.operators.joins import left_any_match, lookup, star
 from strata.operators.ordinal import encode_labels
 from strata.operators.pivot import pivot_max
 from strata.operators.predict import CATEGORY_EDGES, CATEGORY_LABELS, hold_out
-from strata.operators.profile import (best_worst, category_share, count_by, coverage, null_profile,
+from strata.operators.profile import (best_worst, category_share, count_by, coverage, fanout, null_profile,
                                       table_counts, top_n)
 from strata.plans import marts
 from strata.session import scratch_path
@@ -251,6 +251,12 @@ def q_entity_dimension(spark, sf):
     return _round(marts.dim_countries(areas, countries, defaults))
 
 
+def q_entity_fanout(spark, sf):
+    """Fan-out of the any-match dimension join: rows out minus distinct areas."""
+    areas, countries, defaults = _entity_sources(spark, sf)
+    return fanout(marts.dim_countries(areas, countries, defaults), ["country_code", "country_name"])
+
+
 def q_any_match_join(spark, sf):
     o = _t(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     c = _t(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
@@ -628,6 +634,7 @@ QUERIES: dict[str, Query] = {
     "time_dimension": q_time_dimension,
     "category_dimension": q_category_dimension,
     "entity_dimension": q_entity_dimension,
+    "entity_fanout": q_entity_fanout,
     "any_match_join": q_any_match_join,
     "composite_key_join": q_composite_key_join,
     "star_denormalise": q_star_denormalise,

@@ -158,3 +158,28 @@ def test_latest_non_null_per_column(spark):
                                "k string, year long, s string, v double")
     r = latest_non_null(df, "k", ["year"], ["s", "v"]).first()
     assert (r.s, r.v) == ("z", 2.0)
+
+
+def test_fanout_duplicates_and_recode(spark):
+    from strata.operators.joins import recode
+    from strata.operators.profile import duplicate_keys, fanout
+    L = spark.createDataFrame([("X", "N"), ("Z", "Q")], "code string, name string")
+    R = spark.createDataFrame([("X", "M"), ("Y", "N")], "rcode string, rname string")
+    j = left_any_match(L, R, [("name", "rname"), ("code", "rcode")])
+    assert fanout(j, ["code", "name"]).first().fanout_rows == 1
+    d = spark.createDataFrame([("A_1_2000",), ("A_1_2000",), ("B_1_2000",)], "progress_id string")
+    assert [(r.progress_id, r.copies) for r in duplicate_keys(d, "progress_id").collect()] == [("A_1_2000", 2)]
+    facts = spark.createDataFrame([("AFG", 1.0), ("BRA", 2.0), ("XXX", 3.0)], "country_code string, v double")
+    cw = spark.createDataFrame([("AFG", "4"), ("BRA", "76")], "source_code string, target_code string")
+    assert sorted(r.country_code for r in recode(facts, cw, "country_code").collect()) == ["4", "76", "XXX"]
+
+
+def test_roll_latest_equals_latest_non_null(spark):
+    from strata.operators.features import roll_latest
+    rows = [("A", g, y, (None if (y + int(g)) % 3 == 0 else f"r{y}{g}"), (None if y % 2 else float(y * 10 + int(g))))
+            for g in ("1", "2", "3") for y in range(2000, 2006)]
+    df = spark.createDataFrame(rows + [("B", "1", 2000, None, None)], "c string, g string, y long, r string, v double")
+    prof = entity_profile(df, ["c", "g"], "v", ["y"], carry=["r", "v"], carry_order=["y", "g"])
+    got = {x.c: (x.r, x.v) for x in roll_latest(prof, "c", ["r", "v"]).collect()}
+    want = {x.c: (x.r, x.v) for x in latest_non_null(df, "c", ["y", "g"], ["r", "v"]).collect()}
+    assert got == want and got["B"] == (None, None)
