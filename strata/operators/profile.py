@@ -95,8 +95,11 @@ def category_share(df: DataFrame, col: str, labels: Sequence[str], name: str = "
     spark = df.sparkSession
     label_df = inline_table(spark, [(lab, i) for i, lab in enumerate(labels)],
                             f"{name} string, position int")
-    counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias(name)).agg(F.count(F.lit(1)).alias(count_name))
-    total = df.select(F.count(F.lit(1))).scalar()
+    # one pass over df: the per-category counts include the NULL group, and
+    # the total of all rows is the sum of those few counts
+    counts_all = df.groupBy(F.col(col).alias(name)).agg(F.count(F.lit(1)).alias(count_name))
+    total = counts_all.select(F.sum(count_name)).scalar()
+    counts = counts_all.filter(F.col(name).isNotNull())
     out = label_df.join(counts, name, "left").withColumn(count_name, F.coalesce(F.col(count_name), F.lit(0)))
     return out.select(name, "position", F.col(count_name).cast("long").alias(count_name),
                       (F.col(count_name) * F.lit(100.0) / total).alias(share_name))

@@ -312,13 +312,16 @@ def quality_report(spark: SparkSession, raw: Mapping[str, callable], marts: Mapp
     counts = table_counts(spark, raw, "raw").unionByName(table_counts(spark, marts, "marts"))
     listing = goals.select("goal_code", prefix("goal_title", 45).alias("goal_title"), "goal_category",
                            F.col("goal_code").try_cast("long").alias("position"))
+    # report frames are small (one row per table, goal or region); they are
+    # ordered for reading: codes numerically, regions by count
     return {
         "table_counts": counts,
-        "goal_listing": listing,
+        "goal_listing": listing.orderBy(F.col("position").asc_nulls_last(), "goal_code"),
         "coverage": coverage(progress, {"countries": "country_code", "goals": "goal_code", "years": "year"}, "year"),
         "by_goal": count_by(progress, "goal_code", "goal_code").withColumn(
-            "position", F.col("goal_code").try_cast("long")),
-        "by_region": count_by(progress, "region", "region", default=UNKNOWN),
+            "position", F.col("goal_code").try_cast("long")).orderBy(F.col("position").asc_nulls_last(), "goal_code"),
+        "by_region": count_by(progress, "region", "region", default=UNKNOWN).orderBy(
+            F.col("data_points").desc(), "region"),
         "nulls": null_profile(progress, {"null_country": "country_code", "null_goal": "goal_code",
                                          "null_year": "year", "null_value": "avg_indicator_value"}),
         "sample": top_n(progress.filter(F.col("country_name").isNotNull()), "avg_indicator_value", 10,

@@ -183,3 +183,13 @@ def test_roll_latest_equals_latest_non_null(spark):
     got = {x.c: (x.r, x.v) for x in roll_latest(prof, "c", ["r", "v"]).collect()}
     want = {x.c: (x.r, x.v) for x in latest_non_null(df, "c", ["y", "g"], ["r", "v"]).collect()}
     assert got == want and got["B"] == (None, None)
+
+
+def test_approximate_options(spark):
+    from strata.operators.features import approx_medians
+    df = spark.createDataFrame([(float(i), f"k{i % 10}") for i in range(1001)], "x double, k string")
+    assert abs(approx_medians(df, ["x"])["x"] - 500.0) <= 1.0
+    r = coverage(df, {"keys": "k"}, "x", approx=True).first()
+    assert r.keys == 10 and (r.min_year, r.max_year) == (0.0, 1000.0)
+    filled = median_fill(df.withColumn("y", F.when(F.col("x") > 10, F.col("x"))), ["y"], approx=True)
+    assert filled.filter(F.col("y").isNull()).count() == 0
