@@ -51,6 +51,13 @@ ECONOMIC_SERIES = {
     "SP.DYN.LE00.IN": "life_expectancy",
     "SE.ADT.LITR.ZS": "adult_literacy_rate",
 }
+# Economic series code -> series name (the name is carried into the raw table).
+ECONOMIC_SERIES_NAMES = {
+    "NY.GDP.PCAP.CD": "GDP per capita",
+    "SP.POP.TOTL": "Population",
+    "SP.DYN.LE00.IN": "Life expectancy",
+    "SE.ADT.LITR.ZS": "Adult literacy rate",
+}
 # Fallback region and income level for major countries, by country name.
 MAJOR_COUNTRY_DEFAULTS = [
     ("United States of America", "North America", "High income"),

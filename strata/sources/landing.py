@@ -244,3 +244,53 @@ def payload_sizes(payloads: DataFrame, series: str, records: StructType = schema
                             F.coalesce(F.size(recs), F.lit(0)).alias("n"))
             .groupBy("series").agg(F.max("h.total").alias("declared_total"),
                                    F.sum(F.greatest(F.col("n"), F.lit(0))).cast("long").alias("landed_rows")))
+
+
+def catalogue_positions(payloads: DataFrame, code_field: str = "code") -> DataFrame:
+    """(code, position) in catalogue order: file, then place in the file's array."""
+    arr = F.from_json(F.col("payload"), ArrayType(schemas.INDICATOR_ELEMENT))
+    return (payloads.select("source_file", F.posexplode(arr).alias("pos", "r"))
+            .select(F.col(f"r.{code_field}").alias("code"),
+                    F.struct(F.col("source_file"), F.col("pos")).alias("position")))
+
+
+def land_raw(spark: SparkSession, root: str, extracted_at=None, max_indicators: int | None = None,
+             series_names: dict | None = None, zero_as_null: bool = False) -> dict[str, DataFrame]:
+    """Landing folder -> the seven raw tables (and reject reports).
+
+    Layout under ``root``: ``goals/``, ``targets/``, ``indicators/``,
+    ``areas/`` (catalogue arrays), ``observations/<indicator>.json``
+    (``{data: [...]}``), ``countries/*.json`` and ``series/<code>/*.json``
+    (``[header, records]`` pages). ``max_indicators`` keeps the observations
+    of the first N indicators in catalogue order.
+    """
+    read = lambda sub: read_payload_files(spark, f"{root.rstrip('/')}/{sub}")
+    indicators_payloads = read("indicators")
+    obs_payloads = read("observations").withColumn(
+        "indicator_code", F.regexp_extract("source_file", r"([^/]+)\.json$", 1))
+    observations = flatten_observations(obs_payloads, "indicator_code", extracted_at)
+    if max_indicators is not None:
+        positions = catalogue_positions(indicators_payloads)
+        codes = first_n_codes(positions, "code", "position", max_indicators)
+        observations = restrict(observations, codes, "indicator_code", "code")
+    series_payloads = read("series/*").withColumn(
+        "indicator_code", F.regexp_extract("source_file", r"/series/([^/]+)/[^/]+$", 1))
+    names = series_names or {}
+    name_col = (F.create_map(*[F.lit(x) for kv in names.items() for x in kv])[F.col("indicator_code")]
+                if names else F.col("indicator_code"))
+    series, series_rejects = flatten_series(series_payloads.withColumn("indicator_name", name_col),
+                                            "indicator_code", "indicator_name", extracted_at,
+                                            zero_as_null=zero_as_null)
+    _, obs_rejects = split_rejects(obs_payloads, F.get_json_object("payload", "$.data"), schemas.OBSERVATION_ELEMENT)
+    return {
+        "sdg_goals": flatten_goals(read("goals"), extracted_at),
+        "sdg_targets": flatten_targets(read("targets"), extracted_at),
+        "sdg_indicators": flatten_indicators(indicators_payloads, extracted_at),
+        "sdg_geo_areas": flatten_areas(read("areas"), extracted_at),
+        "sdg_indicator_data": observations,
+        "wb_countries": flatten_countries(read("countries"), extracted_at),
+        "wb_indicators": series,
+        "rejects_observations": obs_rejects.select("source_file", "reason"),
+        "rejects_series": series_rejects,
+        "page_report": page_report(series_payloads, "indicator_code"),
+    }
