@@ -204,9 +204,15 @@ def median_fill(df: DataFrame, cols: Sequence[str], approx: bool = False,
 
 
 def above_median_flag(df: DataFrame, col: str, name: str, approx: bool = False,
-                      median: float | None = None) -> DataFrame:
+                      median: float | None = None, materialize: bool = False) -> DataFrame:
     """``name = (col > median(col))`` as 0/1 (strict; a NULL median gives 0).
-    ``median`` may be passed when it was computed together with others."""
+    ``median`` may be passed when it was computed together with others.
+    ``materialize`` checkpoints ``df`` (shared checkpoint folder) first, so the
+    median passes and the flagged result read it instead of recomputing it."""
+    if materialize:
+        from strata.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        df = df.checkpoint(eager=True)
     med = median if median is not None else (
         approx_medians(df, [col]) if approx else exact_medians(df, [col]))[col]
     if med is None:

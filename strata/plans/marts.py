@@ -18,8 +18,8 @@ from strata.functions.classify import flag, in_groups
 from strata.functions.clean import safe_double, safe_year, text_timestamp
 from strata.functions.keys import dotted, first_present, prefix, surrogate_key
 from strata.operators.change import lag_delta
-from strata.operators.features import (above_median_flag, entity_profile, exact_medians, latest_non_null,
-                                       median_fill, roll_latest)
+from strata.operators.features import (above_median_flag, entity_profile, exact_medians, median_fill,
+                                       roll_latest)
 from strata.operators.joins import inline_table, left_any_match, lookup, star
 from strata.operators.ordinal import encode_labels
 from strata.operators.pivot import pivot_max

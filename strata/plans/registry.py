@@ -544,13 +544,13 @@ def _entity_changes(spark, sf) -> DataFrame:
 def q_target_flag(spark, sf):
     from strata.operators.features import above_median_flag
     prof = _entity_changes(spark, sf).select("country_code", "goal_code", "avg_yoy_change")
-    return _round(above_median_flag(prof, "avg_yoy_change", "on_track_2030"))
+    return _round(above_median_flag(prof, "avg_yoy_change", "on_track_2030", materialize=True))
 
 
 def q_target_summary(spark, sf):
     from strata.operators.features import above_median_flag
     prof = _entity_changes(spark, sf).select("country_code", "goal_code", "avg_yoy_change")
-    flagged = above_median_flag(prof, "avg_yoy_change", "on_track_2030")
+    flagged = above_median_flag(prof, "avg_yoy_change", "on_track_2030", materialize=True)
     return _round(flagged.agg(F.sum("on_track_2030").cast("long").alias("on_track"),
                               (F.avg("on_track_2030") * 100).alias("on_track_pct")))
 

@@ -33,7 +33,9 @@ def _stamp(extracted_at) -> Column:
         return F.localtimestamp()
     if isinstance(extracted_at, Column):
         return extracted_at
-    return F.lit(extracted_at if isinstance(extracted_at, _dt.datetime) else str(extracted_at)).cast("timestamp_ntz")
+    # through its text, so the value does not depend on the session or process time zone
+    text = extracted_at.isoformat(sep=" ") if isinstance(extracted_at, _dt.datetime) else str(extracted_at)
+    return F.lit(text).cast("timestamp_ntz")
 
 
 def _explode_array(payloads: DataFrame, array_json: Column, element: StructType, keep: Sequence[str]) -> DataFrame:

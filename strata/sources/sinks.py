@@ -85,7 +85,9 @@ def prediction_extract(scored: DataFrame, for_table: bool, predicted_at=None,
     renders a missing category as text, the CSV form leaves it empty."""
     out = scored.select(*PREDICTION_COLUMNS)
     if for_table:
-        stamp = F.localtimestamp() if predicted_at is None else F.lit(predicted_at).cast("timestamp_ntz")
+        stamp = F.localtimestamp() if predicted_at is None else F.lit(
+            predicted_at.isoformat(sep=" ") if hasattr(predicted_at, "isoformat") else str(predicted_at)
+        ).cast("timestamp_ntz")
         out = (out.withColumn("prediction_category", F.coalesce(F.col("prediction_category"), F.lit(missing_category)))
                .withColumn("predicted_at", stamp))
     return out
