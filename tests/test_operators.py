@@ -193,3 +193,15 @@ def test_approximate_options(spark):
     assert r.keys == 10 and (r.min_year, r.max_year) == (0.0, 1000.0)
     filled = median_fill(df.withColumn("y", F.when(F.col("x") > 10, F.col("x"))), ["y"], approx=True)
     assert filled.filter(F.col("y").isNull()).count() == 0
+
+
+def test_exact_median_histogram_path_default_parameters(spark):
+    # above the default 250,000-value bound, so the distributed selection runs
+    n = 400_000
+    df = spark.range(n).select(
+        (F.pmod(F.xxhash64("id"), F.lit(1_000_003)).cast("double") / 7.0).alias("x"),
+        F.when(F.col("id") % 2 == 0, F.lit(5.0)).otherwise(F.pmod(F.xxhash64("id"), F.lit(97)).cast("double")).alias("y"))
+    got = exact_medians(df, ["x", "y"])
+    pdf = df.toPandas()
+    assert got["x"] == float(np.median(pdf["x"].to_numpy()))
+    assert got["y"] == float(np.median(pdf["y"].to_numpy()))
