@@ -1,11 +1,14 @@
 """Per-entity feature profiles, latest values, exact medians and fills.
 
-The median is exact and distributed: a histogram-refinement selection finds
-the value at a given rank with a few passes that each return at most
-``fanout`` bucket summaries to the driver; only when the bracket holds at most
-``final_rows`` values are they ordered (a bounded top-k, at most 2 MB). No step holds the
-whole column in one task, unlike ``median()``/``percentile()`` whose final
-merge keeps every distinct value of the group in one place.
+The median is exact and distributed. Each column is counted first. Columns of
+at most ``final_rows`` values are ranked together in one window job (one
+window per column, bounded by that count). Larger columns go through a
+histogram-refinement selection that finds the value at a given rank with a
+few passes, each returning at most ``fanout`` bucket summaries to the driver;
+only a bracket of at most ``final_rows`` values is ever ordered (a bounded
+top-k). No step holds an unchecked column in one task, unlike
+``median()``/``percentile()``, whose final merge keeps every distinct value of
+the group in one place.
 """
 
 from __future__ import annotations
