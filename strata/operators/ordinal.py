@@ -35,18 +35,47 @@ def global_ordinal(df: DataFrame, col: str, name: str = "ordinal") -> DataFrame:
             .select(col, (F.col("_off") + F.col("_pos")).cast("int").alias(name)))
 
 
+def global_ordinals(df: DataFrame, cols: Sequence[str], name: str = "ordinal") -> DataFrame:
+    """Dense 0-based ranks of the distinct values of several string columns in
+    one pass: rows ``(column index, value, ordinal)``.
+
+    The columns are stacked as (index, value), de-duplicated, range-partitioned
+    and sorted by (index, value), and materialised once; each value's ordinal
+    is the count of its column's values in earlier partitions plus its place
+    among its column's values in its own partition. Only one row per
+    (partition, column) meets in one place.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    stacked = (df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("_c"), F.col(c).cast("string").alias("_v"))
+                                             for i, c in enumerate(cols)])).alias("s"))
+               .select("s._c", "s._v").distinct())
+    ranked = (stacked.repartitionByRange(F.col("_c").asc(), F.col("_v").asc())
+              .sortWithinPartitions(F.col("_c").asc(), F.col("_v").asc())
+              .withColumn("_part", F.spark_partition_id())
+              .withColumn("_pos", F.monotonically_increasing_id() - (F.col("_part").cast("long") * F.lit(1 << 33))))
+    ranked = ranked.checkpoint(eager=True)
+    sizes = ranked.groupBy("_part", "_c").agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
+    # at most (partitions x columns) rows
+    before = Window.partitionBy("_c").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    return (ranked.join(F.broadcast(offsets.select("_part", "_c", "_off", "_first")), ["_part", "_c"])
+            .select("_c", "_v", (F.col("_off") + F.col("_pos") - F.col("_first")).cast("int").alias(name)))
+
+
 def encode_labels(df: DataFrame, cols: Sequence[str], suffix: str = "_encoded",
                   missing: str = "Unknown") -> DataFrame:
     """Ordinal label encoding with sorted labels; NULL is encoded as ``missing``.
 
     Equivalent to fitting a label encoder on the filled column: code i is the
-    i-th label in ascending order. The code table is joined back with a plain
+    i-th label in ascending order. All columns are ranked in one pass
+    (:func:`global_ordinals`); each code table is joined back with a plain
     join: its size is the label count, so Catalyst/AQE decide on broadcasting.
     """
-    out = df
-    for c in cols:
-        filled = f"_{c}_label"
-        out = out.withColumn(filled, F.coalesce(F.col(c), F.lit(missing)))
-        codes = global_ordinal(out, filled, c + suffix)
-        out = out.join(codes, filled, "left").drop(filled)
+    labels = [f"_{c}_label" for c in cols]
+    out = df.select("*", *[F.coalesce(F.col(c).cast("string"), F.lit(missing)).alias(lab)
+                           for c, lab in zip(cols, labels)])
+    codes = global_ordinals(out, labels)
+    for i, (c, lab) in enumerate(zip(cols, labels)):
+        table = codes.filter(F.col("_c") == F.lit(i)).select(F.col("_v").alias(lab), F.col("ordinal").alias(c + suffix))
+        out = out.join(table, lab, "left").drop(lab)
     return out

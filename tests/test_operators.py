@@ -205,3 +205,13 @@ def test_exact_median_histogram_path_default_parameters(spark):
     pdf = df.toPandas()
     assert got["x"] == float(np.median(pdf["x"].to_numpy()))
     assert got["y"] == float(np.median(pdf["y"].to_numpy()))
+
+
+def test_global_ordinals_several_columns(spark):
+    from strata.operators.ordinal import global_ordinals
+    a = [f"a{i:03d}" for i in range(300)]
+    b = [f"b{i:03d}" for i in range(40)]
+    df = spark.createDataFrame([(a[i % 300], b[i % 40]) for i in range(900)], "x string, y string").repartition(5)
+    got = {(r._c, r._v): r.ordinal for r in global_ordinals(df, ["x", "y"]).collect()}
+    want = {**{(0, v): i for i, v in enumerate(sorted(a))}, **{(1, v): i for i, v in enumerate(sorted(b))}}
+    assert got == want
