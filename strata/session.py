@@ -46,8 +46,10 @@ def build_session(master: str | None = None, app: str = "strata",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, registering it with the context.
 
-    The cluster's ``spark.checkpoint.dir`` wins; only when it is unset (tests on
-    a laptop) is a private temporary folder created.
+    The cluster's ``spark.checkpoint.dir`` wins; only when it is unset and the
+    master is local (tests on a laptop) is a private temporary folder created.
+    On a cluster without the setting this raises instead of writing to a
+    machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,6 +57,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(checkpoints must survive the loss of an executor)")
         configured = tempfile.mkdtemp(prefix="strata-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
