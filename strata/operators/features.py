@@ -13,6 +13,7 @@ the group in one place.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -115,6 +116,32 @@ def _value_at_rank(x: DataFrame, k: int, lo: float, hi: float, below: int,
             raise RuntimeError("rank outside histogram")
 
 
+def _midpoint(v_lo: float, v_hi: float) -> float:
+    """Interpolated median of the two middle values, ``lo + (hi - lo) / 2``
+    (the same arithmetic as DuckDB's); equal values are returned as they are,
+    which keeps an infinite median infinite."""
+    return float(v_lo) if v_lo == v_hi else float(v_lo + (v_hi - v_lo) * 0.5)
+
+
+def _rank_with_infinities(x: DataFrame, k: int, lo: float, hi: float, fanout: int, final_rows: int) -> float:
+    """Rank selection when the range may end in -inf / +inf: the infinite values
+    are blocks at either end; the histogram only ever sees finite values."""
+    if math.isfinite(lo) and math.isfinite(hi):
+        return _value_at_rank(x, k, lo, hi, 0, fanout, final_rows)
+    xc = F.col("x")
+    r = x.agg(F.count(F.when(xc == F.lit(float("-inf")), 1)).alias("neg"),
+              F.count(F.when(xc == F.lit(float("inf")), 1)).alias("pos"),
+              F.count(F.lit(1)).alias("n"),
+              F.min(F.when(F.abs(xc) != F.lit(float("inf")), xc)).alias("flo"),
+              F.max(F.when(F.abs(xc) != F.lit(float("inf")), xc)).alias("fhi")).first()
+    if k < r.neg:
+        return float("-inf")
+    if k >= r.n - r.pos:
+        return float("inf")
+    finite = x.filter(F.abs(xc) != F.lit(float("inf")))
+    return _value_at_rank(finite, k - r.neg, r.flo, r.fhi, 0, fanout, final_rows)
+
+
 def exact_medians(df: DataFrame, cols: Sequence[str], fanout: int = 1024,
                   final_rows: int = 250_000) -> dict[str, float | None]:
     """Exact median (mean of the two middle values for an even count) of each
@@ -147,14 +174,14 @@ def exact_medians(df: DataFrame, cols: Sequence[str], fanout: int = 1024,
                 continue            # done below, all small columns in one job
             x = base.select(F.col(name).alias("x")).filter(F.col("x").isNotNull() & ~F.isnan(F.col("x")))
             k_lo, k_hi = (n - 1) // 2, n // 2
-            v_lo = _value_at_rank(x, k_lo, lo, hi, 0, fanout, final_rows)
+            v_lo = _rank_with_infinities(x, k_lo, lo, hi, fanout, final_rows)
             if k_hi == k_lo:
                 out[c] = float(v_lo)
                 continue
             nxt = x.agg(F.count(F.when(F.col("x") <= F.lit(v_lo), F.lit(1))).alias("le"),
                         F.min(F.when(F.col("x") > F.lit(v_lo), F.col("x"))).alias("nxt")).first()
             v_hi = v_lo if nxt.le > k_hi else nxt.nxt
-            out[c] = float(v_lo + (v_hi - v_lo) * 0.5)
+            out[c] = _midpoint(v_lo, v_hi)
         small = [(i, c, stats[f"n{name}"]) for i, (c, name) in enumerate(zip(cols, names))
                  if 0 < (stats[f"n{name}"] or 0) <= final_rows]
         if small:
@@ -181,7 +208,7 @@ def _small_medians(base: DataFrame, names: Sequence[str], small) -> dict[str, fl
     out = {}
     for i, c, n in small:
         v_lo, v_hi = found[i][(n - 1) // 2], found[i][n // 2]
-        out[c] = float(v_lo + (v_hi - v_lo) * 0.5)
+        out[c] = _midpoint(v_lo, v_hi)
     return out
 
 

@@ -215,3 +215,12 @@ def test_global_ordinals_several_columns(spark):
     got = {(r._c, r._v): r.ordinal for r in global_ordinals(df, ["x", "y"]).collect()}
     want = {**{(0, v): i for i, v in enumerate(sorted(a))}, **{(1, v): i for i, v in enumerate(sorted(b))}}
     assert got == want
+
+
+def test_exact_median_with_infinities(spark):
+    inf = float("inf")
+    for vals in ([-inf, 1.0, 2.0, 3.0, inf], [-inf, -inf, -inf, 1.0, 2.0], [1.0, inf, inf, inf],
+                 [float(i) for i in range(50)] + [inf] * 3 + [-inf]):
+        df = spark.createDataFrame([(v,) for v in vals], "x double")
+        got = exact_medians(df, ["x"], fanout=4, final_rows=2)["x"]
+        assert got == float(np.median(np.array(vals))), (vals, got)
