@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 def rollup_measures(df: DataFrame, keys: Sequence, distinct: str, measure: str,
                     names: Sequence[str] = ("indicators_measured", "avg_indicator_value",
                                             "min_indicator_value", "max_indicator_value"),
-                    partition_by: Sequence[str] | None = None) -> DataFrame:
+                    partition_by: Sequence[str] | None = None, nan_extremes: bool = False) -> DataFrame:
     """GROUP BY keys: COUNT(DISTINCT distinct), AVG, MIN, MAX of measure.
 
     Default: one ``groupBy().agg``; Spark plans the distinct count as an
@@ -27,23 +27,34 @@ def rollup_measures(df: DataFrame, keys: Sequence, distinct: str, measure: str,
     holding a third of all rows arrives as a bounded number of rows.
     """
     n_distinct, n_avg, n_min, n_max = names
+    m = F.col(measure)
+    nan = F.lit(float("nan"))
     if not partition_by:
-        return df.groupBy(*keys).agg(
+        out = df.groupBy(*keys).agg(
             F.count_distinct(distinct).alias(n_distinct),
             F.avg(measure).alias(n_avg),
             F.min(measure).alias(n_min),
             F.max(measure).alias(n_max),
+            *([F.max(F.isnan(m).cast("int")).alias("_nan")] if nan_extremes else []),
         )
-    m = F.col(measure)
-    level1 = (df.groupBy(*keys, distinct)
-              .agg(F.sum(m).alias("_s"), F.count(m).alias("_n"), F.min(m).alias("_mn"), F.max(m).alias("_mx"))
-              .repartition(*partition_by))
-    return level1.groupBy(*keys).agg(
-        F.count(F.col(distinct)).alias(n_distinct),
-        F.try_divide(F.sum("_s"), F.sum("_n")).alias(n_avg),
-        F.min("_mn").alias(n_min),
-        F.max("_mx").alias(n_max),
-    )
+    else:
+        level1 = (df.groupBy(*keys, distinct)
+                  .agg(F.sum(m).alias("_s"), F.count(m).alias("_n"), F.min(m).alias("_mn"), F.max(m).alias("_mx"),
+                       *([F.max(F.isnan(m).cast("int")).alias("_nan1")] if nan_extremes else []))
+                  .repartition(*partition_by))
+        out = level1.groupBy(*keys).agg(
+            F.count(F.col(distinct)).alias(n_distinct),
+            F.try_divide(F.sum("_s"), F.sum("_n")).alias(n_avg),
+            F.min("_mn").alias(n_min),
+            F.max("_mx").alias(n_max),
+            *([F.max("_nan1").alias("_nan")] if nan_extremes else []),
+        )
+    if not nan_extremes:
+        return out
+    # warehouse semantics: any NaN in the group makes MIN and MAX NaN (Spark's
+    # MIN skips NaN because it orders NaN above every number)
+    return (out.withColumn(n_min, F.when(F.col("_nan") == 1, nan).otherwise(F.col(n_min)))
+            .withColumn(n_max, F.when(F.col("_nan") == 1, nan).otherwise(F.col(n_max))).drop("_nan"))
 
 
 def distinct_rows(df: DataFrame, cols: Sequence[str], where=None) -> DataFrame:

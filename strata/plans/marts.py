@@ -189,13 +189,15 @@ def dim_time(observations: DataFrame, year: str = "year", baseline: int = SDG_BA
 # --------------------------------------------------------------------------- facts
 
 def fact_progress(observations: DataFrame, countries: DataFrame, with_name: bool = True,
-                  name_from_dimension: bool = False) -> DataFrame:
+                  name_from_dimension: bool = False, nan_extremes: bool = False) -> DataFrame:
     """Per (country, goal, year): distinct indicators, avg/min/max value, the
     previous present year's average and the change, region and income level.
 
     ``observations``: indicator_code, geo_area_code, [geo_area_name], year, value.
     ``countries``: country_code, region, income_level (and country_name when
     ``name_from_dimension``: for observations that carry no area name).
+    ``nan_extremes`` gives the warehouse's NaN semantics for min/max (use it with
+    ``stg_observations(nan_policy="propagate")``).
     """
     keys = ["country_code"] + (["country_name"] if with_name else []) + ["goal_code", "year"]
     g = observations.select(
@@ -205,8 +207,8 @@ def fact_progress(observations: DataFrame, countries: DataFrame, with_name: bool
         F.col("year"), F.col("indicator_code"), F.col("value"))
     # partitioned by country once after the first aggregation level: the
     # distinct-count level, the country join and the (country, goal) window reuse it
-    rolled = rollup_measures(g, keys, "indicator_code", "value",
-                             partition_by=["country_code"]).filter(F.col("year").isNotNull())
+    rolled = rollup_measures(g, keys, "indicator_code", "value", partition_by=["country_code"],
+                             nan_extremes=nan_extremes).filter(F.col("year").isNotNull())
     take = ["region", "income_level"] + (["country_name"] if name_from_dimension and not with_name else [])
     joined = lookup(rolled, countries, "country_code", take)
     changed = lag_delta(joined, ["country_code", "goal_code"], ["year"], "avg_indicator_value",

@@ -30,7 +30,8 @@ def build_models(raw: dict[str, DataFrame], nan_policy: str = "null") -> dict[st
         "dim_countries": dim_countries,
         "dim_goals": marts.dim_goals(stg_goals),
         "dim_time": marts.dim_time(stg_obs),
-        "fact_sdg_progress": marts.fact_progress(stg_obs, dim_countries),
+        "fact_sdg_progress": marts.fact_progress(stg_obs, dim_countries,
+                                                 nan_extremes=(nan_policy == "propagate")),
         "fact_economic_indicators": marts.fact_economic(stg_series, dim_countries),
     }
 

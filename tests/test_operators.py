@@ -224,3 +224,15 @@ def test_exact_median_with_infinities(spark):
         df = spark.createDataFrame([(v,) for v in vals], "x double")
         got = exact_medians(df, ["x"], fanout=4, final_rows=2)["x"]
         assert got == float(np.median(np.array(vals))), (vals, got)
+
+
+def test_rollup_nan_semantics(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([("A", "i1", 1.0), ("A", "i2", nan), ("A", "i3", 3.0), ("B", "i1", 2.0)],
+                               "k string, ind string, v double")
+    for part in (None, ["k"]):
+        spark_default = {r.k: r for r in rollup_measures(df, ["k"], "ind", "v", partition_by=part).collect()}
+        assert spark_default["A"].min_indicator_value == 1.0 and math.isnan(spark_default["A"].max_indicator_value)
+        parity = {r.k: r for r in rollup_measures(df, ["k"], "ind", "v", partition_by=part, nan_extremes=True).collect()}
+        assert math.isnan(parity["A"].min_indicator_value) and math.isnan(parity["A"].max_indicator_value)
+        assert math.isnan(parity["A"].avg_indicator_value) and parity["B"].min_indicator_value == 2.0
