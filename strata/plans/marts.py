@@ -253,13 +253,13 @@ def training_set(progress: DataFrame, economic: DataFrame, min_year: int = 2000)
         "avg_indicator_value", "yoy_change", *ECONOMIC_COLUMNS)
 
 
-def features(training: DataFrame, exclude_label_source: bool = False) -> DataFrame:
+def features(training: DataFrame) -> DataFrame:
     """Per (country, goal) profile + the country's latest attributes, fills,
     the above-median target and encoded region/income.
 
     NaN is treated as missing (as the reference's dataframe library does).
-    ``exclude_label_source`` is recorded on the frame as a column choice: the
-    target is derived from ``avg_yoy_change``, which is also a feature.
+    The target is derived from ``avg_yoy_change``, which is also a feature;
+    ``model_features(exclude_label_source=True)`` leaves it out of the model.
     """
     t = nan_as_null(training)
     attr_cols = ["country_name", "region", "income_level", *ECONOMIC_COLUMNS]
