@@ -153,3 +153,9 @@ def test_table_sink_overwrite_namespace_and_comment(spark):
     assert spark.table("raw.sdg_goals").count() == 2
     info = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED raw.sdg_goals").collect()}
     assert info.get("Comment") == RAW_DESCRIPTIONS["sdg_goals"]
+
+
+def test_model_feature_lists():
+    assert len(marts.model_features()) == 15
+    reduced = marts.model_features(exclude_label_source=True)
+    assert "avg_yoy_change" not in reduced and "total_change" not in reduced and len(reduced) == 13
