@@ -1,10 +1,12 @@
 """Joins: left join on any of several equalities, lookups with precedence, stars.
 
-Broadcast policy: an explicit broadcast hint is only put on inline tables whose
-row count is known on the driver and checked against ``MAX_INLINE_ROWS``. Every
-other join is left to Catalyst / AQE, whose broadcast decision is itself
-size-checked (``spark.sql.autoBroadcastJoinThreshold`` on runtime statistics)
-and falls back to a shuffle join above it.
+Broadcast policy: an explicit broadcast hint is only put on data whose size is
+proven: inline tables (row count known on the driver, checked against
+``MAX_INLINE_ROWS``), and elsewhere first-N code lists, a single selected key
+and one-row-per-partition offsets. Every other join is left to Catalyst /
+AQE, whose broadcast decision is itself size-checked
+(``spark.sql.autoBroadcastJoinThreshold`` on runtime statistics) and falls
+back to a shuffle join above it.
 """
 
 from __future__ import annotations

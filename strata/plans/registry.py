@@ -422,7 +422,7 @@ def q_payload_sizes(spark, sf):
 def q_first_n_codes(spark, sf):
     part = _t(spark, sf, "part")
     codes = landing.first_n_codes(part, "p_partkey", "p_partkey", 20)
-    li = landing.restrict(_t(spark, sf, "lineitem"), codes, "l_partkey", "p_partkey")
+    li = landing.restrict(_t(spark, sf, "lineitem"), codes, "l_partkey", "p_partkey", bounded=True)
     return _round(li.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").alias("quantity")))
 
 

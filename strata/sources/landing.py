@@ -138,14 +138,16 @@ def first_n_codes(catalogue: DataFrame, code: str, order: str, n: int) -> DataFr
     return catalogue.orderBy(F.col(order).asc(), F.col(code).asc()).limit(n).select(code)
 
 
-def restrict(df: DataFrame, codes: DataFrame, on: str, code: str | None = None) -> DataFrame:
+def restrict(df: DataFrame, codes: DataFrame, on: str, code: str | None = None, bounded: bool = False) -> DataFrame:
     """Keep rows of ``df`` whose ``on`` is among ``codes`` (left semi join).
 
-    ``codes`` comes from :func:`first_n_codes`, so it has at most n rows and is
-    broadcast on that proven bound.
+    ``bounded=True`` states that ``codes`` has a proven small size (the output
+    of :func:`first_n_codes`: at most n rows); only then is it broadcast.
+    Otherwise Catalyst/AQE choose the join by measured size.
     """
     code = code or on
-    return df.join(F.broadcast(codes.select(F.col(code).alias(on))), on, "left_semi")
+    keys = codes.select(F.col(code).alias(on))
+    return df.join(F.broadcast(keys) if bounded else keys, on, "left_semi")
 
 
 # --- two-element arrays [header, [records]] ---------------------------------------------
@@ -274,7 +276,7 @@ def land_raw(spark: SparkSession, root: str, extracted_at=None, max_indicators:
     if max_indicators is not None:
         positions = catalogue_positions(indicators_payloads)
         codes = first_n_codes(positions, "code", "position", max_indicators)
-        observations = restrict(observations, codes, "indicator_code", "code")
+        observations = restrict(observations, codes, "indicator_code", "code", bounded=True)
     series_payloads = read("series/*").withColumn(
         "indicator_code", F.regexp_extract("source_file", r"/series/([^/]+)/[^/]+$", 1))
     names = series_names or {}

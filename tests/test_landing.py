@@ -103,6 +103,7 @@ def test_first_n_codes_and_restrict(spark):
     data = spark.createDataFrame([(f"c{i % 60}", i) for i in range(600)], "code string, v int")
     codes = landing.first_n_codes(cat, "code", "pos", 5)
     assert sorted(r.code for r in codes.collect()) == ["c0", "c1", "c2", "c3", "c4"]
+    assert landing.restrict(data, codes, "code", bounded=True).count() == 50
     assert landing.restrict(data, codes, "code").count() == 50
 
 
