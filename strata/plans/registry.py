@@ -291,7 +291,9 @@ def q_star_denormalise(spark, sf):
 def q_combined_extract(spark, sf):
     """V10 on the analogues: progress ⟕ goals ⟕ time ⟕ economics (17 columns)."""
     progress = _progress(spark, sf, name_from_dimension=True)
-    goal_codes = progress.select("goal_code").distinct()
+    # the goal catalogue analogue: distinct priority codes straight from orders
+    goal_codes = (_t(spark, sf, "orders").select(F.substring_index("o_orderpriority", "-", 1).alias("goal_code"))
+                  .distinct())
     goals = marts.dim_goals(goal_codes.select("goal_code", F.concat(F.lit("Priority "), F.col("goal_code")).alias("goal_title"),
                                               F.lit("").alias("goal_description")))
     time = marts.dim_time(observations(spark, sf), baseline=ERA_BASELINE, target=ERA_TARGET)
