@@ -29,11 +29,24 @@ def ensure_namespace(spark: SparkSession, name: str) -> None:
 
 
 def write_table(df: DataFrame, path: str | None = None, table: str | None = None,
-                partition_by: Sequence[str] = (), comment: str | None = None, fmt: str = "parquet") -> None:
-    """Replace-all load (WRITE_TRUNCATE): overwrite a path or a catalogue table."""
+                partition_by: Sequence[str] = (), comment: str | None = None, fmt: str = "parquet",
+                bucket_by: tuple[int, Sequence[str]] | None = None) -> None:
+    """Replace-all load (WRITE_TRUNCATE): overwrite a path or a catalogue table.
+
+    ``bucket_by=(n, cols)`` (catalogue tables only) hash-buckets and sorts the
+    rows by ``cols`` into ``n`` buckets: later joins and aggregations on those
+    columns between tables bucketed the same way (same columns, same count)
+    read co-located data and skip the shuffle, e.g. the progress and economic
+    facts bucketed by (country_code, year) for their two-key join.
+    """
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if bucket_by:
+        if not table:
+            raise ValueError("bucketing needs a catalogue table")
+        n, cols = bucket_by
+        w = w.bucketBy(n, *cols).sortBy(*cols)
     if table:
         if path:
             w = w.option("path", path)

@@ -49,3 +49,23 @@ def test_projection_and_filter_reach_the_scan(spark):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in plan
     scan = _plan(registry.q_stage_catalogue(spark, SF01))
     assert "o_totalprice" not in scan.split("ReadSchema")[1].split("\n")[0]
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    from strata.sources import sinks
+    sinks.ensure_namespace(spark, "marts")
+    facts = spark.range(20_000).select((F.col("id") % 997).alias("country_code"), (F.col("id") % 25).alias("year"),
+                                       F.col("id").cast("double").alias("v"))
+    econ = spark.range(5_000).select((F.col("id") % 997).alias("country_code"), (F.col("id") % 25).alias("year"),
+                                     (F.col("id") * 2).cast("double").alias("gdp"))
+    # bucketed by the full join key of the fact-to-fact join
+    sinks.write_table(facts, table="marts.fact_b", bucket_by=(8, ["country_code", "year"]))
+    sinks.write_table(econ, table="marts.econ_b", bucket_by=(8, ["country_code", "year"]))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table("marts.fact_b").join(spark.table("marts.econ_b"), ["country_code", "year"], "left")
+        plan = _plan(joined)
+        assert "SortMergeJoin" in plan and _shuffles(joined) == 0, plan
+        assert joined.count() == facts.join(econ, ["country_code", "year"], "left").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
