@@ -36,9 +36,19 @@ def build_models(raw: dict[str, DataFrame], nan_policy: str = "null") -> dict[st
     }
 
 
+FACT_BUCKET_KEYS = ["country_code", "year"]
+
+
 def refresh(spark: SparkSession, landing_root: str, out_root: str, max_indicators: int | None = 20,
-            trees: int = 100, depth: int = 10, seed: int = 42, predicted_at=None) -> dict:
-    """Run everything; returns the frames written and a status frame of the writes."""
+            trees: int = 100, depth: int = 10, seed: int = 42, predicted_at=None,
+            database: str | None = None, fact_buckets: int = 64) -> dict:
+    """Run everything; returns the frames written and a status frame of the writes.
+
+    With ``database`` the marts are catalogue tables in that database and the
+    two facts are bucketed by (country_code, year) into ``fact_buckets``
+    buckets, so the extract's and the training set's fact-to-fact join reads
+    co-located data instead of shuffling both facts.
+    """
     out = out_root.rstrip("/")
     raw = landing.land_raw(spark, landing_root, max_indicators=max_indicators,
                            series_names=marts.ECONOMIC_SERIES_NAMES)
@@ -50,9 +60,17 @@ def refresh(spark: SparkSession, landing_root: str, out_root: str, max_indicator
            ("sdg_goals", "sdg_targets", "sdg_indicators", "sdg_geo_areas", "sdg_indicator_data",
             "wb_countries", "wb_indicators")}
     models = build_models(raw)
-    for name in MART_NAMES:
-        sinks.write_table(models[name], path=f"{out}/marts/{name}")
-    m = {name: spark.read.parquet(f"{out}/marts/{name}") for name in MART_NAMES}
+    if database:
+        sinks.ensure_namespace(spark, database)
+        for name in MART_NAMES:
+            bucket = (fact_buckets, FACT_BUCKET_KEYS) if name.startswith("fact_") else None
+            sinks.write_table(models[name], path=f"{out}/marts/{name}", table=f"{database}.{name}",
+                              bucket_by=bucket)
+        m = {name: spark.table(f"{database}.{name}") for name in MART_NAMES}
+    else:
+        for name in MART_NAMES:
+            sinks.write_table(models[name], path=f"{out}/marts/{name}")
+        m = {name: spark.read.parquet(f"{out}/marts/{name}") for name in MART_NAMES}
     combined = marts.combined_extract(m["fact_sdg_progress"], m["dim_goals"], m["dim_time"],
                                       m["fact_economic_indicators"])
     feats = marts.features(marts.training_set(m["fact_sdg_progress"], m["fact_economic_indicators"]))
@@ -66,7 +84,7 @@ def refresh(spark: SparkSession, landing_root: str, out_root: str, max_indicator
     })
     report = marts.quality_report(
         spark, {n: (lambda n=n: spark.read.parquet(f"{out}/raw/{n}")) for n in raw},
-        {n: (lambda n=n: spark.read.parquet(f"{out}/marts/{n}")) for n in MART_NAMES},
+        {n: (lambda n=n: m[n]) for n in MART_NAMES},
         m["fact_sdg_progress"], m["dim_goals"])
     return {"raw": raw, "marts": m, "combined": combined, "features": feats, "model": model,
             "scored": scored, "accuracy": acc, "importances": imp, "exports": status, "quality": report,

@@ -69,3 +69,15 @@ def test_refresh_end_to_end(spark, tmp_path):
     assert res["features"].filter(F.col("gdp_per_capita").isNotNull()).count() == 0
     csv = spark.read.option("header", True).csv(f"{out}/exports/ml_sdg_predictions")
     assert csv.count() == 6 and len(csv.columns) == 11
+
+
+def test_refresh_with_bucketed_facts(spark, tmp_path):
+    root = str(tmp_path / "landing")
+    _landing(root)
+    out = scratch_path(spark, "refresh-bucketed")
+    res = refresh(spark, root, out, max_indicators=3, trees=3, depth=2, database="indicators_b", fact_buckets=4)
+    assert res["marts"]["fact_sdg_progress"].count() == 3 * 2 * 11
+    info = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED indicators_b.fact_sdg_progress").collect()}
+    assert info.get("Num Buckets") == "4"
+    assert res["combined"].count() == 3 * 2 * 11
+    assert {r.status for r in res["exports"].collect()} == {"ok"}
