@@ -159,3 +159,11 @@ def test_model_feature_lists():
     assert len(marts.model_features()) == 15
     reduced = marts.model_features(exclude_label_source=True)
     assert "avg_yoy_change" not in reduced and "total_change" not in reduced and len(reduced) == 13
+
+
+def test_register_views_names_every_table(spark):
+    from conftest import SF001
+    from strata.sources.catalog import TEST_TABLES, register_views
+    register_views(spark, SF001)
+    assert spark.sql("SELECT COUNT(*) AS n FROM orders").first().n > 0
+    assert {t.name for t in spark.catalog.listTables() if t.isTemporary} >= set(TEST_TABLES)
