@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from strata.llm.decontaminate import find_leaks
 from strata.llm.packing import pack_documents
 from strata.sources import catalog
 
@@ -21,6 +22,16 @@ def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
-QUERIES = {"op7_pack": op7_pack}
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = catalog.load(spark, sf_dir, "documents"), catalog.load(spark, sf_dir, "benchmark")
+    items = F.array_sort(F.coalesce(F.col("leak.items.item"), F.array().cast("array<string>")))
+    return find_leaks(docs, benchmark, keep=["doc_id"]).select(
+        "doc_id", "leak.n_words", "leak.n_hit",
+        F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+        (F.col("leak.n_hit") > 0).alias("contaminated"))
+
+
+QUERIES = {"op7_pack": op7_pack, "op9_decontaminate": op9_decontaminate}
 
 ORACLE: dict[str, str] = {}
