@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.llm.decontaminate import find_leaks
+from strata.llm.jaccard_join import similarity_components
 from strata.llm.packing import pack_documents
 from strata.sources import catalog
 
@@ -32,6 +33,11 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("leak.n_hit") > 0).alias("contaminated"))
 
 
-QUERIES = {"op7_pack": op7_pack, "op9_decontaminate": op9_decontaminate}
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = catalog.load(spark, sf_dir, "documents")
+    return similarity_components(docs).select("doc_id", "n_shingles", "component_id")
+
+
+QUERIES = {"op7_pack": op7_pack, "op8_jaccard": op8_jaccard, "op9_decontaminate": op9_decontaminate}
 
 ORACLE: dict[str, str] = {}
