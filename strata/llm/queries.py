@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.llm.decontaminate import find_leaks
+from strata.llm.disclosure import KINDS, personal_data
 from strata.llm.jaccard_join import similarity_components
 from strata.llm.packing import pack_documents
 from strata.sources import catalog
@@ -38,6 +39,21 @@ def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity_components(docs).select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {"op7_pack": op7_pack, "op8_jaccard": op8_jaccard, "op9_decontaminate": op9_decontaminate}
+def op1_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data(catalog.load(spark, sf_dir, "documents"))
+    of_kind = lambda kind: F.filter("spans", lambda s: s["kind"] == kind)
+    counts = [F.size(of_kind(kind)).cast("long").alias(f"n_{kind}") for kind in KINDS]
+    line = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    short = lambda name: F.transform(name, lambda s: F.struct(
+        s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))
+    rank = F.create_map(*[F.lit(x) for i, k in enumerate((*KINDS, "term")) for x in (k, i)])
+    every = F.array_sort(F.transform(F.concat(short("spans"), short("terms")), lambda s: F.struct(
+        s["start"].alias("start"), rank[s["kind"]].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    return found.select("doc_id", *counts,
+                        F.sha2(F.array_join(F.transform("spans", line), ","), 256).alias("base_sha256"),
+                        F.array_join(F.transform(every, line), ",").alias("spans"))
+
+
+QUERIES = {"op1_disclosure": op1_disclosure, "op7_pack": op7_pack, "op8_jaccard": op8_jaccard, "op9_decontaminate": op9_decontaminate}
 
 ORACLE: dict[str, str] = {}
