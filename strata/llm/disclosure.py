@@ -28,7 +28,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from strata.llm.graph import written
+from strata.llm.shared import written
 
 REACH = 5
 SUPPORT = 3

@@ -4,15 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from strata.session import scratch_path
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: lineage ends here."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+from strata.llm.shared import written
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -31,18 +31,17 @@ repeated ids count as one node by id; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from strata.llm.graph import components, written
+from strata.llm.graph import components
+from strata.llm.shared import by_ids, summed, written
 from strata.llm.words import SHINGLE, column, hash_words, mix, shingles, text_buffer
 
 LENGTH_SLOTS = 1 << 18
 BUCKET_POSTINGS = 200_000
-BROADCAST_IDS = 500_000
 NUM, DEN = 4, 5
 ROWS = 1_000
 _STEP_OF_SIZE = np.uint64(0x9E3779B97F4A7C15)
@@ -91,26 +90,11 @@ def document_sets(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
                      pa.nulls(len(counts), pa.binary())], names=names)
         yield pa.RecordBatch.from_arrays(
             [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
-             pa.array([np.minimum(lengths, 2**32 - 1).astype("<u4").tobytes()], pa.binary())], names=names)
+             pa.array([lengths.tobytes()], pa.binary())], names=names)
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, class long, counts binary")
 
 
-def list_lengths(parts: DataFrame) -> np.ndarray:
-    """The summed counters (LENGTH_SLOTS numbers, whatever the input); added up in two steps."""
-
-    def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x.as_py(), "<u4").astype(np.uint64) for x in table.column("counts"))
-        return pa.table({"counts": pa.array([np.minimum(total, 2**32 - 1).astype("<u4").tobytes()], pa.binary())})
-
-    halves = (parts.where(F.col("counts").isNotNull()).select("counts")
-              .withColumn("part", F.pmod(F.spark_partition_id(), F.lit(32)))
-              .groupBy("part").applyInArrow(add, "counts binary"))
-    rows = halves.collect()  # at most 32 rows of a fixed size
-    return reduce(np.add, (np.frombuffer(r["counts"], "<u4").astype(np.uint64) for r in rows),
-                  np.zeros(LENGTH_SLOTS, np.uint64))
-
-
 _POSTING = np.dtype([("shingle", "<u8"), ("class", "<i8"), ("n", "<i4")])
 
 
@@ -174,18 +158,11 @@ def merged_lists(blocks: DataFrame) -> DataFrame:
     return blocks.groupBy("bucket").applyInArrow(merge, "list long, class long, n int")
 
 
-def by_ids(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Semi- or anti-join on doc_id: the counted ids are broadcast up to BROADCAST_IDS, else both sides are dealt out."""
-    ids = written(ids, "ids")
-    side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids.hint("shuffle_hash")
-    return docs.join(side, "doc_id", how).select(*docs.columns)
-
-
 def candidate_sets(docs: DataFrame, sets: DataFrame, lists: DataFrame, size: int) -> DataFrame:
     """(class, shingles) of the classes in ``lists``: hashed anew from one document of each."""
     wanted = (sets.join(lists.select("class").distinct(), "class", "left_semi")
               .groupBy("class").agg(F.min("doc_id").alias("doc_id")))
-    ids = wanted.select("doc_id").distinct()
+    ids = wanted.select("doc_id")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -263,7 +240,7 @@ def similarity_components(docs: DataFrame, size: int = SHINGLE, num: int = NUM,
     spark = docs.sparkSession
     parts = written(document_sets(docs, size), "sets")
     sets = parts.where(F.col("counts").isNull()).drop("counts")
-    lengths = spark.sparkContext.broadcast(list_lengths(parts))
+    lengths = spark.sparkContext.broadcast(summed(parts, "counts", LENGTH_SLOTS))
     total = sets.agg(F.sum(F.col("n_shingles") - F.ceil(F.col("n_shingles") * num / den) + 1)).first()[0] or 0
     buckets = max(1, -(-int(total) // BUCKET_POSTINGS))
     lists = written(merged_lists(short_postings(docs, lengths, buckets, size, num, den)), "lists")
@@ -283,5 +260,5 @@ def keep_one_of_each(docs: DataFrame, size: int = SHINGLE, num: int = NUM, den:
     smaller doc_id. Rows that repeat the kept id are that document and stay; rows without an
     id or without a set stay."""
     found = similarity_components(docs, size, num, den)
-    gone = found.where((F.col("class") != 0) & (F.col("component_id") < F.col("doc_id"))).select("doc_id").distinct()
+    gone = found.where((F.col("class") != 0) & (F.col("component_id") < F.col("doc_id"))).select("doc_id")
     return by_ids(docs, gone, "left_anti")

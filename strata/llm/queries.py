@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from strata.llm.decontaminate import find_leaks
 from strata.llm.disclosure import KINDS, personal_data
 from strata.llm.jaccard_join import similarity_components
+from strata.llm.ngram_ratio import score_documents
 from strata.llm.packing import pack_documents
 from strata.sources import catalog
 
@@ -54,6 +55,14 @@ def op1_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.array_join(F.transform(every, line), ",").alias("spans"))
 
 
-QUERIES = {"op1_disclosure": op1_disclosure, "op7_pack": op7_pack, "op8_jaccard": op8_jaccard, "op9_decontaminate": op9_decontaminate}
+def trusted_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalog.load(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0").select("doc_id")
+
+
+def op2_ngram_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(catalog.load(spark, sf_dir, "documents"), trusted_labels(spark, sf_dir))
+
+
+QUERIES = {"op1_disclosure": op1_disclosure, "op2_ngram_ratio": op2_ngram_ratio, "op7_pack": op7_pack, "op8_jaccard": op8_jaccard, "op9_decontaminate": op9_decontaminate}
 
 ORACLE: dict[str, str] = {}

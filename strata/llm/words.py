@@ -13,8 +13,11 @@ import pyarrow as pa
 BLOCK = 1 << 20
 SHINGLE = 5
 
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+WHITE = np.zeros(256, dtype=bool)
+WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: all of ASCII but its letters: words are then runs of letters and non-ASCII characters
+NOT_LETTERS = np.zeros(256, dtype=bool)
+NOT_LETTERS[[b for b in range(128) if not chr(b).isalpha()]] = True
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 _PLACES = 4096
@@ -53,13 +56,13 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(values, np.uint8)[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def _block_end(data: np.ndarray, offsets: np.ndarray, start: int) -> int:
+def _block_end(data: np.ndarray, offsets: np.ndarray, start: int, space: np.ndarray) -> int:
     """The end of a block of about BLOCK bytes that cuts no word."""
     total = len(data)
     end = min(start + BLOCK, total)
     while end < total:
         row = offsets[np.searchsorted(offsets, end, side="right") - 1]
-        spaces = np.flatnonzero(_SPACE[data[start:end]])
+        spaces = np.flatnonzero(space[data[start:end]])
         cut = max(int(row), start + int(spaces[-1]) + 1 if len(spaces) else 0)
         if cut > start:
             return cut
@@ -67,16 +70,20 @@ def _block_end(data: np.ndarray, offsets: np.ndarray, start: int) -> int:
     return end
 
 
-def hash_words(data: np.ndarray, offsets: np.ndarray, fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words in order, and the n + 1 word bounds of the rows."""
+def hash_words(data: np.ndarray, offsets: np.ndarray, fold: bool = True,
+               space: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words in order, and the n + 1 word bounds of the rows.
+
+    ``space`` tells which bytes part words (default: white space).
+    """
     hashes, starts_all = [], []
     start, total = 0, len(data)
     while start < total:
-        end = _block_end(data, offsets, start)
+        end = _block_end(data, offsets, start, space)
         block = data[start:end]
         if fold:
             block = _FOLD[block]
-        word = ~_SPACE[block]
+        word = ~space[block]
         first = word.copy()
         first[1:] &= ~word[:-1]
         rows = offsets[np.searchsorted(offsets, start):np.searchsorted(offsets, end)] - start
