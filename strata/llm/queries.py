@@ -9,6 +9,7 @@ from strata.llm.disclosure import KINDS, personal_data
 from strata.llm.jaccard_join import similarity_components
 from strata.llm.ngram_ratio import score_documents
 from strata.llm.packing import pack_documents
+from strata.llm.site_quality import judge
 from strata.sources import catalog
 
 
@@ -63,6 +64,18 @@ def op2_ngram_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(catalog.load(spark, sf_dir, "documents"), trusted_labels(spark, sf_dir))
 
 
-QUERIES = {"op1_disclosure": op1_disclosure, "op2_ngram_ratio": op2_ngram_ratio, "op7_pack": op7_pack, "op8_jaccard": op8_jaccard, "op9_decontaminate": op9_decontaminate}
+def unwanted_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents; unwanted are those of low quality and toxic ones."""
+    return catalog.load(spark, sf_dir, "labels").select(
+        "doc_id", ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int").alias("unwanted"))
+
+
+def op5_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = catalog.load(spark, sf_dir, "documents")
+    return judge(docs, unwanted_labels(spark, sf_dir), host=F.col("source"), path=F.col("lang")).select(
+        F.col("k0").alias("doc_id"), "host", "path", "log_odds", "host_rate", "path_rate", "p_unwanted", "kept")
+
+
+QUERIES = {"op1_disclosure": op1_disclosure, "op2_ngram_ratio": op2_ngram_ratio, "op5_site_quality": op5_site_quality, "op7_pack": op7_pack, "op8_jaccard": op8_jaccard, "op9_decontaminate": op9_decontaminate}
 
 ORACLE: dict[str, str] = {}
