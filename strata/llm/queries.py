@@ -10,6 +10,8 @@ from strata.llm.jaccard_join import similarity_components
 from strata.llm.ngram_ratio import score_documents
 from strata.llm.packing import pack_documents
 from strata.llm.site_quality import judge
+from strata.llm.snapshots import collapse_and_render
+from strata.llm.token_counts import count_tokens
 from strata.sources import catalog
 
 
@@ -76,6 +78,51 @@ def op5_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("k0").alias("doc_id"), "host", "path", "log_odds", "host_rate", "path_rate", "p_unwanted", "kept")
 
 
-QUERIES = {"op1_disclosure": op1_disclosure, "op2_ngram_ratio": op2_ngram_ratio, "op5_site_quality": op5_site_quality, "op7_pack": op7_pack, "op8_jaccard": op8_jaccard, "op9_decontaminate": op9_decontaminate}
-
-ORACLE: dict[str, str] = {}
+def op6_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collapse_and_render(catalog.load(spark, sf_dir, "conversations"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(catalog.load(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+QUERIES = {f.__name__: f for f in (op1_disclosure, op2_ngram_ratio, op5_site_quality, op6_snapshots, op7_pack,
+                                   op8_jaccard, op9_decontaminate, op10_token_counts)}
+
+ORACLE: dict[str, str] = {
+    "op6_snapshots": """
+WITH lines AS (
+  SELECT DISTINCT conv_id, turn, role, text,
+         '<|' || coalesce(role, '') || '|>' || chr(10) || coalesce(text, '') || chr(10) AS line FROM conversations),
+states AS (
+  SELECT conv_id, turn, count(*) OVER w AS n,
+         string_agg(turn || chr(31) || coalesce(role, chr(29)) || chr(31) || coalesce(text, chr(29)), chr(30)) OVER w AS state
+  FROM lines WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+ends AS (SELECT conv_id, max(n) AS n FROM states GROUP BY conv_id),
+finals AS (SELECT s.state, s.n, min(s.conv_id) AS conv_id, count(*) AS n_same
+           FROM states s JOIN ends e ON s.conv_id = e.conv_id AND s.n = e.n GROUP BY s.state, s.n),
+earlier AS (SELECT DISTINCT s.state FROM states s JOIN ends e ON s.conv_id = e.conv_id AND s.n < e.n),
+kept AS (SELECT * FROM finals f WHERE NOT EXISTS (SELECT 1 FROM earlier x WHERE x.state = f.state))
+SELECT k.conv_id, k.n AS n_turns, k.n_same, string_agg(l.line, '' ORDER BY l.turn, l.role, l.text) AS rendered
+FROM kept k JOIN lines l ON l.conv_id = k.conv_id GROUP BY k.conv_id, k.n, k.n_same
+""",
+    "op9_decontaminate": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (SELECT DISTINCT item_id, least(10, len(w)) AS size, w[i:i + least(10, len(w)) - 1] AS words
+            FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM windows),
+places AS (SELECT doc_id, size, i, w[i:i + size - 1] AS words
+           FROM (SELECT doc_id, size, w, unnest(range(1, len(w) - size + 2)) AS i FROM d, sizes WHERE len(w) >= size)),
+found AS (SELECT p.doc_id, p.i, p.size, x.item_id FROM places p JOIN windows x ON x.size = p.size AND x.words = p.words),
+hits AS (SELECT doc_id, count(DISTINCT j) AS n_hit
+         FROM (SELECT doc_id, unnest(range(i, i + size)) AS j FROM (SELECT DISTINCT doc_id, i, size FROM found)) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(t.n_items, 0) AS n_items,
+       sha256(coalesce(t.items, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits h ON h.doc_id = d.doc_id LEFT JOIN items t ON t.doc_id = d.doc_id
+""",
+}
