@@ -9,6 +9,7 @@ from strata.llm.disclosure import KINDS, personal_data
 from strata.llm.jaccard_join import similarity_components
 from strata.llm.ngram_ratio import score_documents
 from strata.llm.packing import pack_documents
+from strata.llm.passages import repeated_passages
 from strata.llm.site_quality import judge
 from strata.llm.snapshots import collapse_and_render
 from strata.llm.token_counts import count_tokens
@@ -66,6 +67,12 @@ def op2_ngram_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(catalog.load(spark, sf_dir, "documents"), trusted_labels(spark, sf_dir))
 
 
+def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_passages(catalog.load(spark, sf_dir, "documents"))
+    line = F.transform("passages", lambda s: F.concat_ws(":", s["first"].cast("string"), s["last"].cast("string")))
+    return found.select("doc_id", "n_passages", "n_dup_words", F.array_join(line, ",").alias("spans"), "partners", "component_id")
+
+
 def unwanted_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents; unwanted are those of low quality and toxic ones."""
     return catalog.load(spark, sf_dir, "labels").select(
@@ -86,7 +93,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(catalog.load(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_disclosure, op2_ngram_ratio, op5_site_quality, op6_snapshots, op7_pack,
+QUERIES = {f.__name__: f for f in (op1_disclosure, op2_ngram_ratio, op3_passages, op5_site_quality, op6_snapshots, op7_pack,
                                    op8_jaccard, op9_decontaminate, op10_token_counts)}
 
 ORACLE: dict[str, str] = {
