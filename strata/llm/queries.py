@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from strata.llm.decontaminate import find_leaks
 from strata.llm.disclosure import KINDS, personal_data
+from strata.llm.html_blocks import extract_main_text
 from strata.llm.jaccard_join import similarity_components
 from strata.llm.ngram_ratio import score_documents
 from strata.llm.packing import pack_documents
@@ -73,6 +74,10 @@ def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_passages", "n_dup_words", F.array_join(line, ",").alias("spans"), "partners", "component_id")
 
 
+def op4_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(catalog.load(spark, sf_dir, "pages"))
+
+
 def unwanted_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents; unwanted are those of low quality and toxic ones."""
     return catalog.load(spark, sf_dir, "labels").select(
@@ -93,7 +98,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(catalog.load(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
-QUERIES = {f.__name__: f for f in (op1_disclosure, op2_ngram_ratio, op3_passages, op5_site_quality, op6_snapshots, op7_pack,
+QUERIES = {f.__name__: f for f in (op1_disclosure, op2_ngram_ratio, op3_passages, op4_html_blocks, op5_site_quality, op6_snapshots, op7_pack,
                                    op8_jaccard, op9_decontaminate, op10_token_counts)}
 
 ORACLE: dict[str, str] = {
