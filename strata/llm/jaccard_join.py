@@ -12,11 +12,11 @@ one of the remaining short lists. The join follows that split:
 2. ``short_postings``: each class posts its short lists (the n - T + 1 shingles of least
    length, by the counters and then by hash) as compact blocks per hash range. One task
    per range merges the sorted postings; lists of one class vanish.
-3. ``link rounds``: first every list probes its members against one leader, in two
-   rounds with different leaders, so that a large group of near copies links by a
-   number of probes linear in its postings. Then all pairs of members that are still in
-   different components are probed, whatever the list's length, so no link is lost:
-   skipping a pair inside one component cannot change any component.
+3. ``link_classes``: in ROUNDS rounds every class probes the least leader that its lists
+   offer in another component, so that a large group of near copies links by one probe
+   a member. Then all pairs of list members that are still in different components are
+   probed, whatever the list's length, so no link is lost: skipping a pair inside one
+   component cannot change any component.
 4. A probe fetches both sets (of candidate classes only) and binary-searches the
    smaller one's sorted shingles, short lists and long ones alike, in the larger one's.
 5. Components are found by passing the smallest label along the links (``components``).
@@ -37,12 +37,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from strata.llm.graph import components
-from strata.llm.shared import by_ids, summed, written
+from strata.llm.shared import by_ids, counter_rows, summed, written
+from strata.session import ensure_checkpoint_dir
 from strata.llm.words import SHINGLE, column, hash_words, mix, shingles, text_buffer
 
 LENGTH_SLOTS = 1 << 18
 BUCKET_POSTINGS = 200_000
 NUM, DEN = 4, 5
+ROUNDS = 2
 ROWS = 1_000
 _STEP_OF_SIZE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -76,23 +78,28 @@ def document_sets(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths = np.zeros(LENGTH_SLOTS, np.int64)
-        names = ["doc_id", "n_shingles", "class", "counts"]
+        fields = [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("class", pa.int64()),
+                  ("counter", pa.int32()), ("piece", pa.int32()), ("counts", pa.binary())]
+
+        def rows(**values) -> pa.RecordBatch:
+            n = len(next(iter(values.values())))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(values[name], t) if name in values else pa.nulls(n, t) for name, t in fields], names=[f for f, _ in fields])
+
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(at, ROWS)
-                counts, classes = [], []
+                sizes, classes = [], []
                 for found in _sets(batch, size):
-                    counts.append(len(found))
+                    sizes.append(len(found))
                     classes.append(class_of(found))
                     np.add.at(lengths, slots(found), 1)
-                yield pa.RecordBatch.from_arrays(
-                    [column(batch, "doc_id").cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(classes, pa.int64()),
-                     pa.nulls(len(counts), pa.binary())], names=names)
-        yield pa.RecordBatch.from_arrays(
-            [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
-             pa.array([lengths.tobytes()], pa.binary())], names=names)
+                yield rows(doc_id=column(batch, "doc_id").to_pylist(), n_shingles=sizes, **{"class": classes})
+        counter, piece, counts = counter_rows([lengths])
+        yield rows(counter=counter, piece=piece, counts=counts)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, class long, counts binary")
+    return docs.select("doc_id", "text").mapInArrow(
+        run, "doc_id long, n_shingles long, class long, counter int, piece int, counts binary")
 
 
 _POSTING = np.dtype([("shingle", "<u8"), ("class", "<i8"), ("n", "<i4")])
@@ -141,17 +148,19 @@ def short_postings(docs: DataFrame, lengths, buckets: int, size: int, num: int,
     return docs.select("text").mapInArrow(run, "bucket int, postings binary")
 
 
-def merged_lists(blocks: DataFrame) -> DataFrame:
-    """(list, class, n): the members of every short list that has two classes or more."""
+def merged_lists(blocks: DataFrame, num: int, den: int) -> DataFrame:
+    """(list, class, n): the members of every short list that has classes of fitting sizes."""
 
     def merge(table: pa.Table) -> pa.Table:
         post = np.concatenate([np.frombuffer(x.as_py(), _POSTING) for x in table.column("postings")])
         post = post[np.lexsort((post["class"], post["shingle"]))]
         new_list = np.r_[True, post["shingle"][1:] != post["shingle"][:-1]]
         post = post[new_list | np.r_[True, post["class"][1:] != post["class"][:-1]]]
-        new_list = np.r_[True, post["shingle"][1:] != post["shingle"][:-1]]
-        number = np.cumsum(new_list) - 1
-        post = post[np.bincount(number)[number] > 1]
+        # by size in each list: a member that fits neither neighbour's size fits no member's
+        post = post[np.lexsort((post["n"], post["shingle"]))]
+        n = post["n"].astype(np.int64)
+        fits = (post["shingle"][1:] == post["shingle"][:-1]) & (den * n[:-1] >= num * n[1:])
+        post = post[np.r_[False, fits] | np.r_[fits, False]]
         return pa.table({"list": pa.array(post["shingle"].astype(np.int64)), "class": pa.array(post["class"]),
                          "n": pa.array(post["n"].astype(np.int32))})
 
@@ -177,7 +186,11 @@ def candidate_sets(docs: DataFrame, sets: DataFrame, lists: DataFrame, size: int
 
 
 def probe(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) that link: the smaller set's shingles are searched in the larger set."""
+    """The pairs (a, b) that link: the smaller set's shingles are searched in the larger set.
+
+    A leader b with very many members meets their bare names first; its set then goes to
+    each member a, so no task gathers the sets of a hot leader's members.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,24 +202,15 @@ def probe(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
                 at = np.searchsorted(y, x)
                 common = int((y[np.minimum(at, len(y) - 1)] == x).sum())
                 good.append(den * common >= num * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([column(batch, c).filter(pa.array(good)) for c in ("a", "b")], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([column(batch, c).filter(pa.array(good, pa.bool_())) for c in ("a", "b")], names=["a", "b"])
 
-    left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
+    leaders = sets.select(F.col("class").alias("b"), F.col("shingles").alias("y"))
+    members = sets.select(F.col("class").alias("a"), F.col("shingles").alias("x"))
+    return pairs.join(leaders, "b").join(members, "a").mapInArrow(run, "a long, b long")
 
 
-def _pairs(members: DataFrame, num: int, den: int) -> DataFrame:
-    """Distinct (a, b), a < b, whose sizes allow a link."""
-    fits = F.lit(den) * F.least("n", "other_n") >= F.lit(num) * F.greatest("n", "other_n")
-    return (members.where(fits & (F.col("class") != F.col("other")))
-            .select(F.least("class", "other").alias("a"), F.greatest("class", "other").alias("b")).distinct())
-
-
-def _with_leaders(members: DataFrame) -> DataFrame:
-    least = members.groupBy("list").agg(F.min(F.struct("class", "n", "root")).alias("lead"))
-    return (members.join(least, "list").where(F.col("root") != F.col("lead.root"))
-            .select("class", "n", F.col("lead.class").alias("other"), F.col("lead.n").alias("other_n")))
+def _fits(num: int, den: int):
+    return F.lit(den) * F.least("n", "other.n") >= F.lit(num) * F.greatest("n", "other.n")
 
 
 def _rooted(lists: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -216,21 +220,37 @@ def _rooted(lists: DataFrame, roots: DataFrame | None) -> DataFrame:
             .withColumn("root", F.coalesce("root", "class")))
 
 
+def _one_probe_each(members: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): for every class the least leader, of another component, that its lists offer."""
+    side = F.struct("root", "class", "n")
+    ends = members.groupBy("list").agg(F.min(side).alias("low"), F.max(side).alias("high")).where("low.root != high.root")
+    return (members.join(ends, "list")
+            .withColumn("other", F.when(F.col("root") != F.col("low.root"), F.col("low")).otherwise(F.col("high")))
+            .where(_fits(num, den)).groupBy(F.col("class").alias("a")).agg(F.min("other.class").alias("b")))
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
 def link_classes(lists: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """(node, root) of all classes that link with another class."""
-    links = roots = None
-    # leaders of every eighth list, then of every list; afterwards all pairs across components
-    for chosen in (F.pmod("list", F.lit(8)) == 0, F.lit(True)):
-        members = _rooted(lists.where(chosen), roots)
-        found = written(probe(_pairs(_with_leaders(members), num, den), sets, num, den), "links")
+    links = probed = roots = None
+    for _ in range(ROUNDS):
+        pairs = written(_ordered(_one_probe_each(_rooted(lists, roots), num, den)), "pairs")
+        found = written(probe(pairs, sets, num, den), "links")
         links = found if links is None else links.unionByName(found)
+        probed = pairs if probed is None else probed.unionByName(pairs)
         roots = components(links)
     members = _rooted(lists, roots)
-    open_lists = members.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("list")
+    open_lists = (members.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+                  .where("low != high").select("list"))
     left = written(members.join(open_lists, "list", "left_semi"), "open")
-    right = left.select("list", F.col("class").alias("other"), F.col("n").alias("other_n"), F.col("root").alias("other_root"))
-    across = left.join(right, "list").where((F.col("root") != F.col("other_root")) & (F.col("class") < F.col("other")))
-    found = written(probe(_pairs(across, num, den), sets, num, den), "links")
+    right = left.select("list", F.struct("root", "class", "n").alias("other"))
+    across = (left.join(right, "list")
+              .where((F.col("root") != F.col("other.root")) & (F.col("class") > F.col("other.class")) & _fits(num, den))
+              .select(F.col("class").alias("a"), F.col("other.class").alias("b")).distinct())
+    found = written(probe(across.join(probed, ["a", "b"], "left_anti"), sets, num, den), "links")
     return components(links.unionByName(found))
 
 
@@ -238,13 +258,16 @@ def similarity_components(docs: DataFrame, size: int = SHINGLE, num: int = NUM,
     """(doc_id, n_shingles, class, component_id) of every row; component_id is the smallest
     doc_id that links lead to, the row's own included."""
     spark = docs.sparkSession
+    ensure_checkpoint_dir(spark)
     parts = written(document_sets(docs, size), "sets")
-    sets = parts.where(F.col("counts").isNull()).drop("counts")
-    lengths = spark.sparkContext.broadcast(summed(parts, "counts", LENGTH_SLOTS))
+    sets = parts.where(F.col("counts").isNull()).select("doc_id", "n_shingles", "class")
+    lengths = spark.sparkContext.broadcast(summed(parts, 0, LENGTH_SLOTS))
     total = sets.agg(F.sum(F.col("n_shingles") - F.ceil(F.col("n_shingles") * num / den) + 1)).first()[0] or 0
     buckets = max(1, -(-int(total) // BUCKET_POSTINGS))
-    lists = written(merged_lists(short_postings(docs, lengths, buckets, size, num, den)), "lists")
-    known = written(candidate_sets(docs, sets, lists, size), "shingles")
+    lists = written(merged_lists(short_postings(docs, lengths, buckets, size, num, den), num, den), "lists")
+    # dealt out by class once; both joins of every probe use that
+    known = (candidate_sets(docs, sets, lists, size)
+             .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "class").checkpoint())
     roots = link_classes(lists, known, num, den)
     classes = (sets.where(F.col("class") != 0).groupBy("class").agg(F.min("doc_id").alias("first"))
                .join(roots.withColumnRenamed("node", "class"), "class", "left")

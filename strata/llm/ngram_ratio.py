@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from strata.llm.shared import flagged, summed, written
+from strata.llm.shared import counter_rows, flagged, summed, written
 from strata.llm.words import column, hash_words, mix, text_buffer
 
 SLOTS = 1 << 20
@@ -49,7 +49,7 @@ def gram_slots(words: np.ndarray) -> np.ndarray:
 
 
 def count_grams(docs: DataFrame) -> DataFrame:
-    """Rows of counters (raw, target) of each task; ``docs`` has text and flag (trusted)."""
+    """Rows of the counters 0 (raw) and 1 (target) of each task; ``docs`` has text and flag (trusted)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, target = np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int64)
@@ -65,15 +65,17 @@ def count_grams(docs: DataFrame) -> DataFrame:
                                 np.add.at(counter, gram_slots(words[a:b]), 1)
                             else:
                                 counter += found
-        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (raw, target)], names=["raw", "target"])
+        counter, piece, counts = counter_rows([raw, target])
+        yield pa.RecordBatch.from_arrays([pa.array(counter, pa.int32()), pa.array(piece, pa.int32()), pa.array(counts, pa.binary())],
+                                         names=["counter", "piece", "counts"])
 
-    return docs.mapInArrow(run, "raw binary, target binary")
+    return docs.mapInArrow(run, "counter int, piece int, counts binary")
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, prior: float = PRIOR) -> np.ndarray:
     """The log ratio of every slot; ``trusted`` holds the doc_id of trusted documents."""
     counts = written(count_grams(flagged(docs, trusted, {"text": F.col("text")})), "grams")
-    raw, target = summed(counts, "raw", SLOTS), summed(counts, "target", SLOTS)
+    raw, target = summed(counts, 0, SLOTS), summed(counts, 1, SLOTS)
     if not target.sum():
         return np.zeros(SLOTS)
     share = target.sum() / raw.sum()

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -36,19 +34,34 @@ def flagged(docs: DataFrame, ids: DataFrame, columns: dict[str, Column]) -> Data
     return joined.select(*[c.alias(n) for n, c in columns.items()], F.col("id of a flagged row").isNotNull().alias("flag"))
 
 
-def summed(parts: DataFrame, name: str, size: int) -> np.ndarray:
-    """The element-wise sum of a binary column of ``size`` 64-bit counters per row (nulls are skipped).
+PIECES = 16
+
+
+def counter_rows(counters: list[np.ndarray]) -> tuple[list[int], list[int], list[bytes]]:
+    """One task's counters as rows (counter, piece, counts), every counter in PIECES pieces."""
+    rows = [(c, k, part.astype("<i8").tobytes()) for c, whole in enumerate(counters)
+            for k, part in enumerate(np.split(whole, PIECES))]
+    return tuple(map(list, zip(*rows)))
 
-    Added up in two steps, so that neither a task nor the driver holds the rows of all tasks.
+
+def summed(parts: DataFrame, counter: int, size: int) -> np.ndarray:
+    """The sum of one counter of ``size`` numbers over all tasks' ``counter_rows``.
+
+    Pieces are added up in two steps, so that no task holds the rows of all tasks, and
+    the driver gets each piece once (``size`` numbers in all).
     """
 
     def add(table: pa.Table) -> pa.Table:
-        total = np.zeros(size, np.int64)
-        for x in table.column(name):
+        total = np.zeros(size // PIECES, np.int64)
+        for x in table.column("counts"):
             total += np.frombuffer(x.as_buffer(), "<i8")
-        return pa.table({name: pa.array([total.tobytes()], pa.binary())})
-
-    rows = (parts.where(F.col(name).isNotNull()).select(name)
-            .withColumn("part", F.pmod(F.spark_partition_id(), F.lit(32)))
-            .groupBy("part").applyInArrow(add, f"{name} binary").collect())  # at most 32 rows of a fixed size
-    return reduce(np.add, (np.frombuffer(r[name], "<i8") for r in rows), np.zeros(size, np.int64))
+        return pa.table({"piece": table.column("piece").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+
+    step = parts.where(F.col("counter") == counter).select("piece", "counts")
+    step = (step.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(32)))
+            .groupBy("piece", "part").applyInArrow(lambda t: add(t), "piece int, counts binary"))
+    rows = step.groupBy("piece").applyInArrow(lambda t: add(t), "piece int, counts binary").collect()
+    out = np.zeros((PIECES, size // PIECES), np.int64)
+    for r in rows:
+        out[r["piece"]] = np.frombuffer(r["counts"], "<i8")
+    return out.ravel()
