@@ -1,37 +1,34 @@
 """Per-entity feature profiles, latest values, exact medians and fills.
 
-The median is exact and distributed. Each column is counted first. Columns of
-at most ``final_rows`` values are ranked together in one window job (one
-window per column, bounded by that count). Larger columns go through a
-histogram-refinement selection that finds the value at a given rank with a
-few passes, each returning at most ``fanout`` bucket summaries to the driver;
-only a bracket of at most ``final_rows`` values is ever ordered (a bounded
-top-k). No step holds an unchecked column in one task, unlike
+The median is exact and distributed: counted values are range-partitioned,
+one count per partition places the middle ranks, and only the partitions that
+hold them are ordered. No step holds a column in one task, unlike
 ``median()``/``percentile()``, whose final merge keeps every distinct value of
 the group in one place.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.clean import as_column
+from strata.session import ensure_checkpoint_dir
 
 
 def latest_value(value, order: Sequence) -> Column:
     """Last non-null ``value`` in ``order`` (ascending): max_by with NULL values skipped.
 
     ``max_by`` ignores rows whose ordering is NULL, so masking the ordering
-    where the value is NULL gives ``FILTER (WHERE value IS NOT NULL)``.
+    where the value is NULL gives ``FILTER (WHERE value IS NOT NULL)``. One
+    order column is used as it is: a number then aggregates by hash, a struct
+    would sort all rows first.
     """
     value = as_column(value)
-    ordering = F.struct(*[as_column(o) for o in order])
+    ordering = as_column(order[0]) if len(order) == 1 else F.struct(*[as_column(o) for o in order])
     return F.max_by(value, F.when(value.isNotNull(), ordering))
 
 
@@ -88,34 +85,6 @@ def latest_non_null(df: DataFrame, key: str, order: Sequence[str], cols: Sequenc
             .groupBy(key).agg(*[latest_value(c, order).alias(c) for c in cols]))
 
 
-def _value_at_rank(x: DataFrame, k: int, lo: float, hi: float, below: int,
-                   fanout: int, final_rows: int) -> float:
-    """Value of 0-based rank ``k`` in column ``x.x``; it lies in [lo, hi] and
-    ``below`` values are smaller than ``lo``."""
-    xc = F.col("x")
-    while True:
-        if lo == hi:
-            return lo
-        band = x.filter((xc >= F.lit(lo)) & (xc <= F.lit(hi)))
-        half_lo, half_width = lo / 2.0, hi / 2.0 - lo / 2.0   # halves cannot overflow
-        bucket = F.least(F.floor((xc / 2.0 - F.lit(half_lo)) / F.lit(half_width) * F.lit(fanout)).cast("long"),
-                         F.lit(fanout - 1))
-        hist = (band.groupBy(bucket.alias("b"))
-                .agg(F.count(F.lit(1)).alias("c"), F.min(xc).alias("mn"), F.max(xc).alias("mx"))
-                .orderBy("b").collect())                      # at most `fanout` rows
-        seen = below
-        for row in hist:
-            if seen + row.c > k:
-                if row.c <= final_rows:
-                    inner = x.filter((xc >= F.lit(row.mn)) & (xc <= F.lit(row.mx)))
-                    return inner.orderBy(xc).offset(k - seen).limit(1).first().x
-                lo, hi, below = row.mn, row.mx, seen
-                break
-            seen += row.c
-        else:  # pragma: no cover - counts always cover rank k
-            raise RuntimeError("rank outside histogram")
-
-
 def _midpoint(v_lo: float, v_hi: float) -> float:
     """Interpolated median of the two middle values, ``lo + (hi - lo) / 2``
     (the same arithmetic as DuckDB's); equal values are returned as they are,
@@ -123,93 +92,53 @@ def _midpoint(v_lo: float, v_hi: float) -> float:
     return float(v_lo) if v_lo == v_hi else float(v_lo + (v_hi - v_lo) * 0.5)
 
 
-def _rank_with_infinities(x: DataFrame, k: int, lo: float, hi: float, fanout: int, final_rows: int) -> float:
-    """Rank selection when the range may end in -inf / +inf: the infinite values
-    are blocks at either end; the histogram only ever sees finite values."""
-    if math.isfinite(lo) and math.isfinite(hi):
-        return _value_at_rank(x, k, lo, hi, 0, fanout, final_rows)
-    xc = F.col("x")
-    r = x.agg(F.count(F.when(xc == F.lit(float("-inf")), 1)).alias("neg"),
-              F.count(F.when(xc == F.lit(float("inf")), 1)).alias("pos"),
-              F.count(F.lit(1)).alias("n"),
-              F.min(F.when(F.abs(xc) != F.lit(float("inf")), xc)).alias("flo"),
-              F.max(F.when(F.abs(xc) != F.lit(float("inf")), xc)).alias("fhi")).first()
-    if k < r.neg:
-        return float("-inf")
-    if k >= r.n - r.pos:
-        return float("inf")
-    finite = x.filter(F.abs(xc) != F.lit(float("inf")))
-    return _value_at_rank(finite, k - r.neg, r.flo, r.fhi, 0, fanout, final_rows)
-
-
-def exact_medians(df: DataFrame, cols: Sequence[str], fanout: int = 1024,
-                  final_rows: int = 250_000) -> dict[str, float | None]:
+def exact_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None]:
     """Exact median (mean of the two middle values for an even count) of each
     column, NULL and NaN skipped; None for a column without values.
 
-    The columns are materialised once (persisted, recomputable from lineage
-    if an executor is lost) and every selection pass reads that copy.
+    All columns are ranked together, in the same way at any size: (column,
+    value) pairs are counted with a map-side combine, so a value that a third
+    of the rows share is one row; the distinct pairs are range-partitioned and
+    written once (checkpoint); the driver reads one count per partition and
+    column, which tells the partition and place of the middle ranks; only the
+    range partitions that hold them are then ordered.
     """
     if not cols:
         return {}
-    names = [f"_m{i}" for i in range(len(cols))]
-    base = df.select(*[F.col(c).cast("double").alias(n) for c, n in zip(cols, names)]).persist(
-        StorageLevel.MEMORY_AND_DISK)
-
-    def present(n):
-        v = F.col(n)
-        return F.when(v.isNotNull() & ~F.isnan(v), v)
-
-    try:
-        stats = base.agg(*[e for n in names for e in (
-            F.count(present(n)).alias(f"n{n}"), F.min(present(n)).alias(f"lo{n}"),
-            F.max(present(n)).alias(f"hi{n}"))]).first()
-        out: dict[str, float | None] = {}
-        for c, name in zip(cols, names):
-            n, lo, hi = stats[f"n{name}"], stats[f"lo{name}"], stats[f"hi{name}"]
-            if not n:
-                out[c] = None
-                continue
-            if n <= final_rows:
-                continue            # done below, all small columns in one job
-            x = base.select(F.col(name).alias("x")).filter(F.col("x").isNotNull() & ~F.isnan(F.col("x")))
-            k_lo, k_hi = (n - 1) // 2, n // 2
-            v_lo = _rank_with_infinities(x, k_lo, lo, hi, fanout, final_rows)
-            if k_hi == k_lo:
-                out[c] = float(v_lo)
-                continue
-            nxt = x.agg(F.count(F.when(F.col("x") <= F.lit(v_lo), F.lit(1))).alias("le"),
-                        F.min(F.when(F.col("x") > F.lit(v_lo), F.col("x"))).alias("nxt")).first()
-            v_hi = v_lo if nxt.le > k_hi else nxt.nxt
-            out[c] = _midpoint(v_lo, v_hi)
-        small = [(i, c, stats[f"n{name}"]) for i, (c, name) in enumerate(zip(cols, names))
-                 if 0 < (stats[f"n{name}"] or 0) <= final_rows]
-        if small:
-            out.update(_small_medians(base, names, small))
-        return out
-    finally:
-        base.unpersist()
-
-
-def _small_medians(base: DataFrame, names: Sequence[str], small) -> dict[str, float]:
-    """Both middle values of every column whose checked count is at most
-    ``final_rows``, in one job: the columns are stacked as (column, value) and
-    ranked in a window per column (each window holds one such column)."""
-    stacked = (base.select(F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(names[i]).alias("x"))
-                                              for i, _, _ in small])).alias("s"))
-               .select("s.c", "s.x").filter(F.col("x").isNotNull() & ~F.isnan(F.col("x"))))
-    lo_rank = F.create_map(*[e for i, _, n in small for e in (F.lit(i), F.lit((n - 1) // 2))])
-    hi_rank = F.create_map(*[e for i, _, n in small for e in (F.lit(i), F.lit(n // 2))])
-    ranked = stacked.withColumn("rn", F.row_number().over(Window.partitionBy("c").orderBy("x")) - 1)
-    picked = ranked.filter((F.col("rn") == lo_rank[F.col("c")]) | (F.col("rn") == hi_rank[F.col("c")]))
-    found: dict[int, dict[int, float]] = {}
-    for r in picked.collect():                 # at most two rows per column
-        found.setdefault(r.c, {})[r.rn] = r.x
-    out = {}
-    for i, c, n in small:
-        v_lo, v_hi = found[i][(n - 1) // 2], found[i][n // 2]
-        out[c] = _midpoint(v_lo, v_hi)
-    return out
+    ensure_checkpoint_dir(df.sparkSession)
+    pairs = (df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("x"))
+                                           for i, c in enumerate(cols)])).alias("s")).select("s.c", "s.x")
+             .filter(F.col("x").isNotNull() & ~F.isnan("x")))
+    ranked = (pairs.groupBy("c", "x").agg(F.count(F.lit(1)).alias("n"))
+              .repartitionByRange(F.col("c").asc(), F.col("x").asc())
+              .withColumn("part", F.spark_partition_id()).checkpoint(eager=True))
+    sizes = ranked.groupBy("c", "part").agg(F.sum("n").alias("n")).collect()
+    totals: dict[int, int] = {}
+    for r in sizes:
+        totals[r.c] = totals.get(r.c, 0) + r.n
+    wanted: dict[tuple[int, int], tuple[int, set[int]]] = {}    # (column, partition) -> rows before it, middle ranks
+    before: dict[int, int] = {}
+    for r in sorted(sizes, key=lambda r: (r.c, r.part)):
+        start = before.get(r.c, 0)
+        middle = {k for k in ((totals[r.c] - 1) // 2, totals[r.c] // 2) if start <= k < start + r.n}
+        if middle:
+            wanted[r.c, r.part] = (start, middle)
+        before[r.c] = start + r.n
+    found: dict[tuple[int, int], float] = {}
+    if wanted:
+        held = reduce(lambda a, b: a | b, [(F.col("c") == c) & (F.col("part") == p) for c, p in wanted])
+        upto = Window.partitionBy("c", "part").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        running = ranked.filter(held).withColumn("end", F.sum("n").over(upto))
+        hit = reduce(lambda a, b: a | b, [
+            (F.col("c") == c) & (F.col("part") == p) & (F.col("end") > k - start) & (F.col("end") - F.col("n") <= k - start)
+            for (c, p), (start, middle) in wanted.items() for k in middle])
+        for r in running.filter(hit).collect():              # at most two rows per column
+            start, middle = wanted[r.c, r.part]
+            for k in middle:
+                if r.end - r.n <= k - start < r.end:
+                    found[r.c, k] = r.x
+    return {c: _midpoint(found[i, (totals[i] - 1) // 2], found[i, totals[i] // 2]) if i in totals else None
+            for i, c in enumerate(cols)}
 
 
 def approx_medians(df: DataFrame, cols: Sequence[str], accuracy: int = 10_000) -> dict[str, float | None]:
@@ -240,7 +169,6 @@ def above_median_flag(df: DataFrame, col: str, name: str, approx: bool = False,
     ``materialize`` checkpoints ``df`` (shared checkpoint folder) first, so the
     median passes and the flagged result read it instead of recomputing it."""
     if materialize:
-        from strata.session import ensure_checkpoint_dir
         ensure_checkpoint_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
     med = median if median is not None else (

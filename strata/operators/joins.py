@@ -1,10 +1,8 @@
 """Joins: left join on any of several equalities, lookups with precedence, stars.
 
 Broadcast policy: an explicit broadcast hint is only put on data whose size is
-proven: inline tables (row count known on the driver, checked against
-``MAX_INLINE_ROWS``), and elsewhere first-N code lists, a single selected key
-and one-row-per-partition offsets. Every other join is left to Catalyst /
-AQE, whose broadcast decision is itself size-checked
+proven: a single selected key and one-row-per-partition offsets. Every other
+join is left to Catalyst / AQE, whose broadcast decision is itself size-checked
 (``spark.sql.autoBroadcastJoinThreshold`` on runtime statistics) and falls
 back to a shuffle join above it.
 """
@@ -14,58 +12,51 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from strata.functions.keys import first_present
-
-MAX_INLINE_ROWS = 10_000
-
 
 def inline_table(spark: SparkSession, rows: Sequence, schema: StructType | str) -> DataFrame:
-    """A literal relation (``UNNEST([STRUCT ...])``) marked for broadcast.
-
-    Its size is the length of ``rows``, checked here, so the hint is safe.
-    """
-    rows = list(rows)
-    if len(rows) > MAX_INLINE_ROWS:
-        raise ValueError(f"inline table of {len(rows)} rows exceeds {MAX_INLINE_ROWS}; land it as a table")
-    return F.broadcast(spark.createDataFrame(rows, schema))
-
-
-def _null_padded(df: DataFrame, right: DataFrame) -> DataFrame:
-    pads = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
-    return df.select("*", *pads)
+    """A literal relation (``UNNEST([STRUCT ...])``); its size is known to the planner."""
+    return spark.createDataFrame(list(rows), schema)
 
 
 def left_any_match(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """``left LEFT JOIN right ON l1 = r1 OR l2 = r2 OR ...`` without a nested loop.
 
-    A pair of rows is emitted by the first alternative that holds for it; rows of
-    ``left`` that match no alternative are kept once with NULLs on the right.
-    Every branch is an equi-join (hash or sort-merge), so the plan holds at
-    any size; bag semantics (fan-out) are the same as the OR join.
+    Both sides are spread to one row per (alternative, key) and meet in one
+    equi-join, so each side is read once. A pair of rows counts for the first
+    alternative that holds for it; rows of ``left`` that match no alternative
+    come out of the same join, once, with NULLs on the right. Bag semantics
+    (fan-out, repeated rows) are those of the OR join.
     Column names of ``left`` and ``right`` must be disjoint.
     """
     overlap = set(left.columns) & set(right.columns)
     if overlap:
         raise ValueError(f"left and right share columns {sorted(overlap)}; rename first")
-    branches = []
-    earlier: list[Column] = []
-    for lcol, rcol in pairs:
-        eq = left[lcol] == right[rcol]
-        cond = eq
-        for prev in earlier:
-            cond = cond & ~F.coalesce(prev, F.lit(False))
-        branches.append(left.join(right, cond, "inner"))
-        earlier.append(eq)
-    unmatched = left
-    for lcol, rcol in pairs:
-        unmatched = unmatched.join(right, unmatched[lcol] == right[rcol], "left_anti")
-    branches.append(_null_padded(unmatched, right))
-    cols = left.columns + right.columns
-    return reduce(lambda a, b: a.unionByName(b), [b.select(*cols) for b in branches])
+
+    def spread(df: DataFrame, cols: Sequence[str], row: str, ends: bool) -> DataFrame:
+        keys = [F.struct(F.lit(i).alias("alt"), F.col(c).cast(left.schema[lc].dataType).cast("string").alias("key"))
+                for i, (c, (lc, _)) in enumerate(zip(cols, pairs))]
+        # alternative -1 stands for "no match"; only the left side has it, under keys that spread
+        if ends:
+            keys.append(F.struct(F.lit(-1).alias("alt"), F.xxhash64(*df.columns).cast("string").alias("key")))
+        return (df.select(F.struct(*df.columns).alias(row), F.explode(F.array(*keys)).alias("k"))
+                .select(row, F.col("k.alt").alias(f"{row}_alt"), F.col("k.key").alias(f"{row}_key")))
+
+    a = spread(left, [p[0] for p in pairs], "a", True)
+    b = spread(right, [p[1] for p in pairs], "b", False)
+    met = a.join(b, (F.col("a_alt") == F.col("b_alt")) & (F.col("a_key") == F.col("b_key")), "left")
+    same = [F.coalesce(F.col(f"a.{lc}") == F.col(f"b.{rc}"), F.lit(False)) for lc, rc in pairs]
+    earlier = reduce(lambda x, y: x | y, [(F.col("a_alt") > i) & same[i] for i in range(len(pairs))])
+    hit = F.col("b").isNotNull() & ~earlier
+    # the "no match" row of a left row stays only if none of its alternatives hit
+    keyed = met.withColumn("hit", hit).filter(F.col("hit") | (F.col("a_alt") == -1))
+    per_row = Window.partitionBy("a")
+    return (keyed.withColumn("matched", F.max("hit").over(per_row))
+            .filter(F.col("hit") | ~F.col("matched"))
+            .select(*[F.col(f"a.{c}").alias(c) for c in left.columns], *[F.col(f"b.{c}").alias(c) for c in right.columns]))
 
 
 def lookup(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str, take: Sequence[str]) -> DataFrame:
@@ -74,11 +65,6 @@ def lookup(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str, take: Seque
     return fact.join(dim.select(*on, *take), on, "left")
 
 
-def with_fallback(df: DataFrame, name: str, *sources, default=None) -> DataFrame:
-    """``name = COALESCE(source1, source2, ..., default)``."""
-    return df.withColumn(name, first_present(*sources, default=default))
-
-
 def star(fact: DataFrame, dims: Sequence[tuple[DataFrame, Sequence[str] | str, Sequence[str]]]) -> DataFrame:
     """Chain of left joins of a fact with its dimensions (each ``(dim, keys, columns)``)."""
     out = fact

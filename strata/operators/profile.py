@@ -22,7 +22,7 @@ COUNT_SCHEMA = StructType([
 
 
 def table_counts(spark: SparkSession, tables: Mapping[str, Callable[[], DataFrame]],
-                 layer: str = "raw", error_chars: int = 200) -> DataFrame:
+                 layer: str = "raw") -> DataFrame:
     """One row per table: (layer, table_name, row_count, error).
 
     ``tables`` maps names to zero-argument loaders. A table that cannot be
@@ -38,7 +38,7 @@ def table_counts(spark: SparkSession, tables: Mapping[str, Callable[[], DataFram
                                    F.count(F.lit(1)).alias("row_count"),
                                    F.lit(None).cast("string").alias("error")))
         except Exception as exc:  # reported, not raised: one bad table must not stop the report
-            failed.append((layer, name, None, str(exc)[:error_chars]))
+            failed.append((layer, name, None, str(exc)))
     if failed:
         parts.append(spark.createDataFrame(failed, COUNT_SCHEMA))
     if not parts:
@@ -95,14 +95,16 @@ def category_share(df: DataFrame, col: str, labels: Sequence[str], name: str = "
     spark = df.sparkSession
     label_df = inline_table(spark, [(lab, i) for i, lab in enumerate(labels)],
                             f"{name} string, position int")
-    # one pass over df: the per-category counts include the NULL group, and
-    # the total of all rows is the sum of those few counts
-    counts_all = df.groupBy(F.col(col).alias(name)).agg(F.count(F.lit(1)).alias(count_name))
-    total = counts_all.select(F.sum(count_name)).scalar()
-    counts = counts_all.filter(F.col(name).isNotNull())
-    out = label_df.join(counts, name, "left").withColumn(count_name, F.coalesce(F.col(count_name), F.lit(0)))
-    return out.select(name, "position", F.col(count_name).cast("long").alias(count_name),
-                      (F.col(count_name) * F.lit(100.0) / total).alias(share_name))
+    # one pass over df: the counted categories (a few rows, NULL among them) carry the total of
+    # all rows as a window sum over them, and the labels join that
+    counted = df.groupBy(F.col(col).alias("_label")).agg(F.count(F.lit(1)).alias("_n"))
+    counted = counted.withColumn("_all", F.sum("_n").over(Window.partitionBy()))
+    hit = F.col("_label") == F.col(name)
+    out = label_df.join(counted, hit, "full_outer")
+    total = F.max("_all").over(Window.partitionBy())
+    return (out.withColumn("_total", total).filter(F.col(name).isNotNull())
+            .select(name, "position", F.coalesce("_n", F.lit(0)).cast("long").alias(count_name),
+                    (F.coalesce("_n", F.lit(0)) * F.lit(100.0) / F.col("_total")).alias(share_name)))
 
 
 def best_worst(df: DataFrame, key: str, score: str, n: int = 10, mean_name: str = "mean_score") -> DataFrame:
@@ -119,8 +121,8 @@ def best_worst(df: DataFrame, key: str, score: str, n: int = 10, mean_name: str
 
 def fanout(joined: DataFrame, left_keys: Sequence[str], name: str = "fanout_rows") -> DataFrame:
     """Rows a join added beyond one per left row: ``count(*) - count(distinct left keys)``.
-    Zero means the join kept the left side's grain."""
-    return joined.agg((F.count(F.lit(1)) - F.count_distinct(*[F.col(k) for k in left_keys])).alias(name))
+    Zero means the join kept the left side's grain. A NULL in a key is a value like any other."""
+    return joined.agg((F.count(F.lit(1)) - F.count_distinct(F.struct(*left_keys))).alias(name))
 
 
 def duplicate_keys(df: DataFrame, key: str, count_name: str = "copies") -> DataFrame:
