@@ -2,7 +2,7 @@
 
 from strata.functions.clean import (  # noqa: F401
     as_column, default_missing, nan_to_null, number_text_guard, safe_double,
-    safe_long, safe_year, strict_long, strict_string, text_timestamp,
+    safe_long, safe_year, text_timestamp,
 )
 from strata.functions.classify import band, flag, in_groups, threshold  # noqa: F401
 from strata.functions.keys import dotted, first_present, prefix, surrogate_key  # noqa: F401

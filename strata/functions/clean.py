@@ -58,22 +58,10 @@ def safe_long(c, dtype: DataType | None = None) -> Column:
     return c.try_cast("long")
 
 
-def strict_long(c, dtype: DataType | None = None) -> Column:
-    """CAST(x AS INT64): raises on unparsable text when ANSI mode is on."""
-    c = as_column(c)
-    if dtype is not None and isinstance(dtype, NumericType):
-        return F.round(c.cast("double"), 0).cast("long")
-    return c.cast("long")
-
-
 def safe_year(c, dtype: DataType | None = None) -> Column:
     return safe_long(c, dtype)
 
 
-def strict_string(c) -> Column:
-    return as_column(c).cast("string")
-
-
 def text_timestamp(c) -> Column:
     """Timestamp from its text form, keeping fractional seconds.
 

@@ -21,10 +21,6 @@ def load(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(base, name))
 
 
-def load_all(spark: SparkSession, base: str, names: Sequence[str] = TEST_TABLES) -> dict[str, DataFrame]:
-    return {n: load(spark, base, n) for n in names}
-
-
 def register_views(spark: SparkSession, base: str, names: Sequence[str] = TEST_TABLES) -> None:
     for n in names:
         load(spark, base, n).createOrReplaceTempView(n)

@@ -12,19 +12,20 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from strata import schemas
-from strata.functions.clean import default_missing
+from strata.functions.clean import default_missing, safe_double
 from strata.functions.keys import dotted
 
 
 def read_payload_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: ``payload`` (the whole document) and ``source_file``."""
-    return (spark.read.option("wholetext", True).text(path)
+    return (spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
             .select(F.col("value").alias("payload"), F.col("_metadata.file_path").alias("source_file")))
 
 
@@ -138,16 +139,9 @@ def first_n_codes(catalogue: DataFrame, code: str, order: str, n: int) -> DataFr
     return catalogue.orderBy(F.col(order).asc(), F.col(code).asc()).limit(n).select(code)
 
 
-def restrict(df: DataFrame, codes: DataFrame, on: str, code: str | None = None, bounded: bool = False) -> DataFrame:
-    """Keep rows of ``df`` whose ``on`` is among ``codes`` (left semi join).
-
-    ``bounded=True`` states that ``codes`` has a proven small size (the output
-    of :func:`first_n_codes`: at most n rows); only then is it broadcast.
-    Otherwise Catalyst/AQE choose the join by measured size.
-    """
-    code = code or on
-    keys = codes.select(F.col(code).alias(on))
-    return df.join(F.broadcast(keys) if bounded else keys, on, "left_semi")
+def restrict(df: DataFrame, codes: DataFrame, on: str, code: str | None = None) -> DataFrame:
+    """Keep rows of ``df`` whose ``on`` is among ``codes`` (left semi join, chosen by measured size)."""
+    return df.join(codes.select(F.col(code or on).alias(on)), on, "left_semi")
 
 
 # --- two-element arrays [header, [records]] ---------------------------------------------
@@ -174,14 +168,14 @@ def flatten_countries(payloads: DataFrame, extracted_at=None) -> DataFrame:
 
 
 def flatten_series(payloads: DataFrame, code: Column | str, name: Column | str, extracted_at=None,
-                   zero_as_null: bool = False, year_range: tuple[int, int] | None = (2000, 2024)
+                   zero_as_null: bool = False, year_range: tuple[int, int] | None = None
                    ) -> tuple[DataFrame, DataFrame]:
     """Paged series ``[header, [{country, date, value}]]`` -> (rows, rejects).
 
-    Records without a value are skipped; a date that is not an integer goes to
-    the rejects instead of aborting the run. ``zero_as_null`` reproduces the
+    Records without a value are skipped; a date that is not an integer or a
+    value that is not a number goes to the rejects instead of aborting the run. ``zero_as_null`` reproduces the
     truthiness test that turns a true zero into NULL. ``year_range`` is the
-    requested period (inclusive).
+    requested period (inclusive; None: every year).
     """
     code = F.col(code) if isinstance(code, str) else code
     name = F.col(name) if isinstance(name, str) else name
@@ -190,17 +184,20 @@ def flatten_series(payloads: DataFrame, code: Column | str, name: Column | str,
                                               ArrayType(schemas.SERIES_ELEMENT))).alias("r"))
     r = r.filter(F.col("r.value").isNotNull())
     year = F.col("r.date").try_cast("long")
-    value = F.col("r.value").try_cast("double")
+    value = safe_double("r.value")
     if zero_as_null:
         value = F.when(value == F.lit(0.0), F.lit(None).cast("double")).otherwise(value)
     rows = r.select("indicator_code", "indicator_name",
                     default_missing(F.col("r.country.id")).alias("country_code"),
                     default_missing(F.col("r.country.value")).alias("country_name"),
                     year.alias("year"), value.alias("value"), _stamp(extracted_at).alias("extracted_at"),
-                    F.col("r.date").alias("_date"))
-    rejects = rows.filter(F.col("year").isNull()).select(
-        "indicator_code", "country_code", F.col("_date").alias("date"), F.lit("date not an integer").alias("reason"))
-    good = rows.filter(F.col("year").isNotNull()).drop("_date")
+                    F.col("r.date").alias("_date"), F.col("r.value").alias("_value"),
+                    F.when(year.isNull(), F.lit("date not an integer"))
+                    .when(safe_double("r.value").isNull(), F.lit("value not a number")).alias("_reason"))
+    rejects = rows.filter(F.col("_reason").isNotNull()).select(
+        "indicator_code", "country_code", F.col("_date").alias("date"), F.col("_value").alias("value"),
+        F.col("_reason").alias("reason"))
+    good = rows.filter(F.col("_reason").isNull()).drop("_date", "_value", "_reason")
     if year_range is not None:
         good = good.filter(F.col("year").between(year_range[0], year_range[1]))
     return good, rejects
@@ -258,43 +255,65 @@ def catalogue_positions(payloads: DataFrame, code_field: str = "code") -> DataFr
                     F.struct(F.col("source_file"), F.col("pos")).alias("position")))
 
 
+def observation_code(source_file: Column) -> Column:
+    """The indicator of an observation page: its folder under ``observations/``, or the
+    file's own name where it lies there directly."""
+    return F.regexp_extract(source_file, r"/observations/([^/]+?)(?:\.json)?(?:/[^/]+)?$", 1)
+
+
+def payload_rejects(payloads: DataFrame, kind: str) -> DataFrame:
+    """(kind, source_file, reason) of the documents of one payload kind that cannot be read."""
+    array, element = {
+        "goals": (F.col("payload"), schemas.GOAL_ELEMENT),
+        "targets": (F.col("payload"), schemas.TARGET_ELEMENT),
+        "indicators": (F.col("payload"), schemas.INDICATOR_ELEMENT),
+        "areas": (F.col("payload"), schemas.AREA_ELEMENT),
+        "observations": (F.get_json_object("payload", "$.data"), schemas.OBSERVATION_ELEMENT),
+        "countries": (F.get_json_object("payload", "$[1]"), schemas.COUNTRY_ELEMENT),
+        "series": (F.get_json_object("payload", "$[1]"), schemas.SERIES_ELEMENT),
+    }[kind]
+    return split_rejects(payloads, array, element)[1].select(F.lit(kind).alias("kind"), "source_file", "reason")
+
+
 def land_raw(spark: SparkSession, root: str, extracted_at=None, max_indicators: int | None = None,
-             series_names: dict | None = None, zero_as_null: bool = False) -> dict[str, DataFrame]:
+             series_names: dict | None = None, zero_as_null: bool = False,
+             year_range: tuple[int, int] | None = None) -> dict[str, DataFrame]:
     """Landing folder -> the seven raw tables (and reject reports).
 
     Layout under ``root``: ``goals/``, ``targets/``, ``indicators/``,
-    ``areas/`` (catalogue arrays), ``observations/<indicator>.json``
-    (``{data: [...]}``), ``countries/*.json`` and ``series/<code>/*.json``
+    ``areas/`` (catalogue arrays), ``observations/<indicator>/<page>.json``
+    (``{data: [...]}`` pages), ``countries/*.json`` and ``series/<code>/*.json``
     (``[header, records]`` pages). ``max_indicators`` keeps the observations
-    of the first N indicators in catalogue order.
+    of the first N indicators in catalogue order (default: all), ``year_range``
+    the series of a period (default: all). ``rejects`` has a row for every
+    document of any kind that cannot be read, ``rejects_series`` one for every
+    unreadable record of a readable page.
     """
-    read = lambda sub: read_payload_files(spark, f"{root.rstrip('/')}/{sub}")
-    indicators_payloads = read("indicators")
-    obs_payloads = read("observations").withColumn(
-        "indicator_code", F.regexp_extract("source_file", r"([^/]+)\.json$", 1))
-    observations = flatten_observations(obs_payloads, "indicator_code", extracted_at)
+    kinds = ("goals", "targets", "indicators", "areas", "observations", "countries", "series")
+    landed = {k: read_payload_files(spark, f"{root.rstrip('/')}/{k}") for k in kinds}
+    pages = landed["observations"].withColumn("indicator_code", observation_code(F.col("source_file")))
+    observations = flatten_observations(pages, "indicator_code", extracted_at)
     if max_indicators is not None:
-        positions = catalogue_positions(indicators_payloads)
+        positions = catalogue_positions(landed["indicators"])
         codes = first_n_codes(positions, "code", "position", max_indicators)
-        observations = restrict(observations, codes, "indicator_code", "code", bounded=True)
-    series_payloads = read("series/*").withColumn(
+        observations = restrict(observations, codes, "indicator_code", "code")
+    series_pages = landed["series"].withColumn(
         "indicator_code", F.regexp_extract("source_file", r"/series/([^/]+)/[^/]+$", 1))
     names = series_names or {}
     name_col = (F.create_map(*[F.lit(x) for kv in names.items() for x in kv])[F.col("indicator_code")]
                 if names else F.col("indicator_code"))
-    series, series_rejects = flatten_series(series_payloads.withColumn("indicator_name", name_col),
+    series, series_rejects = flatten_series(series_pages.withColumn("indicator_name", name_col),
                                             "indicator_code", "indicator_name", extracted_at,
-                                            zero_as_null=zero_as_null)
-    _, obs_rejects = split_rejects(obs_payloads, F.get_json_object("payload", "$.data"), schemas.OBSERVATION_ELEMENT)
+                                            zero_as_null=zero_as_null, year_range=year_range)
     return {
-        "sdg_goals": flatten_goals(read("goals"), extracted_at),
-        "sdg_targets": flatten_targets(read("targets"), extracted_at),
-        "sdg_indicators": flatten_indicators(indicators_payloads, extracted_at),
-        "sdg_geo_areas": flatten_areas(read("areas"), extracted_at),
+        "sdg_goals": flatten_goals(landed["goals"], extracted_at),
+        "sdg_targets": flatten_targets(landed["targets"], extracted_at),
+        "sdg_indicators": flatten_indicators(landed["indicators"], extracted_at),
+        "sdg_geo_areas": flatten_areas(landed["areas"], extracted_at),
         "sdg_indicator_data": observations,
-        "wb_countries": flatten_countries(read("countries"), extracted_at),
+        "wb_countries": flatten_countries(landed["countries"], extracted_at),
         "wb_indicators": series,
-        "rejects_observations": obs_rejects.select("source_file", "reason"),
+        "rejects": reduce(DataFrame.unionByName, [payload_rejects(landed[k], k) for k in kinds]),
         "rejects_series": series_rejects,
-        "page_report": page_report(series_payloads, "indicator_code"),
+        "page_report": page_report(series_pages, "indicator_code"),
     }

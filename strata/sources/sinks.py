@@ -13,8 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
-from strata.operators.predict import CATEGORY_LABELS  # noqa: F401  (re-exported for callers)
-
 EXPORT_STATUS = StructType([StructField("table_name", StringType()), StructField("path", StringType()),
                             StructField("status", StringType()), StructField("error", StringType())])
 
@@ -46,6 +44,10 @@ def write_table(df: DataFrame, path: str | None = None, table: str | None = None
         if not table:
             raise ValueError("bucketing needs a catalogue table")
         n, cols = bucket_by
+        # one task per bucket: at most n files, not tasks times n
+        w = df.repartition(n, *cols).write.mode("overwrite").format(fmt)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
         w = w.bucketBy(n, *cols).sortBy(*cols)
     if table:
         if path:
@@ -68,16 +70,26 @@ def csv_ready(df: DataFrame, python_booleans: bool = False) -> DataFrame:
     return df.select(*cols)
 
 
+CSV_OPTIONS = {"header": "true", "emptyValue": "", "escape": '"', "multiLine": "true",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False, python_booleans: bool = False) -> None:
-    """CSV with a header row and no index column; NULL is an empty field."""
+    """CSV with a header row and no index column; NULL is an empty field. Blanks at the
+    ends of a value stay, and a quote inside a value is doubled. ``single_file`` sends the
+    extract through one task (small extracts only)."""
     out = csv_ready(df, python_booleans)
     if single_file:
         out = out.coalesce(1)
-    out.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+    out.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """An extract as ``write_csv`` wrote it."""
+    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
 
 
-def export_all(spark: SparkSession, items: Mapping[str, tuple[DataFrame, str]], fmt: str = "csv",
-               error_chars: int = 200) -> DataFrame:
+def export_all(spark: SparkSession, items: Mapping[str, tuple[DataFrame, str]], fmt: str = "csv") -> DataFrame:
     """Write every (frame, path); a failing item is reported, the rest continue."""
     rows = []
     for name, (df, path) in items.items():
@@ -88,7 +100,7 @@ def export_all(spark: SparkSession, items: Mapping[str, tuple[DataFrame, str]],
                 write_table(df, path=path, fmt=fmt)
             rows.append((name, path, "ok", None))
         except Exception as exc:  # reported per item
-            rows.append((name, path, "error", str(exc)[:error_chars]))
+            rows.append((name, path, "error", str(exc)))
     return spark.createDataFrame(rows, EXPORT_STATUS)
 
 

@@ -4,8 +4,8 @@ The batch loads of the reference replace whole tables. When payload files
 keep arriving in a landing folder, the same flattening operators run as a
 Structured Streaming query over the folder: each new file is read whole, the
 flatten function (any of :mod:`strata.sources.landing`) turns it into rows,
-and a file sink appends them. The checkpoint (in the shared checkpoint folder
-by default) records which files were processed, so a restarted or failed job
+and a file sink appends them. The checkpoint (a folder of the output by
+default, so a later run into the same output continues it) records which files were processed, so a restarted or failed job
 neither skips nor repeats a file. The transformation is stateless, so there
 is no watermark and no state store.
 """
@@ -18,8 +18,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from strata.session import scratch_path
-
 
 def payload_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming frame of (payload, source_file), one row per new file."""
@@ -39,7 +37,7 @@ def land_incrementally(spark: SparkSession, source_dir: str, output_path: str,
     rows = flatten(payload_stream(spark, source_dir, max_files_per_trigger))
     writer = (rows.writeStream.format("parquet").outputMode("append")
               .option("path", output_path)
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "landing-checkpoint")))
+              .option("checkpointLocation", checkpoint or f"{output_path.rstrip('/')}/_landing_checkpoint"))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

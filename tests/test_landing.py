@@ -86,8 +86,9 @@ def test_series_pages_rejects_and_gaps(spark, tmp_path):
     _write(d, "p1.json", [{"page": 1, "pages": 3, "per_page": 2, "total": 5}, [rec("AF", "2001", 1.5), rec("AF", "2002", 0)]])
     _write(d, "p3.json", [{"page": 3, "pages": 3, "per_page": 2, "total": 5}, [rec("BR", "2001Q1", 2), rec("BR", "1990", 3)]])
     payloads = landing.read_payload_files(spark, d).withColumn("series", F.lit("NY.GDP.PCAP.CD"))
-    good, rejects = landing.flatten_series(payloads, "series", F.lit("GDP"))
+    good, rejects = landing.flatten_series(payloads, "series", F.lit("GDP"), year_range=(2000, 2024))
     assert sorted((r.country_code, r.year, r.value) for r in good.collect()) == [("AF", 2001, 1.5), ("AF", 2002, 0.0)]
+    assert landing.flatten_series(payloads, "series", F.lit("GDP"))[0].count() == 3      # no period: 1990 stays
     zero_null, _ = landing.flatten_series(payloads, "series", F.lit("GDP"), zero_as_null=True)
     assert sorted(r.value for r in zero_null.collect() if r.year == 2002) == [None]
     assert [r.date for r in rejects.collect()] == ["2001Q1"]
@@ -103,7 +104,6 @@ def test_first_n_codes_and_restrict(spark):
     data = spark.createDataFrame([(f"c{i % 60}", i) for i in range(600)], "code string, v int")
     codes = landing.first_n_codes(cat, "code", "pos", 5)
     assert sorted(r.code for r in codes.collect()) == ["c0", "c1", "c2", "c3", "c4"]
-    assert landing.restrict(data, codes, "code", bounded=True).count() == 50
     assert landing.restrict(data, codes, "code").count() == 50
 
 
@@ -115,3 +115,40 @@ def test_missing_pages_blocks(spark):
     payloads = spark.createDataFrame(rows, "series string, payload string")
     got = sorted((r.series, r.page) for r in landing.missing_pages(payloads, "series", block=1024).collect())
     assert got == [("S", 7), ("S", 2048), ("S", 5000), ("T", 1), ("T", 2), ("T", 3)]
+
+
+def test_land_raw_reports_every_unreadable_document(spark, tmp_path):
+    root = str(tmp_path / "landing")
+    good = {"goals": [{"code": 1}], "targets": [{"code": "1.1"}], "indicators": [{"code": "1.1.1"}],
+            "areas": [{"geoAreaCode": 4, "geoAreaName": "A"}], "countries": [{"page": 1}, [{"id": "AFG", "region": {"value": "R"}}]]}
+    for kind, doc in good.items():
+        _write(f"{root}/{kind}", "good.json", doc)
+        _write(f"{root}/{kind}", "cut.json", json.dumps(doc)[:-4])
+    obs = lambda v: {"data": [{"geoAreaCode": 4, "timePeriodStart": 2001, "value": v}]}
+    _write(f"{root}/observations/1.1.1", "1.json", obs("1"))
+    _write(f"{root}/observations/1.1.1", "2.json", obs("2"))
+    _write(f"{root}/observations", "1.2.1.json", obs("3"))
+    _write(f"{root}/observations/1.1.1", "3.json", "{\"data\": [")
+    rec = lambda v, y="2025": {"country": {"id": "A", "value": "A"}, "date": y, "value": v}
+    _write(f"{root}/series/X", "1.json", [{"page": 1, "pages": 2}, [rec("1.5"), rec("1d"), rec("<0.1"), rec("7", "2025Q1")]])
+    _write(f"{root}/series/X", "2.json", "[{\"page\": 2}, [")
+    raw = landing.land_raw(spark, root)
+    assert sorted((r.indicator_code, r.value) for r in raw["sdg_indicator_data"].collect()) == [
+        ("1.1.1", "1"), ("1.1.1", "2"), ("1.2.1", "3")]
+    kinds = sorted((r.kind, r.reason, r.source_file.rsplit("/", 1)[1]) for r in raw["rejects"].collect())
+    assert kinds == [("areas", "not json", "cut.json"), ("countries", "not json", "cut.json"), ("goals", "not json", "cut.json"),
+                     ("indicators", "not json", "cut.json"), ("observations", "not json", "3.json"),
+                     ("series", "not json", "2.json"), ("targets", "not json", "cut.json")]
+    assert [(r.year, r.value) for r in raw["wb_indicators"].collect()] == [(2025, 1.5)]     # no period by default
+    assert sorted((r.value, r.reason) for r in raw["rejects_series"].collect()) == [
+        ("1d", "value not a number"), ("7", "date not an integer"), ("<0.1", "value not a number")]
+    assert landing.land_raw(spark, root, year_range=(2000, 2024))["wb_indicators"].count() == 0
+
+
+def test_csv_keeps_blanks_and_quotes(spark, tmp_path):
+    from strata.sources import sinks
+    rows = [("Sub-Saharan Africa ", 1), (" lead", 2), ('say "hi", you', 3), ("two\nlines", 4), ("back\\slash", 5), (None, 6)]
+    path = str(tmp_path / "csv")
+    sinks.write_csv(spark.createDataFrame(rows, "v string, k int"), path)
+    got = [tuple(r) for r in sinks.read_csv(spark, path, "v string, k int").collect()]
+    assert sorted(got, key=repr) == sorted(rows, key=repr)

@@ -32,3 +32,13 @@ def test_incremental_landing_exactly_once(spark, tmp_path):
     assert got.count() == 7
     assert sorted(r.indicator_code for r in got.select("indicator_code").distinct().collect()) == ["1.1.1", "2.1.1"]
     assert os.path.isdir(src)
+
+
+def test_second_run_without_a_named_checkpoint_lands_new_files(spark, tmp_path):
+    src, out = tmp_path / "landing", scratch_path(spark, "stream-default")
+    src.mkdir()
+    for name in ("a", "b"):
+        doc = {"data": [{"geoAreaCode": 1, "timePeriodStart": 2000, "value": 1}]}
+        (src / f"{name}.json").write_text(json.dumps(doc))
+        land_incrementally(spark, str(src), out, _flatten).awaitTermination()
+    assert sorted(r.indicator_code for r in spark.read.parquet(out).collect()) == ["a", "b"]
