@@ -21,9 +21,11 @@ CATEGORY_LABELS = ("Off Track", "At Risk", "Moderate Progress", "On Track")
 def hold_out(df: DataFrame, keys: Sequence[str], test_fraction: float = 0.2, seed: int = 42,
              name: str = "is_test") -> DataFrame:
     """Deterministic split by a hash of the keys: stable under repartitioning
-    and executor loss (unlike ``randomSplit``, which depends on row order)."""
+    and executor loss (unlike ``randomSplit``, which depends on row order), and
+    the same in any engine that has MD5 (the first 32 bits, modulo 10,000)."""
     buckets = 10_000
-    h = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)), F.lit(buckets))
+    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))
+    h = F.pmod(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long"), F.lit(buckets))
     return df.withColumn(name, h < F.lit(int(round(test_fraction * buckets))))
 
 
@@ -63,9 +65,10 @@ def score(model, df: DataFrame, prob_name: str = "prediction_2030_probability",
             .withColumn(category_name, band(F.col(prob_name), CATEGORY_EDGES, CATEGORY_LABELS)))
 
 
-def accuracy(scored: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
+def accuracy(scored: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """Share of right predictions, and the rows it is taken over."""
     return scored.agg(F.avg((F.col(prediction) == F.col(label).cast("double")).cast("double")).alias("accuracy"),
-                      F.count(F.lit(1)).alias("rows"))
+                      F.count(F.lit(1)).alias("test_rows"))
 
 
 def importances(model, features: Sequence[str], top: int | None = None) -> DataFrame:

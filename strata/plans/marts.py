@@ -23,7 +23,7 @@ from strata.operators.features import (above_median_flag, entity_profile, exact_
 from strata.operators.joins import inline_table, left_any_match, lookup, star
 from strata.operators.ordinal import encode_labels
 from strata.operators.pivot import pivot_max
-from strata.operators.predict import assemble, fit_forest, hold_out, importances, score
+from strata.operators.predict import accuracy, assemble, fit_forest, hold_out, importances, score
 from strata.operators.profile import (best_worst, category_share, count_by, coverage, null_profile,
                                       table_counts, top_n)
 from strata.operators.rollup import distinct_rows, rollup_measures
@@ -150,7 +150,7 @@ def dim_countries(areas: DataFrame, countries: DataFrame, defaults: DataFrame |
                          F.col("latitude").alias("w_lat"))
     matched = left_any_match(s, w, [("geo_area_name", "w_name"), ("geo_area_code", "w_code")])
     if defaults is None:
-        defaults = inline_table(areas.sparkSession, MAJOR_COUNTRY_DEFAULTS, DEFAULTS_SCHEMA)
+        defaults = default_countries(areas.sparkSession)
     joined = matched.join(defaults, matched["geo_area_name"] == defaults["d_country_name"], "left")
     region = first_present("w_region", "d_region", default=UNKNOWN)
     if trim_region:
@@ -164,6 +164,11 @@ def dim_countries(areas: DataFrame, countries: DataFrame, defaults: DataFrame |
             .filter(F.col("country_code").isNotNull()))
 
 
+def default_countries(spark: SparkSession) -> DataFrame:
+    """The fixed list of major countries as a table."""
+    return inline_table(spark, MAJOR_COUNTRY_DEFAULTS, DEFAULTS_SCHEMA)
+
+
 def dim_goals(goals: DataFrame) -> DataFrame:
     return goals.select("goal_code", "goal_title", "goal_description",
                         in_groups(F.col("goal_code"), GOAL_CATEGORIES, "Other").alias("goal_category"))
@@ -300,10 +305,7 @@ def train_and_score(feats: DataFrame, feature_cols: Sequence[str] | None = None,
     data = data.withColumn("label", F.col("on_track_2030").cast("double"))
     model = fit_forest(data.filter(~F.col("is_test")), "label", trees, depth, seed)
     scored = score(model, data)
-    test = scored.filter(F.col("is_test"))
-    acc = test.agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"),
-                   F.count(F.lit(1)).alias("test_rows"))
-    return model, scored, acc, importances(model, cols)
+    return model, scored, accuracy(scored.filter(F.col("is_test"))), importances(model, cols)
 
 
 def prediction_summary(scored: DataFrame) -> DataFrame:

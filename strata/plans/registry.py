@@ -24,8 +24,9 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
@@ -58,6 +59,8 @@ ERA_BASELINE, ERA_TARGET = 1998, 2000
 EVENT_SERIES = {"view": "EV.VIEW", "click": "EV.CLICK", "purchase": "EV.PURCHASE", "signup": "EV.SIGNUP"}
 EVENT_SERIES_NAMES = {"view": "Page views", "click": "Clicks", "purchase": "Purchases",
                       "signup": "Sign-ups", "error": "Errors"}
+# A small forest: the checks hold for any trained model.
+MODEL_TREES, MODEL_DEPTH = 20, 6
 EXTRACTED_AT = _dt.datetime(2024, 1, 1, 0, 0, 0)
 
 
@@ -133,6 +136,15 @@ def q_progress_fact(spark, sf):
                   .withColumn("progress_id", surrogate_key("country_code", "goal_code", "year")))
 
 
+def q_progress_fact_named(spark, sf):
+    """Four keys: a customer's name depends on the order status, so one code carries several names."""
+    obs = observations(spark, sf).withColumn("geo_area_name", F.concat(
+        F.lit("Area "), (F.col("geo_area_code") % 10).cast("string"),
+        F.when(F.col("indicator_code").endswith("O"), F.lit(" (old)")).otherwise(F.lit(""))))
+    fact = marts.fact_progress(obs, customer_dimension(spark, sf).drop("country_name"))
+    return _round(fact.withColumn("country_code", F.col("country_code").cast("string")))
+
+
 def q_hot_key_progress(spark, sf):
     """The flagship on skewed input: every order with status F (about a third
     of all rows) is booked to customer 0, so one key holds a third of the rows.
@@ -338,15 +350,22 @@ def q_dotted_code_levels(spark, sf):
 
 
 def q_union_series(spark, sf):
-    e = _t(spark, sf, "events")
-    frames = [e.filter(F.col("event_type") == F.lit(t)).select(
-        F.lit(EVENT_SERIES.get(t, "EV.ERROR")).alias("indicator_code"), F.lit(name).alias("indicator_name"),
-        F.col("user_id").cast("string").alias("country_code"), F.year("ts").cast("long").alias("year"),
-        "value", "event_id") for t, name in EVENT_SERIES_NAMES.items()]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return _round(out)
+    """One scan: the series of a row comes from a map of codes and names."""
+    codes = F.create_map(*[F.lit(x) for t in EVENT_SERIES_NAMES for x in (t, EVENT_SERIES.get(t, "EV.ERROR"))])
+    names = F.create_map(*[F.lit(x) for kv in EVENT_SERIES_NAMES.items() for x in kv])
+    e = _t(spark, sf, "events").filter(F.col("event_type").isin(list(EVENT_SERIES_NAMES)))
+    return _round(e.select(codes[F.col("event_type")].alias("indicator_code"), names[F.col("event_type")].alias("indicator_name"),
+                           F.col("user_id").cast("string").alias("country_code"),
+                           F.year("ts").cast("long").alias("year"), "value", "event_id"))
+
+
+def q_union_sources(spark, sf):
+    """U1 over five different inputs: named amounts of customers, suppliers, orders, parts and events."""
+    sources = [("customer", "c_custkey", "c_acctbal"), ("supplier", "s_suppkey", "s_acctbal"),
+               ("orders", "o_orderkey", "o_totalprice"), ("part", "p_partkey", "p_retailprice"), ("events", "event_id", "value")]
+    frames = [_t(spark, sf, t).select(F.lit(t).alias("indicator_code"), F.col(k).cast("long").alias("key"),
+                                      F.col(v).cast("double").alias("value")) for t, k, v in sources]
+    return _round(reduce(DataFrame.unionByName, frames))
 
 
 # --------------------------------------------------------------------------- landing (payloads derived with Spark)
@@ -392,13 +411,13 @@ def series_documents(spark, sf, series: str = "o_orderpriority") -> DataFrame:
 
 def q_paged_payload(spark, sf):
     docs = series_documents(spark, sf)
-    rows, _rejects = landing.flatten_series(docs, F.col("series"), F.lit("Orders"), EXTRACTED_AT, year_range=None)
+    rows, _rejects = landing.flatten_series(docs, F.col("series"), F.lit("Orders"), EXTRACTED_AT)
     return _round(rows.drop("extracted_at"))
 
 
 def q_paged_rejects(spark, sf):
     docs = series_documents(spark, sf)
-    _rows, rejects = landing.flatten_series(docs, F.col("series"), F.lit("Orders"), EXTRACTED_AT, year_range=None)
+    _rows, rejects = landing.flatten_series(docs, F.col("series"), F.lit("Orders"), EXTRACTED_AT)
     return rejects.groupBy("indicator_code", "reason").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -440,7 +459,7 @@ def q_payload_sizes(spark, sf):
 def q_first_n_codes(spark, sf):
     part = _t(spark, sf, "part")
     codes = landing.first_n_codes(part, "p_partkey", "p_partkey", 20)
-    li = landing.restrict(_t(spark, sf, "lineitem"), codes, "l_partkey", "p_partkey", bounded=True)
+    li = landing.restrict(_t(spark, sf, "lineitem"), codes, "l_partkey", "p_partkey")
     return _round(li.groupBy("l_partkey").agg(F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").alias("quantity")))
 
 
@@ -453,6 +472,89 @@ def q_reject_report(spark, sf):
         F.count(F.lit(1)).alias("rows"))
 
 
+def _code_catalogue(spark, sf) -> DataFrame:
+    """Parts as catalogue documents with dotted codes ``<size>.<brand>.<key>``."""
+    p = _t(spark, sf, "part")
+    code = F.concat_ws(".", F.col("p_size").cast("string"), F.substring_index("p_brand", "#", -1), F.col("p_partkey").cast("string"))
+    rec = F.struct(code.alias("code"), F.col("p_name").alias("title"), F.when(F.col("p_size") <= 45, F.col("p_type")).alias("description"))
+    return p.groupBy((F.col("p_partkey") / 100).cast("long").alias("chunk")).agg(F.to_json(F.collect_list(rec)).alias("payload"))
+
+
+def q_target_flatten(spark, sf):
+    return landing.flatten_targets(_code_catalogue(spark, sf), EXTRACTED_AT).drop("extracted_at")
+
+
+def q_indicator_flatten(spark, sf):
+    return landing.flatten_indicators(_code_catalogue(spark, sf), EXTRACTED_AT).drop("extracted_at")
+
+
+def q_area_flatten(spark, sf):
+    c = _t(spark, sf, "customer")
+    rec = F.struct(F.col("c_custkey").alias("geoAreaCode"), F.col("c_name").alias("geoAreaName"))
+    docs = c.groupBy((F.col("c_custkey") / PAGE_KEYS).cast("long").alias("page")).agg(F.to_json(F.collect_list(rec)).alias("payload"))
+    return landing.flatten_areas(docs, EXTRACTED_AT).drop("extracted_at")
+
+
+def q_paged_observations(spark, sf):
+    """Several pages per indicator; the code comes from the page's folder."""
+    e = _t(spark, sf, "events")
+    rec = F.struct(F.col("user_id").alias("geoAreaCode"), F.year("ts").alias("timePeriodStart"),
+                   F.col("event_id").cast("string").alias("value"))
+    block = (F.col("event_id") / PAGE_KEYS).cast("long")
+    pages = e.groupBy("event_type", block.alias("block")).agg(F.collect_list(rec).alias("data")).select(
+        F.to_json(F.struct("data")).alias("payload"),
+        F.concat(F.lit("/landing/observations/"), "event_type", F.lit("/"), F.col("block").cast("string"), F.lit(".json")).alias("source_file"))
+    pages = pages.withColumn("indicator_code", landing.observation_code(F.col("source_file")))
+    flat = landing.flatten_observations(pages, "indicator_code", EXTRACTED_AT)
+    return flat.select("indicator_code", "geo_area_code", "time_period", "value")
+
+
+def q_landing_rejects(spark, sf):
+    """Every payload kind: documents cut off after half their length, and documents of another shape."""
+    o = _t(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), "o_orderstatus")
+    whole = {"goals": '[{"code": 1}]', "targets": '[{"code": "1.1"}]', "indicators": '[{"code": "1.1.1"}]',
+             "areas": '[{"geoAreaCode": 4}]', "observations": '{"data": [{"value": "1"}]}',
+             "countries": '[{"page": 1}, [{"id": "A"}]]', "series": '[{"page": 1}, [{"date": "2000"}]]'}
+    parts = []
+    for kind, good in whole.items():
+        text = (F.when(F.col("o_orderstatus") == "F", F.lit(good[:len(good) // 2]))
+                .when(F.col("o_orderstatus") == "P", F.lit('{"message": "try later"}')).otherwise(F.lit(good)))
+        docs = o.select(text.alias("payload"), F.col("k").cast("string").alias("source_file"))
+        parts.append(landing.payload_rejects(docs, kind))
+    return reduce(DataFrame.unionByName, parts).groupBy("kind", "reason").agg(F.count(F.lit(1)).alias("documents"))
+
+
+def _faulty_series(spark, sf) -> DataFrame:
+    """Orders as series pages whose values are sometimes text that is no number."""
+    o = _t(spark, sf, "orders")
+    value = (F.when(F.col("o_orderpriority") == "5-LOW", F.lit("<0.1")).when(F.col("o_orderstatus") == "P", F.lit("1d"))
+             .otherwise(F.col("o_totalprice").cast("string")))
+    rec = F.struct(F.struct(F.col("o_custkey").cast("string").alias("id")).alias("country"),
+                   F.year("o_orderdate").cast("string").alias("date"), value.alias("value"))
+    pages = o.groupBy(F.col("o_orderpriority").alias("series"), (F.col("o_orderkey") / PAGE_KEYS).cast("long").alias("page")).agg(
+        F.to_json(F.collect_list(rec)).alias("r"))
+    return pages.select("series", F.concat(F.lit('[{"page":1},'), "r", F.lit("]")).alias("payload"))
+
+
+def q_series_year_range(spark, sf):
+    rows, _ = landing.flatten_series(_faulty_series(spark, sf), F.col("series"), F.lit("Orders"), EXTRACTED_AT,
+                                     year_range=(ERA_BASELINE, ERA_TARGET))
+    return _round(rows.select("indicator_code", "country_code", "year", "value"))
+
+
+def q_series_value_rejects(spark, sf):
+    _, rejects = landing.flatten_series(_faulty_series(spark, sf), F.col("series"), F.lit("Orders"), EXTRACTED_AT)
+    return rejects.groupBy("indicator_code", "reason", F.col("value").alias("text")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def q_inline_defaults(spark, sf):
+    """The 25 inline country defaults, met by the nation names in capital or title case."""
+    n = _t(spark, sf, "nation").select("n_nationkey", F.initcap("n_name").alias("country_name"))
+    d = marts.default_countries(spark)
+    return n.join(d.select(F.col("d_country_name").alias("country_name"), F.col("d_region").alias("region"),
+                           F.col("d_income_level").alias("income_level")), "country_name", "left")
+
+
 # --------------------------------------------------------------------------- profiles
 
 def q_table_counts(spark, sf):
@@ -474,6 +576,18 @@ def q_count_by_region(spark, sf):
     return count_by(p, "region", "region", default="Unknown")
 
 
+def q_ordered_reports(spark, sf):
+    """O2, O3: each report row with its place in the report's order."""
+    o = _t(spark, sf, "orders").select(F.substring_index("o_orderpriority", "-", 1).alias("goal_code"))
+    goals = count_by(o, "goal_code", "label")
+    code = F.col("label").try_cast("long")
+    goals = goals.withColumn("place", F.row_number().over(Window.orderBy(code.asc_nulls_last(), "label")))
+    regions = count_by(_progress(spark, sf), "region", "label", default="Unknown")
+    regions = regions.withColumn("place", F.row_number().over(Window.orderBy(F.col("data_points").desc(), "label")))
+    # both windows run over one row per goal or region
+    return goals.withColumn("report", F.lit("by_goal")).unionByName(regions.withColumn("report", F.lit("by_region")))
+
+
 def q_null_profile(spark, sf):
     d = _t(spark, sf, "documents").select("doc_id", "lang", "n_chars")
     lab = _t(spark, sf, "labels").select(F.col("doc_id").alias("l_doc_id"), "quality", "toxic")
@@ -616,28 +730,95 @@ def q_feature_table(spark, sf):
     return _round(_features(spark, sf).withColumn("country_code", F.col("country_code").cast("string")))
 
 
-def q_forest_scores(spark, sf):
+def _scored(spark, sf):
     # materialised once in the shared checkpoint folder: training and scoring
     # both read it, and it survives the loss of an executor
     feats = _features(spark, sf).checkpoint(eager=True)
-    _model, scored, _acc, _imp = marts.train_and_score(feats)
-    return _round(sinks.prediction_extract(scored, for_table=True, predicted_at=EXTRACTED_AT))
+    return marts.train_and_score(feats, trees=MODEL_TREES, depth=MODEL_DEPTH)
+
+
+def q_forest_scores(spark, sf):
+    """The prediction table: columns passed through, and what must hold for any trained forest."""
+    _, scored, _, _ = _scored(spark, sf)
+    out = sinks.prediction_extract(scored, for_table=True, predicted_at=EXTRACTED_AT)
+    p = F.col("prediction_2030_probability")
+    label = F.coalesce(band("prediction_2030_probability", CATEGORY_EDGES, CATEGORY_LABELS), F.lit("nan"))
+    return _round(out.select(
+        F.col("country_code").cast("string").alias("country_code"), "country_name", "goal_code", "region", "income_level",
+        "value_latest", "avg_yoy_change", "data_points", "predicted_at", p.between(0, 1).alias("probability_in_range"),
+        (F.col("prediction_2030_on_track") == (p >= 0.5).cast("int")).alias("flag_holds"),
+        (F.col("prediction_category") == label).alias("category_holds")))
+
+
+def q_forest_accuracy(spark, sf):
+    """Accuracy on the held-out rows: their number exactly, the share as a floor (better than guessing)."""
+    _, _, acc, _ = _scored(spark, sf)
+    return acc.select("test_rows", (F.col("accuracy") > 0.5).alias("above_guessing"))
 
 
 def q_forest_importance(spark, sf):
-    feats = _features(spark, sf).checkpoint(eager=True)
-    _model, _scored, _acc, imp = marts.train_and_score(feats)
-    return _round(imp)
+    """The five most important features: as many rows, in falling order, of the model's features, shares within 1."""
+    _, _, _, imp = _scored(spark, sf)
+    top = top_n(imp, "importance", 5, tie=["feature"])
+    order = Window.orderBy(F.col("importance").desc(), "feature")  # five rows
+    ranked = top.select("feature", "importance", F.row_number().over(order).cast("long").alias("place"),
+                        F.lag("importance").over(order).alias("before"))
+    return ranked.select("place", F.col("importance").between(0, 1).alias("is_share"),
+                         F.coalesce(F.col("before") >= F.col("importance"), F.lit(True)).alias("falls"),
+                         F.col("feature").isin(marts.model_features()).alias("is_feature"))
 
 
 # --------------------------------------------------------------------------- sinks
 
 def q_export_roundtrip(spark, sf):
-    c = _t(spark, sf, "customer").withColumn("positive", F.col("c_acctbal") > 0)
+    """CSV out and in again, with blanks at both ends, quotes, commas and line feeds in the values."""
+    c = _t(spark, sf, "customer").withColumn("positive", F.col("c_acctbal") > 0).withColumn(
+        "c_name", F.when(F.col("c_nationkey") < 5, F.concat("c_name", F.lit(" ")))
+        .when(F.col("c_nationkey") < 10, F.concat(F.lit(" lead "), "c_name"))
+        .when(F.col("c_nationkey") < 15, F.concat(F.lit('say "hi", '), "c_name"))
+        .when(F.col("c_nationkey") < 20, F.concat("c_name", F.lit("\nline"))).otherwise(F.col("c_name")))
     path = scratch_path(spark, "export-customer")
     sinks.write_csv(c, path, python_booleans=True)
-    schema = "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string, positive string"
-    return spark.read.option("header", True).schema(schema).csv(path)
+    return sinks.read_csv(spark, path, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, "
+                                       "c_mktsegment string, positive string")
+
+
+def q_table_overwrite(spark, sf):
+    """A table written twice holds the second load only."""
+    path = scratch_path(spark, "overwrite")
+    orders = _t(spark, sf, "orders")
+    sinks.write_table(orders.select("o_orderkey", "o_totalprice"), path=path)
+    sinks.write_table(orders.select("o_orderkey", (F.col("o_totalprice") * 2).alias("o_totalprice")), path=path)
+    return _round(spark.read.parquet(path))
+
+
+def q_bucketed_table(spark, sf):
+    """A described catalogue table in buckets by customer, aggregated on the bucket key."""
+    path = scratch_path(spark, "bucketed")
+    name = f"orders_{path.rsplit('-', 1)[-1]}"
+    sinks.write_table(_t(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice"), path=path, table=name,
+                      bucket_by=(8, ["o_custkey"]), comment="Orders by customer's key")
+    return _round(spark.table(name).groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"), F.sum("o_totalprice").alias("total")))
+
+
+def q_export_report(spark, sf):
+    """Several extracts: one status row each, a failing one does not stop the others."""
+    root = scratch_path(spark, "exports")
+    broken = _t(spark, sf, "nation").select(F.raise_error(F.lit("broken extract")).cast("string").alias("x"))
+    items = {"customer": _t(spark, sf, "customer"), "broken": broken, "supplier": _t(spark, sf, "supplier")}
+    report = sinks.export_all(spark, {n: (df, f"{root}/{n}") for n, df in items.items()})
+    sizes = reduce(DataFrame.unionByName, [
+        sinks.read_csv(spark, f"{root}/{n}", items[n].schema).agg(F.count(F.lit(1)).alias("rows")).withColumn("table_name", F.lit(n))
+        for n in ("customer", "supplier")])
+    return (report.join(sizes, "table_name", "left")
+            .select("table_name", "status", F.col("error").contains("broken extract").alias("error_kept"), "rows"))
+
+
+def q_staging_views(spark, sf):
+    """The observation staging model as a view, read with SQL."""
+    marts.stg_observations(_raw_observations(spark, sf), min_year=OBS_MIN_YEAR).createOrReplaceTempView("stg_sdg_indicator_data")
+    return spark.sql("SELECT indicator_code, year, COUNT(*) AS row_count, COUNT(value) AS with_value "
+                     "FROM stg_sdg_indicator_data GROUP BY indicator_code, year")
 
 
 QUERIES: dict[str, Query] = {
@@ -693,4 +874,20 @@ QUERIES: dict[str, Query] = {
     "forest_scores": q_forest_scores,
     "forest_importance": q_forest_importance,
     "export_roundtrip": q_export_roundtrip,
+    "union_sources": q_union_sources,
+    "target_flatten": q_target_flatten,
+    "indicator_flatten": q_indicator_flatten,
+    "area_flatten": q_area_flatten,
+    "paged_observations": q_paged_observations,
+    "landing_rejects": q_landing_rejects,
+    "series_year_range": q_series_year_range,
+    "series_value_rejects": q_series_value_rejects,
+    "inline_defaults": q_inline_defaults,
+    "ordered_reports": q_ordered_reports,
+    "progress_fact_named": q_progress_fact_named,
+    "forest_accuracy": q_forest_accuracy,
+    "table_overwrite": q_table_overwrite,
+    "bucketed_table": q_bucketed_table,
+    "export_report": q_export_report,
+    "staging_views": q_staging_views,
 }

@@ -115,7 +115,7 @@ def test_end_to_end_models_and_predictions(spark):
     assert feats.count() == 6
     r = {(x.country_code, x.goal_code): x for x in feats.collect()}
     assert r[("840", "1")].gdp_per_capita is not None       # median fill for the country without economics
-    model, scored, acc, imp = marts.train_and_score(feats, trees=10, depth=3)
+    model, scored, acc, imp = marts.train_and_score(feats, trees=10, depth=3, test_fraction=0.5)
     probs = [x.prediction_2030_probability for x in scored.collect()]
     assert len(probs) == 6 and all(0.0 <= v <= 1.0 for v in probs)
     assert imp.count() == 15 and 0.0 <= acc.first().accuracy <= 1.0

@@ -11,9 +11,11 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__ as entry  # noqa: E402
 from conftest import SF01  # noqa: E402
 from oracle_check import compare  # noqa: E402
+from strata.plans.registry import QUERIES  # noqa: E402
 from strata.sources.catalog import TEST_TABLES  # noqa: E402
 
-ROWS_ONLY = {"hold_out_split", "forest_scores", "forest_importance"}
+# the numbered queries of the training-text operators have tests of their own
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -29,13 +31,12 @@ def test_entry_smoke(spark):
     assert df.count() > 0 and "progress_id" in df.columns
 
 
-def test_every_query_has_oracle_or_is_rows_only():
+def test_every_query_has_an_oracle():
     q, o = entry.queries(), entry.oracle_sql()
-    assert set(q) - set(o) == ROWS_ONLY
-    assert set(o) <= set(q)
+    assert set(NAMES) <= set(o) <= set(q)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - ROWS_ONLY))
+@pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF01)
     issues, ns, nd = compare(df, duck.sql(entry.oracle_sql()[name]))
