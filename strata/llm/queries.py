@@ -117,6 +117,22 @@ earlier AS (SELECT DISTINCT s.state FROM states s JOIN ends e ON s.conv_id = e.c
 kept AS (SELECT * FROM finals f WHERE NOT EXISTS (SELECT 1 FROM earlier x WHERE x.state = f.state))
 SELECT k.conv_id, k.n AS n_turns, k.n_same, string_agg(l.line, '' ORDER BY l.turn, l.role, l.text) AS rendered
 FROM kept k JOIN lines l ON l.conv_id = k.conv_id GROUP BY k.conv_id, k.n, k.n_same
+""",
+    "op8_jaccard": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (SELECT DISTINCT doc_id, w[i:i + least(5, len(w)) - 1] AS s
+             FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+           GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+          WHERE 100 * k >= 80 * (x.n + y.n - k)),
+reach AS (SELECT a AS doc_id, b AS other FROM links UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, least(d.doc_id, coalesce(r.least_other, d.doc_id)) AS component_id
+FROM d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+LEFT JOIN (SELECT doc_id, min(other) AS least_other FROM reach GROUP BY doc_id) r ON r.doc_id = d.doc_id
 """,
     "op9_decontaminate": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
