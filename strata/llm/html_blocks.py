@@ -11,7 +11,8 @@ Training uses at most FIT_PAGES pages (those of least hash), whose labels come f
 structure: inside an article or main element and not inside an element that says menu,
 header, footer, aside, form, advert, notice or reader comments. Half of the training
 reads the same pages with those two element names masked, so that words, links and
-neighbours must tell too. The fitted weights (a fixed size) are broadcast; every page is
+neighbours must tell too; some pages are read once more with their main blocks many
+times over, so that long pages are known. The fitted weights (a fixed size) are broadcast; every page is
 labelled in the task that reads it.
 
 Defined cases: null or empty html has no text; without any page that has an article or
@@ -34,6 +35,7 @@ from strata.llm.words import column, hash_words
 
 FIT_PAGES = 400
 EPOCHS = 8
+LONG_BLOCKS = 300
 PATH_SLOTS, WORD_SLOTS, HIDDEN = 64, 32, 24
 BATCH = 64
 
@@ -262,10 +264,11 @@ class BlockLabeller:
         first = {k: np.zeros_like(v) for k, v in self.weights.items()}
         second = {k: np.zeros_like(v) for k, v in self.weights.items()}
         step = 0
+        samples = sorted(samples, key=lambda pair: len(pair[1]))  # batches of like length, in shuffled order
+        starts = np.arange(0, len(samples), BATCH // 2)
         for _ in range(epochs):
-            order = draw.permutation(len(samples))
-            for k in range(0, len(order), BATCH // 2):
-                x, mask, y = padded([samples[j][0] for j in order[k:k + BATCH // 2]], [samples[j][1] for j in order[k:k + BATCH // 2]])
+            for k in draw.permutation(starts):
+                x, mask, y = padded(*zip(*samples[k:k + BATCH // 2]))
                 step += 1
                 for name, g in self.gradients(x, mask, y).items():
                     first[name] = 0.9 * first[name] + 0.1 * g
@@ -293,11 +296,19 @@ def fit_labeller(pages: DataFrame, fit_pages: int = FIT_PAGES) -> BlockLabeller
         return None
     samples = []
     masked = frozenset(("article", "main"))
-    for r in named.where(F.col("h") <= last).select("html").limit(fit_pages).collect():  # the bounded sample
+    sample = named.where(F.col("h") <= last).select("html").limit(fit_pages).collect()  # the bounded sample
+    for i, r in enumerate(sorted(sample)):
         blocks = leaf_blocks(r["html"])
         labels = np.array([structural_label(b) for b in blocks], float)
-        if len(blocks) and labels.any():
-            samples += [(block_vectors([blocks]), labels), (block_vectors([blocks], masked), labels)]
+        if not labels.any():
+            continue
+        samples += [(block_vectors([blocks]), labels), (block_vectors([blocks], masked), labels)]
+        if i % 8 == 0:  # and now and then as a long page, its main blocks many times over
+            first, last = int(labels.argmax()), len(labels) - int(labels[::-1].argmax())
+            times = 1 + LONG_BLOCKS // (last - first)
+            blocks = blocks[:first] + blocks[first:last] * times + blocks[last:]
+            labels = np.concatenate([labels[:first], np.tile(labels[first:last], times), labels[last:]])
+            samples.append((block_vectors([blocks]), labels))
     if not samples:
         return None
     model = BlockLabeller(samples[0][0].shape[1])
