@@ -66,10 +66,10 @@ def test_sanitise_rewrites_only_spans(spark, documents):
 
 
 def test_overlapping_spans_and_ties(spark, documents):
-    text = "+12.12.12.12 4111111111111111"
-    assert brute(text)[0][2] == "phone" or True
+    text = "1.2.3.4@b.co x"                 # an address that begins with one
+    assert [x[2] for x in brute(text)] == ["email", "ip"]
     got = D.sanitise(documents([text, text], ids=[1, 1])).collect()
-    assert len(got) == 2 and got[0].text == got[1].text and "4111" not in got[0].text
+    assert [r.text for r in got] == ["[EMAIL] x"] * 2
 
 
 def test_no_python_on_the_main_path(spark, documents):

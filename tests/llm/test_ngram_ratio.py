@@ -32,7 +32,7 @@ def corpus():
 def score(text, table):
     data = np.frombuffer((text or "").encode(), np.uint8)
     words, _ = hash_words(data, np.array([0, len(data)]), fold=False)
-    return float(table[R.gram_slots(words)].mean()) if len(words) else 0.0
+    return float(table[R.gram_slots(words)].mean(dtype=np.float64)) if len(words) else 0.0
 
 
 def test_rules_and_ratio_against_brute_force(spark, documents):

@@ -6,7 +6,13 @@ from pyspark.sql import functions as F
 
 from strata.llm import site_quality as S
 
-HOST, PATH = F.col("source"), F.col("lang")
+
+def judge(docs, known):
+    return S.judge(docs, known, F.col("source"), F.col("lang"))
+
+
+def keep_wanted(docs, known):
+    return S.keep_wanted(docs, known, F.col("source"), F.col("lang"))
 
 
 def corpus(n=600):
@@ -31,11 +37,11 @@ def test_held_out_accuracy(spark, documents):
     texts, bad = corpus()
     docs = documents(texts)
     known = labels(spark, [(i, b) for i, b in enumerate(bad) if i % 8 < 5])
-    rows = {r.k0: r for r in S.judge(docs, known, HOST, PATH).collect()}
+    rows = {r.k0: r for r in judge(docs, known).collect()}
     held = [i for i in range(len(texts)) if i % 8 >= 5]
     right = sum(rows[i].kept != bool(bad[i]) for i in held) / len(held)
     assert right > 0.98
-    left = S.keep_wanted(docs, known, HOST, PATH)
+    left = keep_wanted(docs, known)
     assert left.columns == docs.columns
     assert sorted(r.doc_id for r in left.collect()) == [i for i in range(len(texts)) if rows[i].kept]
 
@@ -63,9 +69,9 @@ def test_sites_shrink_as_the_formula_says(spark):
 
 def test_without_labels_everything_stays(spark, documents):
     docs = documents(["a b", None, "", "a b"], ids=[1, 2, None, 1])
-    assert S.keep_wanted(docs, labels(spark, []), HOST, PATH).count() == 4
-    assert S.keep_wanted(docs, labels(spark, [(1, 1), (None, 0), (9, None)]), HOST, PATH).count() == 4
-    assert S.keep_wanted(documents([]), labels(spark, [(1, 1)]), HOST, PATH).count() == 0
+    assert keep_wanted(docs, labels(spark, [])).count() == 4
+    assert keep_wanted(docs, labels(spark, [(1, 1), (None, 0), (9, None)])).count() == 4
+    assert keep_wanted(documents([]), labels(spark, [(1, 1)])).count() == 0
 
 
 def test_the_sample_is_bounded_and_stable(spark, documents):
