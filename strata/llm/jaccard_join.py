@@ -2,21 +2,28 @@
 
 Two documents link when their shingle sets have a Jaccard similarity of at least
 ``num / den``. A partner of a set of n shingles shares T = ceil(num * n / den) of them
-at least, so the T - 1 longest inverted lists can be set aside: every partner occurs in
-one of the remaining short lists. The join follows that split:
+at least. The T - 1 - n // EXTRA longest inverted lists of each set are set aside, the
+others stand in one common order (short lists first). Partners of sizes n and k share
+o = num * (n + k) / (num + den) shingles or more, so with m = min(n, k) // EXTRA they
+meet in m + 1 lists or more among the first n - o + 1 + m of the one and the first
+k - o + 1 + m of the other; long lists are only probed for pairs that reach that count.
+The join follows that split:
 
 1. ``document_sets``: one pass hashes every whole text into its shingle set. Equal sets
    are one class (a copy never meets another copy again), and the lengths of all
    inverted lists are counted in a table of ``LENGTH_SLOTS`` counters, summed by Spark
    (a fixed size at any input; slots that several shingles share only blur the order).
-2. ``short_postings``: each class posts its short lists (the n - T + 1 shingles of least
-   length, by the counters and then by hash) as compact blocks per hash range. One task
-   per range merges the sorted postings; lists of one class vanish.
-3. ``link_classes``: in ROUNDS rounds every class probes the least leader that its lists
-   offer in another component, so that a large group of near copies links by one probe
-   a member. Then all pairs of list members that are still in different components are
-   probed, whatever the list's length, so no link is lost: skipping a pair inside one
-   component cannot change any component.
+2. ``short_postings``: each class posts its short lists (the shingles of least length, by
+   the counters and then by hash) as compact blocks per hash range. One task per range
+   merges the sorted postings; lists of one class vanish, and so do classes that stand
+   in too few lists to reach the count with anyone (``promising``).
+3. ``link_classes``: in ROUNDS rounds every class probes the leader of another component
+   that most of its lists offer (a list's leader has the largest share of its short lists
+   in common with others, as the text that others were copied from has), so that a large
+   group of near copies links by one probe a member. Then all pairs of list members that
+   are still in different components and reach the count are probed, whatever the list's
+   length, so no link is lost: skipping a pair inside one component cannot change any
+   component.
 4. A probe fetches both sets (of candidate classes only) and binary-searches the
    smaller one's sorted shingles, short lists and long ones alike, in the larger one's.
 5. Components are found by passing the smallest label along the links (``components``).
@@ -34,17 +41,18 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from strata.llm.graph import components
 from strata.llm.shared import by_ids, counter_rows, summed, written
 from strata.session import ensure_checkpoint_dir
 from strata.llm.words import SHINGLE, column, hash_words, mix, shingles, text_buffer
 
-LENGTH_SLOTS = 1 << 18
+LENGTH_SLOTS = 1 << 21
 BUCKET_POSTINGS = 200_000
 NUM, DEN = 4, 5
-ROUNDS = 2
+ROUNDS = 1
+EXTRA = 20
 ROWS = 1_000
 _STEP_OF_SIZE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -102,7 +110,7 @@ def document_sets(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
         run, "doc_id long, n_shingles long, class long, counter int, piece int, counts binary")
 
 
-_POSTING = np.dtype([("shingle", "<u8"), ("class", "<i8"), ("n", "<i4")])
+_POSTING = np.dtype([("shingle", "<u8"), ("class", "<i8"), ("n", "<i4"), ("rank", "<i4")])
 
 
 def short_postings(docs: DataFrame, lengths, buckets: int, size: int, num: int, den: int) -> DataFrame:
@@ -114,6 +122,7 @@ def short_postings(docs: DataFrame, lengths, buckets: int, size: int, num: int,
         post["shingle"] = np.concatenate(shingle)
         repeats = [len(x) for x in shingle]
         post["class"], post["n"] = np.repeat(cls, repeats), np.repeat(ns, repeats)
+        post["rank"] = np.concatenate([np.arange(n) for n in repeats])
         post = post[np.lexsort((post["class"], post["shingle"]))]
         same = (post["shingle"][1:] == post["shingle"][:-1]) & (post["class"][1:] == post["class"][:-1])
         post = post[np.r_[True, ~same]]
@@ -133,7 +142,7 @@ def short_postings(docs: DataFrame, lengths, buckets: int, size: int, num: int,
                     if not name or name in seen:
                         continue
                     seen.add(name)
-                    short = len(found) - needed(len(found), num, den) + 1
+                    short = len(found) - needed(len(found), num, den) + 1 + len(found) // EXTRA
                     order = np.lexsort((found, length[slots(found)]))
                     shingle.append(found[order[:short]])
                     cls.append(name)
@@ -149,7 +158,7 @@ def short_postings(docs: DataFrame, lengths, buckets: int, size: int, num: int,
 
 
 def merged_lists(blocks: DataFrame, num: int, den: int) -> DataFrame:
-    """(list, class, n): the members of every short list that has classes of fitting sizes."""
+    """(list, class, n, rank): the members of every short list that has classes of fitting sizes."""
 
     def merge(table: pa.Table) -> pa.Table:
         post = np.concatenate([np.frombuffer(x.as_py(), _POSTING) for x in table.column("postings")])
@@ -162,9 +171,9 @@ def merged_lists(blocks: DataFrame, num: int, den: int) -> DataFrame:
         fits = (post["shingle"][1:] == post["shingle"][:-1]) & (den * n[:-1] >= num * n[1:])
         post = post[np.r_[False, fits] | np.r_[fits, False]]
         return pa.table({"list": pa.array(post["shingle"].astype(np.int64)), "class": pa.array(post["class"]),
-                         "n": pa.array(post["n"].astype(np.int32))})
+                         "n": pa.array(post["n"].astype(np.int32)), "rank": pa.array(post["rank"].astype(np.int32))})
 
-    return blocks.groupBy("bucket").applyInArrow(merge, "list long, class long, n int")
+    return blocks.groupBy("bucket").applyInArrow(merge, "list long, class long, n int, rank int")
 
 
 def candidate_sets(docs: DataFrame, sets: DataFrame, lists: DataFrame, size: int) -> DataFrame:
@@ -182,7 +191,9 @@ def candidate_sets(docs: DataFrame, sets: DataFrame, lists: DataFrame, size: int
                     names=["class", "shingles"])
 
     texts = by_ids(docs.select("doc_id", "text"), ids, "left_semi").select("text")
-    return texts.mapInArrow(run, "class long, shingles binary").dropDuplicates(["class"])
+    # dealt out by class once: this, and both joins of every probe, need no further exchange of sets
+    return (texts.mapInArrow(run, "class long, shingles binary")
+            .repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "class").dropDuplicates(["class"]))
 
 
 def probe(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -209,8 +220,20 @@ def probe(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     return pairs.join(leaders, "b").join(members, "a").mapInArrow(run, "a long, b long")
 
 
-def _fits(num: int, den: int):
-    return F.lit(den) * F.least("n", "other.n") >= F.lit(num) * F.greatest("n", "other.n")
+def _meets(num: int, den: int) -> Column:
+    """Whether a list is early enough for both its members to count towards their link."""
+    overlap = F.ceil((F.col("n") + F.col("other.n")) * num / (num + den))
+    extra = F.floor(F.least("n", "other.n") / EXTRA)
+    return ((F.lit(den) * F.least("n", "other.n") >= F.lit(num) * F.greatest("n", "other.n"))
+            & (F.col("rank") <= F.col("n") - overlap + extra) & (F.col("other.rank") <= F.col("other.n") - overlap + extra))
+
+
+def _common_lists(met: DataFrame) -> DataFrame:
+    """(a, b, class, lists) of the pairs that meet in as many lists as partners must; a > b."""
+    counted = (met.groupBy("class", "n", F.col("other.class").alias("partner"), F.col("other.n").alias("k"))
+               .agg(F.count("*").alias("lists")))
+    return (counted.where(F.col("lists") >= 1 + F.floor(F.least("n", "k") / EXTRA))
+            .select(F.greatest("class", "partner").alias("a"), F.least("class", "partner").alias("b"), "class", "lists"))
 
 
 def _rooted(lists: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -220,24 +243,39 @@ def _rooted(lists: DataFrame, roots: DataFrame | None) -> DataFrame:
             .withColumn("root", F.coalesce("root", "class")))
 
 
-def _one_probe_each(members: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b): for every class the least leader, of another component, that its lists offer."""
-    side = F.struct("root", "class", "n")
-    ends = members.groupBy("list").agg(F.min(side).alias("low"), F.max(side).alias("high")).where("low.root != high.root")
-    return (members.join(ends, "list")
-            .withColumn("other", F.when(F.col("root") != F.col("low.root"), F.col("low")).otherwise(F.col("high")))
-            .where(_fits(num, den)).groupBy(F.col("class").alias("a")).agg(F.min("other.class").alias("b")))
-
-
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+def promising(lists: DataFrame, num: int, den: int) -> DataFrame:
+    """The list members of classes that stand in enough lists for any partner (of num / den their size at least)."""
+    able = (lists.groupBy("class", "n").agg(F.count("*").alias("lists"))
+            .where(F.col("lists") >= 1 + F.floor(F.ceil(F.col("n") * num / den) / EXTRA)).select("class"))
+    left = lists.join(able, "class", "left_semi")
+    full = left.groupBy("list").agg(F.count("*").alias("members")).where("members > 1").select("list")
+    return written(left.join(full, "list", "left_semi"), "lists")
+
+
+def _one_probe_each(members: DataFrame, probed: DataFrame | None, num: int, den: int) -> DataFrame:
+    """(a, b): for every class the leader, of another component and not probed yet, that most of its lists offer."""
+    shares = members.groupBy("class").agg((F.count("*") / F.max("n")).alias("share"))
+    side = F.struct("share", "root", "class", "n", "rank")
+    ranked = members.join(shares, "class")
+    first = ranked.groupBy("list").agg(F.max(side).alias("one"))
+    # the best of another component than the first one's, for the members of that component
+    second = (ranked.join(first, "list").where(F.col("root") != F.col("one.root"))
+              .groupBy("list").agg(F.max(side).alias("two"), F.max("one").alias("one")))
+    met = _common_lists(
+        members.join(second, "list")
+        .withColumn("other", F.when(F.col("root") != F.col("one.root"), F.col("one")).otherwise(F.col("two")))
+        .where(_meets(num, den)))
+    if probed is not None:
+        met = met.join(probed, ["a", "b"], "left_anti")
+    return (met.groupBy("class").agg(F.max(F.struct("lists", "a", "b")).alias("best"))
+            .select("best.a", "best.b").distinct())
 
 
 def link_classes(lists: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """(node, root) of all classes that link with another class."""
     links = probed = roots = None
     for _ in range(ROUNDS):
-        pairs = written(_ordered(_one_probe_each(_rooted(lists, roots), num, den)), "pairs")
+        pairs = written(_one_probe_each(_rooted(lists, roots), probed, num, den), "pairs")
         found = written(probe(pairs, sets, num, den), "links")
         links = found if links is None else links.unionByName(found)
         probed = pairs if probed is None else probed.unionByName(pairs)
@@ -246,10 +284,9 @@ def link_classes(lists: DataFrame, sets: DataFrame, num: int, den: int) -> DataF
     open_lists = (members.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high"))
                   .where("low != high").select("list"))
     left = written(members.join(open_lists, "list", "left_semi"), "open")
-    right = left.select("list", F.struct("root", "class", "n").alias("other"))
-    across = (left.join(right, "list")
-              .where((F.col("root") != F.col("other.root")) & (F.col("class") > F.col("other.class")) & _fits(num, den))
-              .select(F.col("class").alias("a"), F.col("other.class").alias("b")).distinct())
+    right = left.select("list", F.struct("root", "class", "n", "rank").alias("other"))
+    across = _common_lists(left.join(right, "list").where(
+        (F.col("root") != F.col("other.root")) & (F.col("class") > F.col("other.class")) & _meets(num, den))).select("a", "b")
     found = written(probe(across.join(probed, ["a", "b"], "left_anti"), sets, num, den), "links")
     return components(links.unionByName(found))
 
@@ -265,9 +302,8 @@ def similarity_components(docs: DataFrame, size: int = SHINGLE, num: int = NUM,
     total = sets.agg(F.sum(F.col("n_shingles") - F.ceil(F.col("n_shingles") * num / den) + 1)).first()[0] or 0
     buckets = max(1, -(-int(total) // BUCKET_POSTINGS))
     lists = written(merged_lists(short_postings(docs, lengths, buckets, size, num, den), num, den), "lists")
-    # dealt out by class once; both joins of every probe use that
-    known = (candidate_sets(docs, sets, lists, size)
-             .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "class").checkpoint())
+    lists = promising(lists, num, den)
+    known = candidate_sets(docs, sets, lists, size).checkpoint()
     roots = link_classes(lists, known, num, den)
     classes = (sets.where(F.col("class") != 0).groupBy("class").agg(F.min("doc_id").alias("first"))
                .join(roots.withColumnRenamed("node", "class"), "class", "left")

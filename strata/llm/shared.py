@@ -39,7 +39,7 @@ PIECES = 16
 
 def counter_rows(counters: list[np.ndarray]) -> tuple[list[int], list[int], list[bytes]]:
     """One task's counters as rows (counter, piece, counts), every counter in PIECES pieces."""
-    rows = [(c, k, part.astype("<i8").tobytes()) for c, whole in enumerate(counters)
+    rows = [(c, k, part.astype("<u4").tobytes()) for c, whole in enumerate(counters)
             for k, part in enumerate(np.split(whole, PIECES))]
     return tuple(map(list, zip(*rows)))
 
@@ -51,16 +51,16 @@ def summed(parts: DataFrame, counter: int, size: int) -> np.ndarray:
     the driver gets each piece once (``size`` numbers in all).
     """
 
-    def add(table: pa.Table) -> pa.Table:
+    def add(table: pa.Table, kind: str) -> pa.Table:
         total = np.zeros(size // PIECES, np.int64)
         for x in table.column("counts"):
-            total += np.frombuffer(x.as_buffer(), "<i8")
+            total += np.frombuffer(x.as_buffer(), kind)
         return pa.table({"piece": table.column("piece").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
 
     step = parts.where(F.col("counter") == counter).select("piece", "counts")
     step = (step.withColumn("part", F.pmod(F.spark_partition_id(), F.lit(32)))
-            .groupBy("piece", "part").applyInArrow(lambda t: add(t), "piece int, counts binary"))
-    rows = step.groupBy("piece").applyInArrow(lambda t: add(t), "piece int, counts binary").collect()
+            .groupBy("piece", "part").applyInArrow(lambda t: add(t, "<u4"), "piece int, counts binary"))
+    rows = step.groupBy("piece").applyInArrow(lambda t: add(t, "<i8"), "piece int, counts binary").collect()
     out = np.zeros((PIECES, size // PIECES), np.int64)
     for r in rows:
         out[r["piece"]] = np.frombuffer(r["counts"], "<i8")
