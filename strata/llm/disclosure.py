@@ -14,9 +14,8 @@ the entity, near 0 when they are independent. A context word whose disclosure re
 counts only with ``support`` distinct texts, so copies of one text prove nothing.
 
 Scale: mentions are extracted in one scan; contexts are combined per (entity, term)
-before any shuffle; the document counts of terms are taken over all documents, but only
-for terms that some context made a candidate (a semi-join below the aggregation). Texts
-are never shuffled: spans come back by a content key.
+before any shuffle; the document counts of terms are taken over all documents, combined
+within each task. Texts are never shuffled: spans come back by a content key.
 
 Regular expressions avoid repeated groups (a long text cannot exhaust the matcher's
 stack): separators that belong to a value are first marked by characters of the same
@@ -164,8 +163,8 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, support: int = SUPPORT,
               .join(pair.select("entity").distinct(), "entity", "left_semi")
               .groupBy("entity").agg(F.count("*").alias("n_entity")))
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM_PATTERN), 0))).alias("term"))
-    term = (words.join(pair.select("term").distinct(), "term", "left_semi")
-            .groupBy("term").agg(F.count("*").alias("n_term")))
+    # an inner join with distinct terms: a semi-join would be moved below the aggregation
+    term = words.groupBy("term").agg(F.count("*").alias("n_term")).join(pair.select("term").distinct(), "term")
     pmi = F.log(F.lit(float(total)) * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))
     content = F.log(F.lit(float(total)) / F.col("n_entity"))
     return (both.join(entity, "entity").join(term, "term")
@@ -195,7 +194,9 @@ def personal_data(docs: DataFrame, reach: int = REACH, support: int = SUPPORT,
 
 
 def rewrite(text: Column, spans: Column) -> Column:
-    """The text with every span replaced by its label ('' if ``remove``); of overlapping spans the first decides."""
+    """The text with every span replaced by its label; of overlapping spans the first, then the longest, decides."""
+    spans = F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("longest"),
+                                                  s["end"].alias("end"), s["label"].alias("label")))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
     done = F.aggregate(F.array_sort(spans), start, lambda acc, s: F.when(
         s["start"] >= acc["at"], F.struct(
