@@ -4,18 +4,26 @@ Base spans (fixed patterns): e-mail addresses, IPv4 addresses, card numbers pass
 Luhn test and international phone numbers, leftmost and non-overlapping per kind.
 
 On top of them, terms are judged by information theory on the whole corpus. A found
-value (case folded) is a protected entity c; the ``reach`` words on each side of its
-mentions are its context. With p(c) and p(t) the shares of documents that hold the
-entity or the term and p(c, t) the share in which the term stands in the entity's
-context, the disclosure of t about c is PMI(c; t) / IC(c), where
-PMI = log(p(c, t) / (p(c) p(t))) and IC(c) = -log p(c): 1 when the term always comes with
-the entity, near 0 when they are independent. A context word whose disclosure reaches
-``generalise_at`` becomes a class label, one that reaches ``remove_at`` goes. An estimate
-counts only with ``support`` distinct texts, so copies of one text prove nothing.
+value (case folded) is a protected entity c; so are the levels it belongs to, which recur
+where values do not: its mail domain, address prefix, card issuer or dialling prefix, and
+its kind. The ``reach`` words on each side of its mentions are its context. With p(c) and
+p(t) the shares of documents that hold the entity or the term and p(c, t) the share in
+which the term stands in the entity's context, the disclosure of t about c is
+PMI(c; t) / IC(c), where PMI = log(p(c, t) / (p(c) p(t))) = log(p(c | t) / p(c)) and
+IC(c) = -log p(c): 1 when the term always comes with the entity, near 0 when they are
+independent. A context word whose disclosure about a value or level reaches
+``generalise_at`` becomes a class label, one that reaches ``remove_at`` goes.
+
+Rare pairs are smoothed, not dropped: what a pair lacks to ``support`` distinct texts is
+filled up with texts that hold the term and, by chance only, the entity,
+p(c | t) = (k + a p(c)) / (n + a) with a = support - k, where k are the distinct texts of
+the pair and n the documents of the term a copy of these (copies of one text count as one).
 
 Scale: mentions are extracted in one scan; contexts are combined per (entity, term)
 before any shuffle; the document counts of terms are taken over all documents, combined
-within each task. Texts are never shuffled: spans come back by a content key.
+within each task. Counts of frequent entities, terms and pairs (at most OFTEN times the
+mean number a document holds) are broadcast, the others dealt out, so that no key fills a
+task. Texts are never shuffled: spans come back by a content key.
 
 Regular expressions avoid repeated groups (a long text cannot exhaust the matcher's
 stack): separators that belong to a value are first marked by characters of the same
@@ -33,6 +41,7 @@ REACH = 5
 SUPPORT = 3
 GENERALISE_AT = 0.6
 REMOVE_AT = 0.9
+OFTEN = 1_000
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
@@ -140,44 +149,59 @@ def mentions(docs: DataFrame, reach: int = REACH) -> DataFrame:
     around = F.flatten(F.transform("spans", lambda s: F.transform(
         F.filter(_context(F.col("text"), s, reach),
                  lambda w: ~F.exists("spans", lambda o: (o["start"] < w["end"]) & (w["start"] < o["end"]))),
-        lambda w: F.struct(F.lower(s["value"]).alias("entity"), w["term"].alias("term"),
+        lambda w: F.struct(s["kind"].alias("kind"), s["value"].alias("value"), w["term"].alias("term"),
                            w["start"].alias("start"), w["end"].alias("end")))))
-    empty = F.array().cast("array<struct<entity:string,term:string,start:int,end:int>>")
+    empty = F.array().cast("array<struct<kind:string,value:string,term:string,start:int,end:int>>")
     return spans.select("doc_id", "key", F.md5(F.coalesce("text", F.lit(""))).alias("content"), "spans",
                         F.when(F.size("spans") > 0, around).otherwise(empty).alias("contexts"))
 
 
+def levels(kind: Column, value: Column) -> Column:
+    """A value's entities: itself (case folded), its domain, prefix or issuer, and its kind."""
+    value, digits = F.lower(value), _digits(value)
+    wider = (F.when(kind == "email", F.substring_index(value, "@", -1)).when(kind == "ip", F.substring_index(value, ".", 3))
+             .when(kind == "card", F.substring(digits, 1, 6)).otherwise(F.substring(digits, F.lit(1), F.length(digits) - 7)))
+    return F.array(value, F.concat_ws(" ", kind, wider), kind)
+
+
+def _with_counts(rows: DataFrame, counts: DataFrame, on: list[str], count: str, total: int) -> DataFrame:
+    """The inner join with counts: those above ``total`` / OFTEN are few and are broadcast, the others dealt out."""
+    often = F.col(count) * OFTEN > total
+    many = F.broadcast(counts.where(often))
+    return rows.join(many, on).unionByName(rows.join(many.select(*on), on, "left_anti").join(counts.where(~often), on))
+
+
 def disclosing_terms(docs: DataFrame, found: DataFrame, support: int = SUPPORT,
                      generalise_at: float = GENERALISE_AT) -> DataFrame:
-    """(entity, term, disclosure) from ``generalise_at`` on; ``found`` is the output of ``mentions``."""
+    """(entity, term, n_both, disclosure) from ``generalise_at`` on; ``found`` is the output of ``mentions``."""
     total = docs.count()
-    met = found.select("key", "content", F.explode("contexts").alias("c")).select("key", "content", "c.entity", "c.term")
     # one row per document first: a term that stands twice near an entity counts once
-    pair = (met.groupBy("entity", "term", "content").agg(F.countDistinct("key").alias("keys"))
-            .groupBy("entity", "term").agg(F.count("*").alias("texts")).where(F.col("texts") >= support))
-    rows = found.groupBy("key", "content").agg(F.count("*").alias("copies"))
-    pair = written(pair.select("entity", "term"), "pairs")
-    both = (met.distinct().join(pair, ["entity", "term"]).join(rows.select("key", "copies"), "key")
-            .groupBy("entity", "term").agg(F.sum("copies").alias("n_both")))
-    entity = (found.select("key", F.explode(F.array_distinct(F.transform("spans", lambda s: F.lower(s["value"])))).alias("entity"))
-              .join(pair.select("entity").distinct(), "entity", "left_semi")
-              .groupBy("entity").agg(F.count("*").alias("n_entity")))
+    near = F.array_distinct(F.flatten(F.transform("contexts", lambda c: F.transform(
+        levels(c["kind"], c["value"]), lambda e: F.struct(e.alias("entity"), c["term"].alias("term"))))))
+    pair = (found.select("content", F.explode(near).alias("c")).groupBy("content", "c.entity", "c.term").agg(F.count("*").alias("n"))
+            .groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count("*").alias("texts")))
+    pair = written(pair, "pairs")
+    held = F.array_distinct(F.flatten(F.transform("spans", lambda s: levels(s["kind"], s["value"]))))
+    entity = written(found.select(F.explode(held).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity")), "entities")
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM_PATTERN), 0))).alias("term"))
     # an inner join with distinct terms: a semi-join would be moved below the aggregation
     term = words.groupBy("term").agg(F.count("*").alias("n_term")).join(pair.select("term").distinct(), "term")
-    pmi = F.log(F.lit(float(total)) * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))
-    content = F.log(F.lit(float(total)) / F.col("n_entity"))
-    return (both.join(entity, "entity").join(term, "term")
-            .withColumn("disclosure", F.when(content > 0, F.round(pmi / content, 9)).otherwise(F.lit(0.0)))
-            .where(F.col("disclosure") >= generalise_at).select("entity", "term", "disclosure"))
+    pair = _with_counts(pair, entity, ["entity"], "n_entity", total)
+    pair = _with_counts(written(pair, "pairs"), written(term, "terms"), ["term"], "n_term", total)
+    share = F.col("n_entity") / F.lit(float(total))
+    missing = F.greatest(F.lit(support) - F.col("texts"), F.lit(0))
+    chance = (F.col("texts") + missing * share) / (F.col("n_term") * F.col("texts") / F.col("n_both") + missing)
+    return (pair.withColumn("disclosure", F.when(share < 1, F.round(F.log(chance / share) / -F.log(share), 9)).otherwise(F.lit(0.0)))
+            .where(F.col("disclosure") >= generalise_at).select("entity", "term", "n_both", "disclosure"))
 
 
 def term_spans(docs: DataFrame, found: DataFrame, support: int = SUPPORT, generalise_at: float = GENERALISE_AT,
                remove_at: float = REMOVE_AT) -> DataFrame:
     """(key, terms): the spans of disclosing context words, each once, with its strongest disclosure."""
-    told = disclosing_terms(docs, found, support, generalise_at)
-    return (found.dropDuplicates(["key"]).select("key", F.explode("contexts").alias("c"))
-            .select("key", "c.entity", "c.term", "c.start", "c.end").join(told, ["entity", "term"])
+    told = written(disclosing_terms(docs, found, support, generalise_at), "told")
+    met = (found.dropDuplicates(["key"]).select("key", F.explode("contexts").alias("c"))
+           .select("key", F.explode(levels(F.col("c.kind"), F.col("c.value"))).alias("entity"), "c.term", "c.start", "c.end"))
+    return (_with_counts(met, told, ["entity", "term"], "n_both", docs.count())
             .groupBy("key", "start", "end").agg(F.max("disclosure").alias("disclosure"))
             .groupBy("key").agg(F.array_sort(F.collect_list(F.struct(
                 "start", "end", F.lit(TERM).alias("kind"), (F.col("disclosure") >= remove_at).alias("remove")))).alias("terms")))

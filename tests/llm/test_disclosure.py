@@ -1,3 +1,4 @@
+import math
 import re
 
 from pyspark.sql import functions as F
@@ -56,6 +57,32 @@ def test_disclosing_terms_by_counting(spark, documents):
     assert rows[10].spans == [] and rows[10].terms == []
 
 
+def test_values_that_all_differ_are_protected(spark, documents):
+    texts = [f"ordinary words of every page user{i} wrote Surname{'abcdefghij'[i]}x hotline u{i}@corp{i % 2}.org ordinary words again" for i in range(10)]
+    texts += [f"ordinary words of every page wrote again number{i}" for i in range(290)]
+    docs = documents(texts)
+    rows = {r.doc_id: r for r in D.personal_data(docs).collect()}
+    for i in range(10):
+        found = {texts[i][t["start"]:t["end"]]: t["remove"] for t in rows[i].terms}
+        # the rare name about the value, by smoothed counts; the word that ten addresses share about their kind
+        assert f"Surname{'abcdefghij'[i]}x" in found and found["hotline"] is True
+        assert not set(found) & {"ordinary", "words", "again", "wrote", "page"}
+    assert all(rows[i].terms == [] for i in range(10, 300))
+    told = {(r.entity, r.term): r.disclosure for r in D.disclosing_terms(docs, D.mentions(docs)).collect()}
+    share = 1 / 300
+    want = math.log((1 + 2 * share) / (1 + 2) / share) / -math.log(share)
+    assert abs(told["u0@corp0.org", "surnameax"] - want) < 1e-8
+    assert told["email", "hotline"] == 1.0
+
+
+def test_levels(spark, documents):
+    docs = documents(["A@B.co 10.1.2.3 y 4111 1111 1111 1111 x +1 (499) 555-6503"])
+    spans = docs.select(F.explode(D.base_spans(F.col("text"))).alias("s"))
+    got = [r.e for r in spans.select(D.levels(F.col("s.kind"), F.col("s.value")).alias("e")).collect()]
+    assert got == [["a@b.co", "email b.co", "email"], ["10.1.2.3", "ip 10.1.2", "ip"],
+                   ["4111 1111 1111 1111", "card 411111", "card"], ["+1 (499) 555-6503", "phone 1499", "phone"]]
+
+
 def test_sanitise_rewrites_only_spans(spark, documents):
     docs = documents(["call +1 (499) 555-6503 or a@b.co now", None, "", "clean text", "clean text"])
     out = D.sanitise(docs)
