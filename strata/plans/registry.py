@@ -59,8 +59,6 @@ ERA_BASELINE, ERA_TARGET = 1998, 2000
 EVENT_SERIES = {"view": "EV.VIEW", "click": "EV.CLICK", "purchase": "EV.PURCHASE", "signup": "EV.SIGNUP"}
 EVENT_SERIES_NAMES = {"view": "Page views", "click": "Clicks", "purchase": "Purchases",
                       "signup": "Sign-ups", "error": "Errors"}
-# A small forest: the checks hold for any trained model.
-MODEL_TREES, MODEL_DEPTH = 20, 6
 EXTRACTED_AT = _dt.datetime(2024, 1, 1, 0, 0, 0)
 
 
@@ -734,7 +732,7 @@ def _scored(spark, sf):
     # materialised once in the shared checkpoint folder: training and scoring
     # both read it, and it survives the loss of an executor
     feats = _features(spark, sf).checkpoint(eager=True)
-    return marts.train_and_score(feats, trees=MODEL_TREES, depth=MODEL_DEPTH)
+    return marts.train_and_score(feats)
 
 
 def q_forest_scores(spark, sf):
@@ -768,6 +766,24 @@ def q_forest_importance(spark, sf):
                          F.col("feature").isin(marts.model_features()).alias("is_feature"))
 
 
+def q_forest_predictions(spark, sf):
+    """The prediction table itself: probability, flag and category of every row."""
+    _, scored, _, _ = _scored(spark, sf)
+    return _round(sinks.prediction_extract(scored, for_table=True, predicted_at=EXTRACTED_AT))
+
+
+def q_forest_accuracy_share(spark, sf):
+    """The accuracy on the held-out rows, and their number."""
+    _, _, acc, _ = _scored(spark, sf)
+    return _round(acc)
+
+
+def q_forest_importances(spark, sf):
+    """The importance of every feature."""
+    _, _, _, imp = _scored(spark, sf)
+    return _round(imp)
+
+
 # --------------------------------------------------------------------------- sinks
 
 def q_export_roundtrip(spark, sf):
@@ -891,3 +907,11 @@ QUERIES: dict[str, Query] = {
     "export_report": q_export_report,
     "staging_views": q_staging_views,
 }
+
+# What a trained forest returns: SQL cannot state it, so these have tests instead of an
+# oracle; forest_scores, forest_accuracy and forest_importance hold their invariants.
+MODEL_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "forest_predictions": q_forest_predictions,
+    "forest_accuracy_share": q_forest_accuracy_share,
+    "forest_importances": q_forest_importances,
+}
