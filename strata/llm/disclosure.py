@@ -14,9 +14,9 @@ IC(c) = -log p(c): 1 when the term always comes with the entity, near 0 when the
 independent. A context word whose disclosure about a value or level reaches
 ``generalise_at`` becomes a class label, one that reaches ``remove_at`` goes.
 
-Rare pairs are smoothed, not dropped: what a pair lacks to ``support`` distinct texts is
-filled up with texts that hold the term and, by chance only, the entity,
-p(c | t) = (k + a p(c)) / (n + a) with a = support - k, where k are the distinct texts of
+Rare pairs are smoothed, not dropped: each text that a pair lacks to ``support`` distinct
+ones is filled up with PRIOR texts that hold the term and, by chance only, the entity,
+p(c | t) = (k + a p(c)) / (n + a) with a = PRIOR (support - k), where k are the distinct texts of
 the pair and n the documents of the term a copy of these (copies of one text count as one).
 
 Scale: mentions are extracted in one scan; contexts are combined per (entity, term)
@@ -41,6 +41,7 @@ REACH = 5
 SUPPORT = 3
 GENERALISE_AT = 0.6
 REMOVE_AT = 0.9
+PRIOR = 4
 OFTEN = 1_000
 
 KINDS = ("email", "ip", "card", "phone")
@@ -189,7 +190,7 @@ def disclosing_terms(docs: DataFrame, found: DataFrame, support: int = SUPPORT,
     pair = _with_counts(pair, entity, ["entity"], "n_entity", total)
     pair = _with_counts(written(pair, "pairs"), written(term, "terms"), ["term"], "n_term", total)
     share = F.col("n_entity") / F.lit(float(total))
-    missing = F.greatest(F.lit(support) - F.col("texts"), F.lit(0))
+    missing = PRIOR * F.greatest(F.lit(support) - F.col("texts"), F.lit(0))
     chance = (F.col("texts") + missing * share) / (F.col("n_term") * F.col("texts") / F.col("n_both") + missing)
     return (pair.withColumn("disclosure", F.when(share < 1, F.round(F.log(chance / share) / -F.log(share), 9)).otherwise(F.lit(0.0)))
             .where(F.col("disclosure") >= generalise_at).select("entity", "term", "n_both", "disclosure"))

@@ -70,7 +70,7 @@ def test_values_that_all_differ_are_protected(spark, documents):
     assert all(rows[i].terms == [] for i in range(10, 300))
     told = {(r.entity, r.term): r.disclosure for r in D.disclosing_terms(docs, D.mentions(docs)).collect()}
     share = 1 / 300
-    want = math.log((1 + 2 * share) / (1 + 2) / share) / -math.log(share)
+    want = math.log((1 + 2 * D.PRIOR * share) / (1 + 2 * D.PRIOR) / share) / -math.log(share)
     assert abs(told["u0@corp0.org", "surnameax"] - want) < 1e-8
     assert told["email", "hotline"] == 1.0
 
