@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from strata.llm import byte_bpe, phrases, prefix_trie
 from strata.llm.decontaminate import find_leaks
 from strata.llm.disclosure import KINDS, personal_data
 from strata.llm.html_blocks import extract_main_text
@@ -98,8 +99,30 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(catalog.load(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    units = prefix_trie.turn_units(catalog.load(spark, sf_dir, "conversations"))
+    ends = F.coalesce(F.lower(F.hex("ends")), F.sha2(F.lit(""), 256))
+    return prefix_trie.trie(prefix_trie.spliced(units)).select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", ends.alias("ends_sha256"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(catalog.load(spark, sf_dir, "documents"))
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    bpe = byte_bpe.load(tokenizer_file("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    encoded = byte_bpe.encode_documents(catalog.load(spark, sf_dir, "documents"), bpe)
+    return byte_bpe.decode_documents(encoded, bpe).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_disclosure, op2_ngram_ratio, op3_passages, op4_html_blocks, op5_site_quality, op6_snapshots, op7_pack,
-                                   op8_jaccard, op9_decontaminate, op10_token_counts)}
+                                   op8_jaccard, op9_decontaminate, op10_token_counts, op11_prefix_trie, op12_collocations, op13_byte_bpe)}
 
 ORACLE: dict[str, str] = {
     "op6_snapshots": """
@@ -152,5 +175,58 @@ items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(t.n_items, 0) AS n_items,
        sha256(coalesce(t.items, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hits h ON h.doc_id = d.doc_id LEFT JOIN items t ON t.doc_id = d.doc_id
+""",
+    "op11_prefix_trie": r"""
+WITH o AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS place,
+         {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS unit FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(unit ORDER BY place) AS u FROM o GROUP BY conv_id),
+heads AS (
+  SELECT conv_id, u, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+      lambda crc, b: list_reduce([xor(crc, b), 1, 1, 1, 1, 1, 1, 1, 1]::BIGINT[],
+          lambda x, one: xor(x >> 1, (x & one) * 3988292384))), 4294967295::BIGINT) % 9 AS h FROM own),
+built AS (
+  SELECT c.conv_id, list_concat(coalesce(p.u[1:c.h], []), coalesce(c.u[c.h + 1:], [])) AS u
+  FROM heads c LEFT JOIN own p ON p.conv_id = c.conv_id - c.conv_id % 5),
+prefixes AS (SELECT conv_id, len(u) AS n, d, u[1:d] AS p FROM (SELECT conv_id, u, unnest(range(len(u) + 1)) AS d FROM built)),
+nodes AS (SELECT p, d, min(conv_id) AS conv_id, count(*) AS n_convs,
+                 coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '') AS ends FROM prefixes GROUP BY p, d),
+own_values AS (
+  SELECT n.*, coalesce(k.n_children, 0) AS n_children,
+         CASE WHEN n.d = 0 THEN 0 ELSE (n.n_convs - 1) * strlen(n.p[n.d].text) END AS saved
+  FROM nodes n LEFT JOIN (SELECT p[1:d - 1] AS p, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL) k ON k.p = n.p AND k.d = n.d),
+below AS (SELECT p[1:a] AS p, a AS d, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+          FROM (SELECT p, saved, n_children, unnest(range(d + 1)) AS a FROM own_values) GROUP BY ALL)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, n.n_convs, n.n_children, b.n_leaves,
+       CAST(b.saved_tokens AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM own_values n JOIN below b ON b.p = n.p AND b.d = n.d LEFT JOIN nodes up ON n.d > 0 AND up.d = n.d - 1 AND up.p = n.p[1:n.d - 1]
+""",
+    "op12_collocations": r"""
+WITH pieces AS (
+  SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+        FROM documents)),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+f AS (SELECT lang, k, p, count(*) AS f
+      FROM (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS p
+            FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k))
+      GROUP BY ALL),
+totals AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (SELECT lang, k, p, string_split(p, ' ') AS w, f AS a FROM f WHERE k > 1 AND f >= 10),
+longer AS (SELECT lang, p, max(a) AS a
+           FROM (SELECT lang, w[1] || ' ' || w[2] AS p, a FROM cand WHERE k = 3 UNION ALL
+                 SELECT lang, w[2] || ' ' || w[3], a FROM cand WHERE k = 3) GROUP BY ALL),
+cuts AS (
+  SELECT c.lang, c.p, c.k, c.a, cut, x.f AS l, y.f AS r, CAST(c.a AS HUGEINT) * c.a * 1000000 // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM cand) c
+  JOIN f x ON x.lang = c.lang AND x.k = cut AND x.p = array_to_string(c.w[1:cut], ' ')
+  JOIN f y ON y.lang = c.lang AND y.k = c.k - cut AND y.p = array_to_string(c.w[cut + 1:], ' ')),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
+ranked AS (
+  SELECT c.*, row_number() OVER (PARTITION BY c.lang ORDER BY score DESC, c.a DESC, c.p) AS rank
+  FROM weakest c LEFT JOIN longer g ON g.lang = c.lang AND g.p = c.p AND c.k = 2
+  WHERE g.a IS NULL OR 100 * g.a < 50 * c.a)
+SELECT r.lang, r.rank, r.p AS phrase, r.a, r.l, r.r, CAST(t.n AS BIGINT) AS n, CAST(r.score AS BIGINT) AS score
+FROM ranked r JOIN totals t ON t.lang = r.lang WHERE r.rank <= 2000
 """,
 }
