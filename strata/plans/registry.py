@@ -43,7 +43,7 @@ from strata.operators.profile import (best_worst, category_share, count_by, cove
                                       table_counts, top_n)
 from strata.plans import marts
 from strata.session import scratch_path
-from strata.sources import landing, sinks
+from strata.sources import landing, ranges, sinks
 from strata.sources.catalog import TEST_TABLES, load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -507,6 +507,31 @@ def q_paged_observations(spark, sf):
     return flat.select("indicator_code", "geo_area_code", "time_period", "value")
 
 
+def large_documents(spark, sf) -> str:
+    """One ``{data: [...]}`` document per event type, with other arrays before and after the records; the folder."""
+    path = scratch_path(spark, "documents")
+    e = _t(spark, sf, "events").select("event_type", "event_id", F.to_json(F.struct(
+        F.col("user_id").alias("geoAreaCode"), F.concat(F.lit('"}{['), "event_type").alias("geoAreaName"),
+        F.year("ts").alias("timePeriodStart"), F.col("event_id").cast("string").alias("value"))).alias("record"))
+    first = e.groupBy("event_type").agg(F.min("event_id").alias("first"))
+    lines = e.join(first, "event_type").select("event_type", F.lit(1).alias("part"), "event_id", F.concat(
+        F.when(F.col("event_id") == F.col("first"), F.lit("")).otherwise(F.lit(",")), "record").alias("value"))
+    ends = [first.select("event_type", F.lit(part).alias("part"), F.col("first").alias("event_id"), F.lit(text).alias("value"))
+            for part, text in ((0, '{"size": 1, "attributes": [{"id": "}", "value": "x"}, {"id": 2}], "data": ['), (2, '], "dimensions": [{"id": 3}, {"id": 4}]}'))]
+    rows = reduce(DataFrame.unionByName, [lines, *ends])
+    (rows.repartition("event_type").sortWithinPartitions("event_type", "part", "event_id")
+     .select("event_type", "value").write.partitionBy("event_type").text(path))
+    return path
+
+
+def q_ranged_observations(spark, sf):
+    """Large documents, read in byte ranges of 64 KB that cut strings and records anywhere."""
+    records = ranges.read_records(spark, large_documents(spark, sf), "data", range_bytes=64 << 10)
+    records = records.withColumn("indicator_code", F.regexp_extract("source_file", "event_type=([^/]+)/", 1))
+    flat = landing.flatten_observations(records, "indicator_code", EXTRACTED_AT)
+    return flat.select("indicator_code", "geo_area_code", "geo_area_name", "time_period", "value")
+
+
 def q_landing_rejects(spark, sf):
     """Every payload kind: documents cut off after half their length, and documents of another shape."""
     o = _t(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), "o_orderstatus")
@@ -895,6 +920,7 @@ QUERIES: dict[str, Query] = {
     "indicator_flatten": q_indicator_flatten,
     "area_flatten": q_area_flatten,
     "paged_observations": q_paged_observations,
+    "ranged_observations": q_ranged_observations,
     "landing_rejects": q_landing_rejects,
     "series_year_range": q_series_year_range,
     "series_value_rejects": q_series_value_rejects,

@@ -21,11 +21,12 @@ from pyspark.sql.types import ArrayType, StructType
 from strata import schemas
 from strata.functions.clean import default_missing, safe_double
 from strata.functions.keys import dotted
+from strata.sources.ranges import cut_off_documents, read_records
 
 
 def read_payload_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: ``payload`` (the whole document) and ``source_file``."""
-    return (spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    return (spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
             .select(F.col("value").alias("payload"), F.col("_metadata.file_path").alias("source_file")))
 
 
@@ -250,9 +251,10 @@ def payload_sizes(payloads: DataFrame, series: str, records: StructType = schema
 def catalogue_positions(payloads: DataFrame, code_field: str = "code") -> DataFrame:
     """(code, position) in catalogue order: file, then place in the file's array."""
     arr = F.from_json(F.col("payload"), ArrayType(schemas.INDICATOR_ELEMENT))
-    return (payloads.select("source_file", F.posexplode(arr).alias("pos", "r"))
+    place = [c for c in ("range", "ordinal") if c in payloads.columns]      # documents read in ranges: a record's place
+    return (payloads.select("source_file", *place, F.posexplode(arr).alias("pos", "r"))
             .select(F.col(f"r.{code_field}").alias("code"),
-                    F.struct(F.col("source_file"), F.col("pos")).alias("position")))
+                    F.struct("source_file", *place, "pos").alias("position")))
 
 
 def observation_code(source_file: Column) -> Column:
@@ -277,7 +279,7 @@ def payload_rejects(payloads: DataFrame, kind: str) -> DataFrame:
 
 def land_raw(spark: SparkSession, root: str, extracted_at=None, max_indicators: int | None = None,
              series_names: dict | None = None, zero_as_null: bool = False,
-             year_range: tuple[int, int] | None = None) -> dict[str, DataFrame]:
+             year_range: tuple[int, int] | None = None, range_bytes: int | None = None) -> dict[str, DataFrame]:
     """Landing folder -> the seven raw tables (and reject reports).
 
     Layout under ``root``: ``goals/``, ``targets/``, ``indicators/``,
@@ -287,10 +289,18 @@ def land_raw(spark: SparkSession, root: str, extracted_at=None, max_indicators:
     of the first N indicators in catalogue order (default: all), ``year_range``
     the series of a period (default: all). ``rejects`` has a row for every
     document of any kind that cannot be read, ``rejects_series`` one for every
-    unreadable record of a readable page.
+    unreadable record of a readable page. With ``range_bytes`` no document is read
+    whole: its records come from byte ranges of that size (see ``ranges``), and
+    ``rejects`` names unreadable records and documents that are cut off.
     """
-    kinds = ("goals", "targets", "indicators", "areas", "observations", "countries", "series")
-    landed = {k: read_payload_files(spark, f"{root.rstrip('/')}/{k}") for k in kinds}
+    kinds = {"goals": "array", "targets": "array", "indicators": "array", "areas": "array", "observations": "data",
+             "countries": "paged", "series": "paged"}
+    folder = lambda k: f"{root.rstrip('/')}/{k}"
+    if range_bytes:
+        landed = {k: read_records(spark, folder(k), shape, range_bytes) for k, shape in kinds.items()}
+        cut_off = [cut_off_documents(spark, folder(k), range_bytes).select(F.lit(k).alias("kind"), "source_file", "reason") for k in kinds]
+    else:
+        landed, cut_off = {k: read_payload_files(spark, folder(k)) for k in kinds}, []
     pages = landed["observations"].withColumn("indicator_code", observation_code(F.col("source_file")))
     observations = flatten_observations(pages, "indicator_code", extracted_at)
     if max_indicators is not None:
@@ -313,7 +323,7 @@ def land_raw(spark: SparkSession, root: str, extracted_at=None, max_indicators:
         "sdg_indicator_data": observations,
         "wb_countries": flatten_countries(landed["countries"], extracted_at),
         "wb_indicators": series,
-        "rejects": reduce(DataFrame.unionByName, [payload_rejects(landed[k], k) for k in kinds]),
+        "rejects": reduce(DataFrame.unionByName, [*[payload_rejects(landed[k], k) for k in kinds], *cut_off]),
         "rejects_series": series_rejects,
         "page_report": page_report(series_pages, "indicator_code"),
     }
