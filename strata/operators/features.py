@@ -10,25 +10,74 @@ the group in one place.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import (BooleanType, ByteType, DateType, IntegerType, LongType, ShortType, StringType,
+                               TimestampNTZType, TimestampType)
 
 from strata.functions.clean import as_column
 from strata.session import ensure_checkpoint_dir
 
 
-def latest_value(value, order: Sequence) -> Column:
-    """Last non-null ``value`` in ``order`` (ascending): max_by with NULL values skipped.
+def _order_part(df: DataFrame, name: str) -> tuple[Column, int] | None:
+    """An order column as a whole number from 0 on (NULL: 0, the least) and its bits; None for other types."""
+    c, kind = F.col(name), df.schema[name].dataType
+    if isinstance(kind, BooleanType):
+        number, low, bits = c.cast("int"), 0, 1
+    elif isinstance(kind, (ByteType, ShortType, IntegerType)):
+        number, low, bits = c, 1 << 31, 32
+    elif isinstance(kind, DateType):
+        number, low, bits = F.unix_date(c), 1 << 31, 32
+    elif isinstance(kind, LongType):
+        number, low, bits = c, 1 << 63, 64
+    elif isinstance(kind, (TimestampType, TimestampNTZType)):
+        # years 1 to 9999 lie well within 2**59 microseconds of 1970
+        seconds = F.unix_date(c.cast("date")).cast("long") * 86_400 + F.hour(c) * 3600 + F.minute(c) * 60
+        micros = (F.unix_micros(c) if isinstance(kind, TimestampType)  # a local time needs no time zone
+                  else seconds * 1_000_000 + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long"))
+        number = F.when(F.abs(micros) >= 1 << 59, F.raise_error(F.lit(f"{name} is out of range")).cast("long")).otherwise(micros)
+        low, bits = 1 << 59, 60
+    else:
+        return None
+    shifted = number.cast("decimal(20,0)") + F.lit(Decimal(low + 1))
+    return F.coalesce(shifted, F.lit(Decimal(0))).cast("decimal(38,0)"), bits + 1
+
+
+def packed_order(df: DataFrame, order: Sequence[str]) -> Column | None:
+    """The order columns as one decimal that compares as they do, one after the other.
+
+    A maximum over a struct keeps a struct in the aggregation buffer, which makes Spark
+    sort all rows; a decimal is of fixed size and aggregates by hash. None if a column's
+    type has no such number (text, floating point) or the columns need more than 126 bits.
+    """
+    parts = [_order_part(df, o) for o in order]
+    if any(p is None for p in parts) or sum(bits for _, bits in parts) > 126:
+        return None
+    packed = parts[0][0]
+    for number, bits in parts[1:]:
+        packed = (packed * F.lit(Decimal(1 << bits))).cast("decimal(38,0)") + number
+        packed = packed.cast("decimal(38,0)")
+    return packed
+
+
+def order_key(df: DataFrame, order: Sequence[str]) -> Column:
+    """One column to order by: the single order column itself, the packed number, else a struct."""
+    if len(order) == 1:
+        return F.col(order[0])
+    packed = packed_order(df, order)
+    return F.struct(*[F.col(o) for o in order]) if packed is None else packed
+
+
+def latest_value(value, ordering: Column) -> Column:
+    """Last non-null ``value`` by ``ordering`` (see ``order_key``): max_by with NULL values skipped.
 
     ``max_by`` ignores rows whose ordering is NULL, so masking the ordering
-    where the value is NULL gives ``FILTER (WHERE value IS NOT NULL)``. One
-    order column is used as it is: a number then aggregates by hash, a struct
-    would sort all rows first.
+    where the value is NULL gives ``FILTER (WHERE value IS NOT NULL)``.
     """
     value = as_column(value)
-    ordering = as_column(order[0]) if len(order) == 1 else F.struct(*[as_column(o) for o in order])
     return F.max_by(value, F.when(value.isNotNull(), ordering))
 
 
@@ -53,7 +102,7 @@ def entity_profile(df: DataFrame, keys: Sequence[str], measure: str, order: Sequ
         F.coalesce(F.stddev_samp(m), F.lit(0.0)).alias("value_std"),
         F.min(m).alias("value_min"),
         F.max(m).alias("value_max"),
-        latest_value(m, order).alias("value_latest"),
+        latest_value(m, order_key(df, order)).alias("value_latest"),
     ]
     if change:
         aggs += [F.coalesce(F.avg(change), F.lit(0.0)).alias("avg_yoy_change"),
@@ -63,7 +112,7 @@ def entity_profile(df: DataFrame, keys: Sequence[str], measure: str, order: Sequ
     for name, c in (extra_mean or {}).items():
         aggs.append(F.avg(c).alias(name))
     if carry:
-        at = F.struct(*[F.col(o) for o in (carry_order or order)])
+        at = order_key(df, carry_order or order)
         for c in carry:
             present = F.when(F.col(c).isNotNull(), at)
             aggs += [F.max_by(F.col(c), present).alias(c), F.max(present).alias(f"{c}__at")]
@@ -79,10 +128,27 @@ def roll_latest(profile: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
             .groupBy(key).agg(*[F.max_by(F.col(c), F.col(f"{c}__at")).alias(c) for c in cols]))
 
 
+def _text_code(c: str) -> Column:
+    """A text's first 120 MD5 bits as a decimal, which aggregates by hash."""
+    half = lambda first: F.conv(F.substring(F.md5(F.col(c)), first, 15), 16, 10).cast("decimal(20,0)")
+    return (half(1) * F.lit(Decimal(1 << 60))).cast("decimal(38,0)") + half(16)
+
+
 def latest_non_null(df: DataFrame, key: str, order: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """Per key, each column's latest non-null value, independently per column."""
-    return (df.filter(F.col(key).isNotNull())
-            .groupBy(key).agg(*[latest_value(c, order).alias(c) for c in cols]))
+    """Per key, each column's latest non-null value, independently per column.
+
+    Text columns are aggregated as codes and read back from the column's distinct texts,
+    so that the rows aggregate by hash.
+    """
+    rows, at = df.filter(F.col(key).isNotNull()), order_key(df, order)
+    texts = [c for c in cols if isinstance(df.schema[c].dataType, StringType)]
+    value = {c: _text_code(c).cast("decimal(38,0)") if c in texts else F.col(c) for c in cols}
+    out = rows.groupBy(key).agg(*[F.max_by(value[c], F.when(F.col(c).isNotNull(), at)).alias(c) for c in cols])
+    for c in texts:
+        named = rows.filter(F.col(c).isNotNull()).select(F.col(c).alias("_text")).distinct()
+        named = named.select("_text", _text_code("_text").cast("decimal(38,0)").alias("_code"))
+        out = out.join(named, F.col(c) == F.col("_code"), "left").withColumn(c, F.col("_text")).drop("_text", "_code")
+    return out.select(key, *cols)
 
 
 def _midpoint(v_lo: float, v_hi: float) -> float:

@@ -1,7 +1,8 @@
 """Joins: left join on any of several equalities, lookups with precedence, stars.
 
 Broadcast policy: an explicit broadcast hint is only put on data whose size is
-proven: a single selected key and one-row-per-partition offsets. Every other
+proven: a single selected key, one-row-per-partition offsets, and the matches of
+counted hot keys up to a row count (more take the shuffle). Every other
 join is left to Catalyst / AQE, whose broadcast decision is itself size-checked
 (``spark.sql.autoBroadcastJoinThreshold`` on runtime statistics) and falls
 back to a shuffle join above it.
@@ -12,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -22,41 +23,84 @@ def inline_table(spark: SparkSession, rows: Sequence, schema: StructType | str)
     return spark.createDataFrame(list(rows), schema)
 
 
-def left_any_match(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """``left LEFT JOIN right ON l1 = r1 OR l2 = r2 OR ...`` without a nested loop.
+#: rows of the right side up to which the matches of hot keys are broadcast
+HOT_ROWS = 100_000
 
-    Both sides are spread to one row per (alternative, key) and meet in one
-    equi-join, so each side is read once. A pair of rows counts for the first
-    alternative that holds for it; rows of ``left`` that match no alternative
-    come out of the same join, once, with NULLs on the right. Bag semantics
-    (fan-out, repeated rows) are those of the OR join.
+
+def hot_keys(df: DataFrame, key: str, share: float) -> list:
+    """The keys that hold at least ``share`` of the rows, NULL among them (at most 1 / share of them).
+
+    Counted with a map-side combine, so a hot key is one row per task.
+    """
+    counts = df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    total = df.count()
+    return [r.key for r in counts.filter(F.col("n") >= F.lit(max(2.0, share * total))).collect()]
+
+
+def _keyed_join(left: DataFrame, right: DataFrame, lc: str, rc: str, how: str, hot: Sequence) -> DataFrame:
+    """``left JOIN right ON lc = rc``; rows of hot keys meet their matches by a broadcast, the others by a shuffle.
+
+    The matches of the hot keys are counted first: beyond HOT_ROWS all rows take the shuffle,
+    where the engine splits skewed partitions. Rows with a hot NULL key have no match and take no part in it.
+    """
+    on = F.col(lc) == F.col(rc)
+    # NULL keys match nothing: they need not meet in one task
+    null_too = None in hot
+    values = [h for h in hot if h is not None]
+    if not hot:
+        return left.join(right, on, how)
+    is_hot = F.coalesce(F.col(lc).isin(values), F.lit(False)) if values else F.lit(False)
+    parts = []
+    plain = left
+    if null_too:
+        alone = left.filter(F.col(lc).isNull())
+        plain = left.filter(F.col(lc).isNotNull())
+        if how == "left":
+            parts.append(alone.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]))
+        elif how == "left_anti":
+            parts.append(alone)
+    if values:
+        matches = right.filter(F.col(rc).isin(values))
+        if matches.count() <= HOT_ROWS:
+            parts.append(plain.filter(is_hot).join(F.broadcast(matches), on, how))
+            plain = plain.filter(~is_hot)
+            right = right.filter(~F.coalesce(F.col(rc).isin(values), F.lit(False)))
+    return reduce(DataFrame.unionByName, [plain.join(right, on, how), *parts])
+
+
+def left_any_match(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]],
+                   hot_share: float | None = None) -> DataFrame:
+    """``left LEFT JOIN right ON l1 = r1 OR l2 = r2 OR ...`` by equi-joins only.
+
+    A pair of rows counts for the first alternative that holds for it. The first
+    alternative is a left join: its rows without a match are checked against the other
+    alternatives' keys by anti-joins and come out with NULLs if none hits. The further
+    alternatives are inner joins without the pairs that an earlier one has. No row of
+    ``left`` is gathered with others, so a key or a row that many rows share meets no
+    window; bag semantics (fan-out, repeated rows) are those of the OR join.
+    ``hot_share`` counts each key first and joins keys with that share of the rows by a
+    broadcast of their counted matches (see ``_keyed_join``).
     Column names of ``left`` and ``right`` must be disjoint.
     """
     overlap = set(left.columns) & set(right.columns)
     if overlap:
         raise ValueError(f"left and right share columns {sorted(overlap)}; rename first")
-
-    def spread(df: DataFrame, cols: Sequence[str], row: str, ends: bool) -> DataFrame:
-        keys = [F.struct(F.lit(i).alias("alt"), F.col(c).cast(left.schema[lc].dataType).cast("string").alias("key"))
-                for i, (c, (lc, _)) in enumerate(zip(cols, pairs))]
-        # alternative -1 stands for "no match"; only the left side has it, under keys that spread
-        if ends:
-            keys.append(F.struct(F.lit(-1).alias("alt"), F.xxhash64(*df.columns).cast("string").alias("key")))
-        return (df.select(F.struct(*df.columns).alias(row), F.explode(F.array(*keys)).alias("k"))
-                .select(row, F.col("k.alt").alias(f"{row}_alt"), F.col("k.key").alias(f"{row}_key")))
-
-    a = spread(left, [p[0] for p in pairs], "a", True)
-    b = spread(right, [p[1] for p in pairs], "b", False)
-    met = a.join(b, (F.col("a_alt") == F.col("b_alt")) & (F.col("a_key") == F.col("b_key")), "left")
-    same = [F.coalesce(F.col(f"a.{lc}") == F.col(f"b.{rc}"), F.lit(False)) for lc, rc in pairs]
-    earlier = reduce(lambda x, y: x | y, [(F.col("a_alt") > i) & same[i] for i in range(len(pairs))])
-    hit = F.col("b").isNotNull() & ~earlier
-    # the "no match" row of a left row stays only if none of its alternatives hit
-    keyed = met.withColumn("hit", hit).filter(F.col("hit") | (F.col("a_alt") == -1))
-    per_row = Window.partitionBy("a")
-    return (keyed.withColumn("matched", F.max("hit").over(per_row))
-            .filter(F.col("hit") | ~F.col("matched"))
-            .select(*[F.col(f"a.{c}").alias(c) for c in left.columns], *[F.col(f"b.{c}").alias(c) for c in right.columns]))
+    cast = [F.col(rc).cast(left.schema[lc].dataType).alias(f"_right_{i}") for i, (lc, rc) in enumerate(pairs)]
+    keyed = right.select("*", *cast, F.lit(True).alias("_hit"))
+    keys = [f"_right_{i}" for i in range(len(pairs))]
+    hot = [hot_keys(left, lc, hot_share) if hot_share else [] for lc, _ in pairs]
+    first = _keyed_join(left, keyed, pairs[0][0], keys[0], "left", hot[0])
+    out = [*left.columns, *right.columns]
+    parts = [first.filter("_hit").select(*out)]
+    rest = first.filter(F.col("_hit").isNull()).select(*out)
+    for i in range(1, len(pairs)):
+        lc = pairs[i][0]
+        earlier = [F.coalesce(F.col(pairs[j][0]) == F.col(keys[j]), F.lit(False)) for j in range(i)]
+        met = _keyed_join(left, keyed, lc, keys[i], "inner", hot[i])
+        parts.append(met.filter(~reduce(lambda x, y: x | y, earlier)).select(*out))
+        known = keyed.select(F.col(keys[i]).alias("_known")).filter(F.col("_known").isNotNull()).distinct()
+        rest = _keyed_join(rest, known, lc, "_known", "left_anti", hot[i])
+    return reduce(DataFrame.unionByName, [*parts, rest.select(*out)])
 
 
 def lookup(fact: DataFrame, dim: DataFrame, on: Sequence[str] | str, take: Sequence[str]) -> DataFrame:

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.functions.classify import band, threshold
+from strata.operators.select import kth_smallest
 
 # The prediction bands and their labels, right-closed:
 # (0, 0.3] Off Track, (0.3, 0.5] At Risk, (0.5, 0.7] Moderate Progress, (0.7, 1.0] On Track.
@@ -20,13 +22,29 @@ CATEGORY_LABELS = ("Off Track", "At Risk", "Moderate Progress", "On Track")
 
 def hold_out(df: DataFrame, keys: Sequence[str], test_fraction: float = 0.2, seed: int = 42,
              name: str = "is_test") -> DataFrame:
-    """Deterministic split by a hash of the keys: stable under repartitioning
-    and executor loss (unlike ``randomSplit``, which depends on row order), and
-    the same in any engine that has MD5 (the first 32 bits, modulo 10,000)."""
-    buckets = 10_000
+    """Row-exact split: ``ceil(test_fraction * n)`` rows are test rows, those whose keys hash lowest.
+
+    The hash is the first 60 bits of an MD5 over the keys and the seed, so the split is the
+    same under repartitioning, after the loss of an executor (unlike ``randomSplit``, which
+    depends on row order) and in any engine with MD5. The last test row's hash is found by
+    counting digits (``kth_smallest``); no sort of all rows. Rows with that very hash (equal
+    keys) are ordered among themselves by all their columns. ``df`` is read three or four
+    times; pass a written or checkpointed frame if it is costly.
+    """
     text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))
-    h = F.pmod(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long"), F.lit(buckets))
-    return df.withColumn(name, h < F.lit(int(round(test_fraction * buckets))))
+    hashed = df.withColumn("_hash", F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long"))
+    n = df.count()
+    wanted = math.ceil(test_fraction * n)
+    if wanted == 0:
+        return df.withColumn(name, F.lit(False))
+    last, below, equal = kth_smallest(hashed, "_hash", wanted)
+    if below + equal == wanted:
+        return hashed.withColumn(name, F.col("_hash") <= F.lit(last)).drop("_hash")
+    order = Window.partitionBy("_hash").orderBy(*[F.col(c) for c in df.columns])
+    tied = (hashed.filter(F.col("_hash") == F.lit(last)).withColumn("_place", F.row_number().over(order))
+            .withColumn(name, F.col("_place") <= F.lit(wanted - below)).drop("_hash", "_place"))
+    rest = hashed.filter(F.col("_hash") != F.lit(last)).withColumn(name, F.col("_hash") < F.lit(last)).drop("_hash")
+    return rest.unionByName(tied)
 
 
 def assemble(df: DataFrame, features: Sequence[str], name: str = "features") -> DataFrame:

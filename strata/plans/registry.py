@@ -289,6 +289,17 @@ def q_any_match_join(spark, sf):
     return _round(left_any_match(o, c, [("o_custkey", "c_custkey"), ("o_orderkey", "c_custkey")]))
 
 
+def q_any_match_join_hot(spark, sf):
+    """A third of the rows on one key and a third without a key: hot keys are counted and joined by a broadcast."""
+    k = F.col("o_orderkey")
+    o = _t(spark, sf, "orders").select("o_orderkey", F.when(k % 3 == 0, F.lit(1)).when(k % 3 == 2, F.col("o_custkey")).cast(
+        "long").alias("o_custkey"), "o_orderdate")
+    c = _t(spark, sf, "customer").select("c_custkey", "c_name")
+    met = left_any_match(o, c, [("o_custkey", "c_custkey"), ("o_orderkey", "c_custkey")], hot_share=0.05)
+    return met.groupBy("c_custkey", "o_orderdate").agg(F.count(F.lit(1)).alias("rows"), F.count("c_name").alias("matched"),
+                                                       F.sum("o_orderkey").alias("keys"))
+
+
 # --------------------------------------------------------------------------- joins
 
 def q_composite_key_join(spark, sf):
@@ -833,6 +844,29 @@ def q_table_overwrite(spark, sf):
     return _round(spark.read.parquet(path))
 
 
+def q_failed_load(spark, sf):
+    """A load that fails half-way leaves the rows of the load before: a folder, a managed and an external table."""
+    orders = _t(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    broken = orders.withColumn("o_totalprice", F.when(F.col("o_orderstatus") == "O", F.raise_error(F.lit("broken load")).cast("double"))
+                               .otherwise(F.col("o_totalprice")))
+    path = scratch_path(spark, "replaced")
+    name = f"replaced_{path.rsplit('-', 1)[-1]}"
+    targets = {"path": {"path": path}, "table": {"table": name, "bucket_by": (4, ["o_orderkey"])},
+               "external table": {"table": f"{name}_x", "path": f"{path}_x"}}
+    parts = []
+    for kind, target in targets.items():
+        sinks.write_table(orders, **target)
+        try:
+            sinks.write_table(broken, **target)
+            failed = False
+        except Exception:
+            failed = True
+        read = spark.table(target["table"]) if "table" in target else spark.read.parquet(path)
+        parts.append(read.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"), F.sum("o_totalprice").alias("total"))
+                     .select(F.lit(kind).alias("kind"), "o_orderstatus", "orders", "total", F.lit(failed).alias("failed")))
+    return _round(reduce(DataFrame.unionByName, parts))
+
+
 def q_bucketed_table(spark, sf):
     """A described catalogue table in buckets by customer, aggregated on the bucket key."""
     path = scratch_path(spark, "bucketed")
@@ -877,6 +911,7 @@ QUERIES: dict[str, Query] = {
     "entity_dimension": q_entity_dimension,
     "entity_fanout": q_entity_fanout,
     "any_match_join": q_any_match_join,
+    "any_match_join_hot": q_any_match_join_hot,
     "composite_key_join": q_composite_key_join,
     "star_denormalise": q_star_denormalise,
     "combined_extract": q_combined_extract,
@@ -929,6 +964,7 @@ QUERIES: dict[str, Query] = {
     "progress_fact_named": q_progress_fact_named,
     "forest_accuracy": q_forest_accuracy,
     "table_overwrite": q_table_overwrite,
+    "failed_load": q_failed_load,
     "bucketed_table": q_bucketed_table,
     "export_report": q_export_report,
     "staging_views": q_staging_views,

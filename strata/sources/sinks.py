@@ -7,6 +7,7 @@ extract through one task and is meant for small extracts.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,10 +27,44 @@ def ensure_namespace(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, where = _file_system(spark, path)
+    fs.delete(where, True)
+
+
+def _take_place(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a written folder in the place of another: two renames, undone if the second fails."""
+    fs, new = _file_system(spark, staged)
+    _, target = _file_system(spark, path)
+    old = f"{path.rstrip('/')}__old_{uuid.uuid4().hex}"
+    _, aside = _file_system(spark, old)
+    existed = fs.exists(target)
+    fs.mkdirs(target.getParent())
+    if existed and not fs.rename(target, aside):
+        raise OSError(f"cannot set {path} aside")
+    if not fs.rename(new, target):
+        if existed:
+            fs.rename(aside, target)
+        raise OSError(f"cannot put the new load in the place of {path}")
+    if existed:
+        _remove(spark, old)
+
+
 def write_table(df: DataFrame, path: str | None = None, table: str | None = None,
                 partition_by: Sequence[str] = (), comment: str | None = None, fmt: str = "parquet",
                 bucket_by: tuple[int, Sequence[str]] | None = None) -> None:
-    """Replace-all load (WRITE_TRUNCATE): overwrite a path or a catalogue table.
+    """Replace-all load (WRITE_TRUNCATE) of a path or a catalogue table.
+
+    The load is written beside the target and takes its place only when it is complete: a
+    folder by renames, a managed table by renaming the staged table, an external one by its
+    folder. A load that fails half-way leaves the rows of the one before and nothing else,
+    and a frame that reads the target may replace it. Between the two renames of a swap a
+    reader finds no target (a rename per step, no copying).
 
     ``bucket_by=(n, cols)`` (catalogue tables only) hash-buckets and sorts the
     rows by ``cols`` into ``n`` buckets: later joins and aggregations on those
@@ -37,28 +72,55 @@ def write_table(df: DataFrame, path: str | None = None, table: str | None = None
     read co-located data and skip the shuffle, e.g. the progress and economic
     facts bucketed by (country_code, year) for their two-key join.
     """
-    w = df.write.mode("overwrite").format(fmt)
+    if not path and not table:
+        raise ValueError("need a path or a table name")
+    if bucket_by and not table:
+        raise ValueError("bucketing needs a catalogue table")
+    spark, load = df.sparkSession, uuid.uuid4().hex
+    rows = df
+    if bucket_by:
+        n, cols = bucket_by
+        rows = df.repartition(n, *cols)          # one task per bucket: at most n files, not tasks times n
+    w = rows.write.mode("errorifexists").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
     if bucket_by:
-        if not table:
-            raise ValueError("bucketing needs a catalogue table")
-        n, cols = bucket_by
-        # one task per bucket: at most n files, not tasks times n
-        w = df.repartition(n, *cols).write.mode("overwrite").format(fmt)
-        if partition_by:
-            w = w.partitionBy(*partition_by)
         w = w.bucketBy(n, *cols).sortBy(*cols)
-    if table:
+    staged = f"{path.rstrip('/')}__load_{load}" if path else None
+    if not table:
+        try:
+            w.save(staged)
+        except Exception:
+            _remove(spark, staged)
+            raise
+        _take_place(spark, staged, path)
+        return
+    staging = f"{table}__load_{load}"
+    try:
+        (w.option("path", staged) if path else w).saveAsTable(staging)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {staging}")
         if path:
-            w = w.option("path", path)
-        w.saveAsTable(table)
-        if comment:
-            df.sparkSession.sql(f"COMMENT ON TABLE {table} IS '{comment.replace(chr(39), chr(39) * 2)}'")
-    elif path:
-        w.save(path)
+            _remove(spark, staged)
+        raise
+    if path:
+        _take_place(spark, staged, path)
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"CREATE TABLE {table} LIKE {staging} LOCATION '{path}'")
+        spark.sql(f"DROP TABLE {staging}")
+        if partition_by:
+            spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+        spark.catalog.refreshTable(table)
     else:
-        raise ValueError("need a path or a table name")
+        old = f"{table}__old_{load}"
+        existed = spark.catalog.tableExists(table)
+        if existed:
+            spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+        if existed:
+            spark.sql(f"DROP TABLE {old}")
+    if comment:
+        spark.sql(f"COMMENT ON TABLE {table} IS '{comment.replace(chr(39), chr(39) * 2)}'")
 
 
 def csv_ready(df: DataFrame, python_booleans: bool = False) -> DataFrame:

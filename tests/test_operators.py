@@ -1,6 +1,8 @@
 import math
 import random
 
+import pytest
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -43,6 +45,90 @@ def test_left_any_match_fanout_and_unmatched(spark):
     assert rows(out) == sorted([("X", "N", "X", "M"), ("X", "N", "Y", "N"), (None, None, None, None)], key=repr)
 
 
+def test_left_any_match_with_hot_keys_equals_or_join(spark, monkeypatch):
+    from strata.operators import joins
+
+    rnd = random.Random(17)
+    # a third of the rows share one name, another third have none
+    left = [(i, rnd.choice([None, 1, 1, *range(8)]), rnd.choice(["hot", None, rnd.choice("abcd")])) for i in range(600)]
+    right = [(j, rnd.choice([None, *range(6)]), rnd.choice([None, "hot", "a", "b", "z"])) for j in range(40)]
+    L = spark.createDataFrame(left, "lid int, lcode int, lname string")
+    R = spark.createDataFrame(right, "rid int, rcode int, rname string")
+    pairs = [("lname", "rname"), ("lcode", "rcode")]
+    assert set(joins.hot_keys(L, "lname", 0.2)) == {"hot", None}
+    want = _or_join(L, R, pairs)
+    for limit in (joins.HOT_ROWS, 0):                       # by broadcast, and beyond the size check
+        monkeypatch.setattr(joins, "HOT_ROWS", limit)
+        got = left_any_match(L, R, pairs, hot_share=0.2)
+        assert got.count() == want.count()
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_left_any_match_of_repeated_rows_and_three_alternatives(spark):
+    L = spark.createDataFrame([("N", 1, 5), ("N", 1, 5), ("Q", 9, 5), ("Q", 9, 7), (None, None, None)], "name string, code int, k int")
+    R = spark.createDataFrame([("N", 1, 5), ("N", 2, 5), ("M", 1, 6)], "rname string, rcode int, rk int")
+    pairs = [("name", "rname"), ("code", "rcode"), ("k", "rk")]
+    assert rows(left_any_match(L, R, pairs)) == rows(_or_join(L, R, pairs))
+
+
+def test_kth_smallest_of_any_k(spark):
+    from strata.operators.select import kth_smallest
+
+    rnd = random.Random(3)
+    values = [rnd.choice([rnd.randrange(1 << 60), rnd.randrange(50), 7]) for _ in range(400)]
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "v long").repartition(5)
+    order = sorted(values)
+    for k in (1, 2, 133, 200, 399, 400):
+        want = (order[k - 1], sum(v < order[k - 1] for v in order), sum(v == order[k - 1] for v in order))
+        assert kth_smallest(df, "v", k, few=5) == want and kth_smallest(df, "v", k) == want
+    with pytest.raises(ValueError):
+        kth_smallest(df, "v", 401)
+    with pytest.raises(ValueError):
+        kth_smallest(df.limit(0), "v", 1)
+
+
+def test_hold_out_is_exact(spark):
+    import math
+
+    from strata.operators.predict import hold_out
+
+    for n in (0, 1, 4, 5, 35, 101):
+        df = spark.createDataFrame([(i, f"g{i % 3}", i // 2) for i in range(n)], "a long, b string, twin long")
+        got = {r.a for r in hold_out(df.repartition(4), ["a", "b"]).filter("is_test").collect()}
+        assert len(got) == math.ceil(0.2 * n)
+        assert got == {r.a for r in hold_out(df.coalesce(1), ["a", "b"]).filter("is_test").collect()}
+        # equal keys: still as many rows, and the same ones
+        pairs = hold_out(df.repartition(3), ["twin"])
+        assert pairs.filter("is_test").count() == math.ceil(0.2 * n) and pairs.count() == n
+    assert hold_out(spark.range(9), ["id"], 0.0).filter("is_test").count() == 0
+    assert hold_out(spark.range(9), ["id"], 1.0).filter("is_test").count() == 9
+
+
+def test_packed_order_compares_as_the_columns(spark):
+    import datetime as dt
+    import itertools
+
+    from strata.operators.features import packed_order
+
+    parts = {"d date": [None, dt.date(1, 1, 1), dt.date(1969, 12, 31), dt.date(2020, 1, 1), dt.date(9999, 12, 31)],
+             "t timestamp": [None, dt.datetime(1900, 1, 1), dt.datetime(2020, 1, 1, 0, 0, 0, 1), dt.datetime(9999, 12, 30)],
+             "z timestamp_ntz": [None, dt.datetime(1, 1, 1), dt.datetime(1969, 12, 31, 23, 59, 59, 999999), dt.datetime(2020, 3, 4, 5, 6, 7, 8)],
+             "l long": [None, -(1 << 63), -1, 0, (1 << 63) - 1], "i int": [None, -(1 << 31), 3], "b boolean": [None, False, True]}
+    for one, two in itertools.permutations(parts, 2):
+        names = [one.split()[0], two.split()[0]]
+        values = list(itertools.product(parts[one], parts[two]))
+        df = spark.createDataFrame(values, f"{one}, {two}").repartition(4)
+        packed = [r[:2] for r in df.select(*names, packed_order(df, names).alias("p")).orderBy("p").collect()]
+        plain = [r[:2] for r in df.orderBy(*[F.asc_nulls_first(n) for n in names]).collect()]
+        assert packed == plain, (one, two)
+    assert packed_order(spark.createDataFrame([("a", 1)], "s string, n int"), ["s", "n"]) is None
+    wide = spark.createDataFrame([(1, 2)], "a long, b long")
+    assert packed_order(wide, ["a", "b"]) is None           # 130 bits
+    latest = latest_non_null(spark.createDataFrame([("A", 1, 2, "x", None), ("A", 1, 3, None, 4.0), ("A", 1, 1, "w", 1.0), ("B", 0, 0, None, None)],
+                                                   "k string, y int, m int, s string, v double"), "k", ["y", "m"], ["s", "v"])
+    assert rows(latest) == [("A", "x", 4.0), ("B", None, None)]
+
+
 def test_left_any_match_plan_has_no_nested_loop(spark):
     L = spark.range(100).select(F.col("id").alias("a"), (F.col("id") % 7).alias("b"))
     R = spark.range(50).select(F.col("id").alias("c"), (F.col("id") % 5).alias("d"))
