@@ -22,44 +22,59 @@ from strata.functions.clean import as_column
 from strata.session import ensure_checkpoint_dir
 
 
-def _order_part(df: DataFrame, name: str) -> tuple[Column, int] | None:
-    """An order column as a whole number from 0 on (NULL: 0, the least) and its bits; None for other types."""
+def _order_number(df: DataFrame, name: str) -> tuple[Column, int, int] | None:
+    """An order column as a whole number with its least value and bits by type; None for other types."""
     c, kind = F.col(name), df.schema[name].dataType
     if isinstance(kind, BooleanType):
-        number, low, bits = c.cast("int"), 0, 1
-    elif isinstance(kind, (ByteType, ShortType, IntegerType)):
-        number, low, bits = c, 1 << 31, 32
-    elif isinstance(kind, DateType):
-        number, low, bits = F.unix_date(c), 1 << 31, 32
-    elif isinstance(kind, LongType):
-        number, low, bits = c, 1 << 63, 64
-    elif isinstance(kind, (TimestampType, TimestampNTZType)):
+        return c.cast("long"), 0, 1
+    if isinstance(kind, (ByteType, ShortType, IntegerType)):
+        return c.cast("long"), -(1 << 31), 32
+    if isinstance(kind, DateType):
+        return F.unix_date(c).cast("long"), -(1 << 31), 32
+    if isinstance(kind, LongType):
+        return c, -(1 << 63), 64
+    if isinstance(kind, (TimestampType, TimestampNTZType)):
         # years 1 to 9999 lie well within 2**59 microseconds of 1970
         seconds = F.unix_date(c.cast("date")).cast("long") * 86_400 + F.hour(c) * 3600 + F.minute(c) * 60
         micros = (F.unix_micros(c) if isinstance(kind, TimestampType)  # a local time needs no time zone
                   else seconds * 1_000_000 + (F.extract(F.lit("SECOND"), c) * 1_000_000).cast("long"))
-        number = F.when(F.abs(micros) >= 1 << 59, F.raise_error(F.lit(f"{name} is out of range")).cast("long")).otherwise(micros)
-        low, bits = 1 << 59, 60
-    else:
-        return None
-    shifted = number.cast("decimal(20,0)") + F.lit(Decimal(low + 1))
-    return F.coalesce(shifted, F.lit(Decimal(0))).cast("decimal(38,0)"), bits + 1
+        return (F.when(F.abs(micros) >= 1 << 59, F.raise_error(F.lit(f"{name} is out of range")).cast("long"))
+                .otherwise(micros)), -(1 << 59), 60
+    return None
 
 
-def packed_order(df: DataFrame, order: Sequence[str]) -> Column | None:
-    """The order columns as one decimal that compares as they do, one after the other.
+def packed_order(df: DataFrame, order: Sequence[str], measure: bool = True) -> Column | None:
+    """The order columns as one number that compares as they do, one after the other (NULL least).
 
     A maximum over a struct keeps a struct in the aggregation buffer, which makes Spark
-    sort all rows; a decimal is of fixed size and aggregates by hash. None if a column's
-    type has no such number (text, floating point) or the columns need more than 126 bits.
+    sort all rows; a number is of fixed size and aggregates by hash. With ``measure`` the
+    columns' least and greatest values are read first (one aggregate over these columns):
+    the bits they take mostly fit into one long. Else, and where they don't, the number is
+    a decimal. None if a column's type has no such number (text, floating point) or the
+    columns need more than 126 bits.
     """
-    parts = [_order_part(df, o) for o in order]
-    if any(p is None for p in parts) or sum(bits for _, bits in parts) > 126:
+    parts = [_order_number(df, o) for o in order]
+    if any(p is None for p in parts):
+        return None
+    lows, bits = [low for _, low, _ in parts], [bits + 1 for _, _, bits in parts]
+    if measure:
+        row = df.agg(*[f(number).alias(f"{name}{i}") for i, (number, _, _) in enumerate(parts)
+                       for f, name in ((F.min, "low"), (F.max, "high"))]).first()
+        spans = [(row[f"low{i}"] or 0, row[f"high{i}"] or 0) for i in range(len(parts))]
+        narrow = [max(1, (high - low + 1).bit_length()) for low, high in spans]
+        if sum(narrow) <= 62:
+            packed = None
+            for (number, _, _), (low, _), width in zip(parts, spans, narrow):
+                place = F.coalesce(number - F.lit(low - 1).cast("long"), F.lit(0).cast("long")) if low > -(1 << 63) else (
+                    F.coalesce(number - F.lit(low).cast("long") + 1, F.lit(0).cast("long")))
+                packed = place if packed is None else F.shiftleft(packed, width).bitwiseOR(place)
+            return packed
+    if sum(bits) > 126:
         return None
-    packed = parts[0][0]
-    for number, bits in parts[1:]:
-        packed = (packed * F.lit(Decimal(1 << bits))).cast("decimal(38,0)") + number
-        packed = packed.cast("decimal(38,0)")
+    packed = None
+    for (number, _, _), low, width in zip(parts, lows, bits):
+        place = F.coalesce(number.cast("decimal(20,0)") + F.lit(Decimal(1 - low)), F.lit(Decimal(0))).cast("decimal(38,0)")
+        packed = place if packed is None else ((packed * F.lit(Decimal(1 << width))).cast("decimal(38,0)") + place).cast("decimal(38,0)")
     return packed
 
 
@@ -128,26 +143,24 @@ def roll_latest(profile: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
             .groupBy(key).agg(*[F.max_by(F.col(c), F.col(f"{c}__at")).alias(c) for c in cols]))
 
 
-def _text_code(c: str) -> Column:
-    """A text's first 120 MD5 bits as a decimal, which aggregates by hash."""
-    half = lambda first: F.conv(F.substring(F.md5(F.col(c)), first, 15), 16, 10).cast("decimal(20,0)")
-    return (half(1) * F.lit(Decimal(1 << 60))).cast("decimal(38,0)") + half(16)
-
-
 def latest_non_null(df: DataFrame, key: str, order: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """Per key, each column's latest non-null value, independently per column.
 
-    Text columns are aggregated as codes and read back from the column's distinct texts,
-    so that the rows aggregate by hash.
+    Text columns are aggregated as two 64-bit hashes (which a row's maximum takes together) and
+    read back from the column's distinct texts, so that the rows aggregate by hash.
     """
     rows, at = df.filter(F.col(key).isNotNull()), order_key(df, order)
     texts = [c for c in cols if isinstance(df.schema[c].dataType, StringType)]
-    value = {c: _text_code(c).cast("decimal(38,0)") if c in texts else F.col(c) for c in cols}
-    out = rows.groupBy(key).agg(*[F.max_by(value[c], F.when(F.col(c).isNotNull(), at)).alias(c) for c in cols])
+    hashes = lambda c: [F.xxhash64(c), F.xxhash64(F.lit("second"), c)]
+    aggs = []
+    for c in cols:
+        present = F.when(F.col(c).isNotNull(), at)
+        aggs += ([F.max_by(h, present).alias(f"_{i}_{c}") for i, h in enumerate(hashes(c))] if c in texts
+                 else [F.max_by(c, present).alias(c)])
+    out = rows.groupBy(key).agg(*aggs)
     for c in texts:
-        named = rows.filter(F.col(c).isNotNull()).select(F.col(c).alias("_text")).distinct()
-        named = named.select("_text", _text_code("_text").cast("decimal(38,0)").alias("_code"))
-        out = out.join(named, F.col(c) == F.col("_code"), "left").withColumn(c, F.col("_text")).drop("_text", "_code")
+        named = rows.filter(F.col(c).isNotNull()).select(c).distinct().select(c, *[h.alias(f"_{i}_{c}") for i, h in enumerate(hashes(c))])
+        out = out.join(named, [f"_0_{c}", f"_1_{c}"], "left")
     return out.select(key, *cols)
 
 

@@ -28,16 +28,17 @@ def hold_out(df: DataFrame, keys: Sequence[str], test_fraction: float = 0.2, see
     same under repartitioning, after the loss of an executor (unlike ``randomSplit``, which
     depends on row order) and in any engine with MD5. The last test row's hash is found by
     counting digits (``kth_smallest``); no sort of all rows. Rows with that very hash (equal
-    keys) are ordered among themselves by all their columns. ``df`` is read three or four
+    keys) are ordered among themselves by all their columns. ``df`` is read about three
     times; pass a written or checkpointed frame if it is costly.
     """
     text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))
     hashed = df.withColumn("_hash", F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long"))
-    n = df.count()
-    wanted = math.ceil(test_fraction * n)
-    if wanted == 0:
+    # the hash is not NULL (concat_ws skips NULL keys): every row counts
+    if test_fraction <= 0 or df.isEmpty():
         return df.withColumn(name, F.lit(False))
-    last, below, equal = kth_smallest(hashed, "_hash", wanted)
+    size = []
+    last, below, equal = kth_smallest(hashed, "_hash", lambda n: size.append(math.ceil(test_fraction * n)) or size[0])
+    wanted = size[0]
     if below + equal == wanted:
         return hashed.withColumn(name, F.col("_hash") <= F.lit(last)).drop("_hash")
     order = Window.partitionBy("_hash").orderBy(*[F.col(c) for c in df.columns])

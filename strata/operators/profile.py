@@ -130,3 +130,21 @@ def duplicate_keys(df: DataFrame, key: str, count_name: str = "copies") -> DataF
     columns than the grain), with their number of copies."""
     return (df.groupBy(key).agg(F.count(F.lit(1)).alias(count_name))
             .filter(F.col(count_name) > F.lit(1)))
+
+
+def footer_profile(spark: SparkSession, path: str, ranges: Sequence[str] = ()) -> DataFrame:
+    """One row from the footers of parquet files alone: ``row_count``, ``<c>_min`` and ``<c>_max`` of the columns.
+
+    The files are read by Spark's V2 source, which answers counts, minima and maxima of
+    numbers, dates and booleans from row-group statistics: no data page is read, so the
+    cost grows with the number of files. The reader's settings are a session's, so the
+    frame belongs to one of its own.
+    """
+    own = spark.newSession()
+    v1 = own.conf.get("spark.sql.sources.useV1SourceList").split(",")
+    own.conf.set("spark.sql.sources.useV1SourceList", ",".join(x for x in v1 if x != "parquet"))
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    aggs = [F.count(F.lit(1)).alias("row_count")]
+    for c in ranges:
+        aggs += [F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max")]
+    return own.read.parquet(path).agg(*aggs)

@@ -9,13 +9,17 @@ value is shuffled and no task holds more than one digit's counts.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def kth_smallest(df: DataFrame, column: str, k: int, bits: int = 60, digit: int = 15, few: int = 10_000) -> tuple[int, int, int]:
+def kth_smallest(df: DataFrame, column: str, k: int | Callable[[int], int], bits: int = 60, digit: int = 15,
+                 few: int = 10_000) -> tuple[int, int, int]:
     """(the k-th smallest value from 1 on, how many are smaller, how many are equal); NULLs are left out.
 
+    ``k`` may be a function of the number of values, which the first pass counts anyway.
     Raises ValueError when fewer than k values exist. Values lie in 0 .. 2**bits - 1.
     """
     value = F.col(column).cast("long")
@@ -32,6 +36,8 @@ def kth_smallest(df: DataFrame, column: str, k: int, bits: int = 60, digit: int
         step = min(digit, left)
         counts = within.groupBy(F.shiftright(value, left - step).alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()
         left -= step
+        if callable(k):
+            k = k(sum(r.n for r in counts))
         for r in sorted(counts, key=lambda r: r.d):
             if below + r.n >= k:
                 prefix, group = r.d, r.n

@@ -39,12 +39,12 @@ from strata.operators.joins import left_any_match, lookup, star
 from strata.operators.ordinal import encode_labels
 from strata.operators.pivot import pivot_max
 from strata.operators.predict import CATEGORY_EDGES, CATEGORY_LABELS, hold_out
-from strata.operators.profile import (best_worst, category_share, count_by, coverage, fanout, null_profile,
+from strata.operators.profile import (best_worst, category_share, count_by, coverage, fanout, footer_profile, null_profile,
                                       table_counts, top_n)
 from strata.plans import marts
 from strata.session import scratch_path
 from strata.sources import landing, ranges, sinks
-from strata.sources.catalog import TEST_TABLES, load
+from strata.sources.catalog import TEST_TABLES, load, table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -600,6 +600,15 @@ def q_coverage_profile(spark, sf):
     return coverage(obs, {"countries": "geo_area_code", "goals": "goal_code", "years": "year"}, "year")
 
 
+def q_footer_counts(spark, sf):
+    """Counts and key ranges of whole tables from their files' footers."""
+    keys = {"orders": "o_orderkey", "customer": "c_custkey", "events": "event_id", "part": "p_partkey", "lineitem": "l_orderkey"}
+    parts = [footer_profile(spark, table_path(sf, t), [k]).select(
+        F.lit(t).alias("table_name"), "row_count", F.col(f"{k}_min").cast("long").alias("least_key"),
+        F.col(f"{k}_max").cast("long").alias("greatest_key")) for t, k in keys.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def q_count_by_code(spark, sf):
     obs = observations(spark, sf).withColumn("goal_code", dotted("indicator_code", 1))
     return count_by(obs, "goal_code", "goal_code").withColumn("position", F.col("goal_code").try_cast("long"))
@@ -929,6 +938,7 @@ QUERIES: dict[str, Query] = {
     "reject_report": q_reject_report,
     "table_counts": q_table_counts,
     "coverage_profile": q_coverage_profile,
+    "footer_counts": q_footer_counts,
     "count_by_code": q_count_by_code,
     "count_by_region": q_count_by_region,
     "null_profile": q_null_profile,

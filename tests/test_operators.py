@@ -118,11 +118,16 @@ def test_packed_order_compares_as_the_columns(spark):
         names = [one.split()[0], two.split()[0]]
         values = list(itertools.product(parts[one], parts[two]))
         df = spark.createDataFrame(values, f"{one}, {two}").repartition(4)
-        packed = [r[:2] for r in df.select(*names, packed_order(df, names).alias("p")).orderBy("p").collect()]
         plain = [r[:2] for r in df.orderBy(*[F.asc_nulls_first(n) for n in names]).collect()]
-        assert packed == plain, (one, two)
+        for measure in (True, False):
+            packed = [r[:2] for r in df.select(*names, packed_order(df, names, measure).alias("p")).orderBy("p").collect()]
+            assert packed == plain, (one, two)
+    near = spark.createDataFrame([(a, b) for a in (None, -5, 0, 3) for b in (None, 10 ** 12, 10 ** 12 + 7)], "a long, b long").repartition(3)
+    ordered = near.withColumn("p", packed_order(near, ["a", "b"]))
+    assert ordered.schema["p"].dataType.typeName() == "long"
+    assert [r[:2] for r in ordered.orderBy("p").collect()] == [r[:2] for r in near.orderBy(F.asc_nulls_first("a"), F.asc_nulls_first("b")).collect()]
     assert packed_order(spark.createDataFrame([("a", 1)], "s string, n int"), ["s", "n"]) is None
-    wide = spark.createDataFrame([(1, 2)], "a long, b long")
+    wide = spark.createDataFrame([(1, -(1 << 63)), ((1 << 63) - 1, 2)], "a long, b long")
     assert packed_order(wide, ["a", "b"]) is None           # 130 bits
     latest = latest_non_null(spark.createDataFrame([("A", 1, 2, "x", None), ("A", 1, 3, None, 4.0), ("A", 1, 1, "w", 1.0), ("B", 0, 0, None, None)],
                                                    "k string, y int, m int, s string, v double"), "k", ["y", "m"], ["s", "v"])

@@ -92,6 +92,11 @@ def test_latest_values_by_several_order_columns_aggregate_by_hash(spark):
         assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan and "HashAggregate" in plan, plan
 
 
+def test_footer_counts_read_no_data_page(spark):
+    plan = _plan(registry.q_footer_counts(spark, SF01))
+    assert plan.count("PushedAggregation: [COUNT(*), MIN(") == 5, plan
+
+
 def test_buckets_write_one_file_each(spark):
     from strata.session import local_path, scratch_path
     from strata.sources import sinks
