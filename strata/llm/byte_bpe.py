@@ -263,13 +263,13 @@ class ByteBPE:
         self.blob = np.frombuffer(b"".join(ordered), np.uint8)
         self.length = np.array([len(t) for t in ordered], np.int64)
         self.start = np.cumsum(self.length) - self.length
-        self.known: dict[bytes, list[int]] = {}
+        self.known: dict[bytes, tuple[int, ...]] = {}
         self.held = 0
 
-    def _missed(self, piece: bytes) -> list[int]:
+    def _missed(self, piece: bytes) -> tuple[int, ...]:
         got = self.known.get(piece)
         if got is None:
-            got = merge_bytes(piece, self.ranks)
+            got = tuple(merge_bytes(piece, self.ranks))
             if len(piece) <= SHORT:
                 if self.held > MEMORY:
                     self.known, self.held = {}, 0
@@ -285,15 +285,16 @@ class ByteBPE:
             index[m] = k
         key = self.index.find(pieces)
         whole = key >= 0
-        ids = np.empty(len(pieces), object)
-        ids[whole] = self.id_of[key[whole]]
         lengths = np.ones(len(pieces), np.int64)
-        for k in np.flatnonzero(~whole):
-            got = self._missed(pieces[k])
-            ids[k], lengths[k] = got, len(got)
-        flat = np.fromiter(chain.from_iterable(x if isinstance(x, list) else (x,) for x in ids), np.int32, int(lengths.sum()))
+        missed = np.flatnonzero(~whole)
+        found = [self._missed(pieces[k]) for k in missed.tolist()]
+        lengths[missed] = np.fromiter(map(len, found), np.int64, len(found))
+        first = np.cumsum(lengths) - lengths
+        flat = np.empty(int(lengths.sum()), np.int32)
+        flat[first[whole]] = self.id_of[key[whole]]
+        flat[ragged(first[missed], lengths[missed])] = np.fromiter(chain.from_iterable(found), np.int32)
         at = np.fromiter(map(index.__getitem__, matches), np.int64, len(matches))
-        return flat[ragged((np.cumsum(lengths) - lengths)[at], lengths[at])], lengths[at]
+        return flat[ragged(first[at], lengths[at])], lengths[at]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of every text; short texts are looked up together."""
