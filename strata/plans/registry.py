@@ -33,7 +33,7 @@ from pyspark.sql.types import DoubleType, FloatType
 from strata.functions.classify import band, threshold
 from strata.functions.clean import safe_double
 from strata.functions.keys import dotted, prefix, surrogate_key
-from strata.operators.change import lag_delta
+from strata.operators.change import lag_delta, lag_delta_ranged
 from strata.operators.features import entity_profile, latest_non_null, median_fill
 from strata.operators.joins import left_any_match, lookup, star
 from strata.operators.ordinal import encode_labels
@@ -166,6 +166,13 @@ def q_year_over_year_delta(spark, sf):
     return _round(lag_delta(monthly, ["o_custkey"], ["period"], "avg_value", "prev_avg", "change"))
 
 
+def q_hot_series_change(spark, sf):
+    """Change from event to event, where one series holds a third of the rows."""
+    e = _t(spark, sf, "events").select(F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")).cast("long").alias("series"),
+                                       "ts", "event_id", "value")
+    return _round(lag_delta_ranged(e, ["series"], ["ts"], "value", "prev_value", "change", tie=["event_id"], ranges=16))
+
+
 def q_economic_fact(spark, sf):
     """V9: pivot of event series per (user, year) + key + dimension lookup."""
     e = _t(spark, sf, "events")
@@ -909,6 +916,7 @@ QUERIES: dict[str, Query] = {
     "progress_fact": q_progress_fact,
     "hot_key_progress": q_hot_key_progress,
     "year_over_year_delta": q_year_over_year_delta,
+    "hot_series_change": q_hot_series_change,
     "economic_fact": q_economic_fact,
     "stage_observations": q_stage_observations,
     "stage_entities": q_stage_entities,

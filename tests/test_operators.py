@@ -149,6 +149,21 @@ def test_rollup_counts_unparsable_but_not_in_measures(spark):
     assert got == {"A": (2, 4.0), "B": (1, None)}
 
 
+def test_lag_over_ranges_equals_one_window(spark):
+    from strata.operators.change import lag_delta_ranged
+
+    rnd = random.Random(5)
+    data = [(rnd.choice(["hot", "hot", None, "a", "b"]), i // 2, i, rnd.choice([None, float(i % 11)])) for i in range(500)]
+    rnd.shuffle(data)
+    df = spark.createDataFrame(data, "k string, t long, id long, v double")
+    spread = lag_delta_ranged(df, ["k"], ["t"], "v", tie=["id"], ranges=8)
+    assert rows(spread) == rows(lag_delta(df, ["k"], ["t"], "v", tie=["id"]))
+    assert lag_delta_ranged(df.limit(0), ["k"], ["t"], "v").count() == 0
+    # the hot series lies in several ranges: no task holds all of it
+    parts = df.repartitionByRange(8, "k", "t", "id").withColumn("p", F.spark_partition_id()).filter("k = 'hot'").select("p").distinct().count()
+    assert parts > 1
+
+
 def test_lag_steps_to_previous_present_row(spark):
     df = spark.createDataFrame([("A", 2000, 1.0), ("A", 2001, 3.0), ("A", 2005, 10.0), ("B", 2001, 5.0)],
                                "c string, year long, v double")
