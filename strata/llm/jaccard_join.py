@@ -20,10 +20,13 @@ The join follows that split:
 3. ``link_classes``: in ROUNDS rounds every class probes the leader of another component
    that most of its lists offer (a list's leader has the largest share of its short lists
    in common with others, as the text that others were copied from has), so that a large
-   group of near copies links by one probe a member. Then all pairs of list members that
-   are still in different components and reach the count are probed, whatever the list's
-   length, so no link is lost: skipping a pair inside one component cannot change any
-   component.
+   group of near copies links by one probe a member. Then ``across`` merges the lists that
+   still hold several components, class by class inside a task (DivideSkip), and only the
+   pairs that reach the count come out and are probed. Lists of one group of texts meet in
+   one task (by the least component in them); a group beyond OPEN_POSTINGS is split into
+   blocks of classes. The count is shared out over the tasks that hold a class's lists in
+   proportion to them (a pair that reaches it reaches a share somewhere), so no link is
+   lost: skipping a pair inside one component cannot change any component.
 4. A probe fetches both sets (of candidate classes only) and binary-searches the
    smaller one's sorted shingles, short lists and long ones alike, in the larger one's.
 5. Components are found by passing the smallest label along the links (``components``).
@@ -32,7 +35,9 @@ Words: A-Z folded, runs outside the six ASCII white-space characters; 64-bit has
 stand for words and shingles (random weights; a false equality has odds of about
 2**-64 a pair). Defined cases: null, empty and blank texts have no set and link with
 nothing; fewer than five words are one shingle; repeated rows are rows of one class;
-repeated ids count as one node by id; an empty table gives no rows.
+rows that repeat an id with other texts are judged by their own texts; rows without an
+id link as any other (their own component_id is null if no linked row has an id); an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -41,7 +46,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from strata.llm.graph import components
 from strata.llm.shared import by_ids, counter_rows, summed, written
@@ -53,6 +58,7 @@ BUCKET_POSTINGS = 200_000
 NUM, DEN = 4, 5
 ROUNDS = 1
 EXTRA = 20
+OPEN_POSTINGS = 50_000
 ROWS = 1_000
 _STEP_OF_SIZE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -176,24 +182,37 @@ def merged_lists(blocks: DataFrame, num: int, den: int) -> DataFrame:
     return blocks.groupBy("bucket").applyInArrow(merge, "list long, class long, n int, rank int")
 
 
+def _with_classes(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[tuple[pa.RecordBatch, list[int], list[np.ndarray]]]:
+    """Slices of the batches, with every row's class and set."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, ROWS):
+            batch = whole.slice(at, ROWS)
+            found = list(_sets(batch, size))
+            yield batch, [class_of(x) for x in found], found
+
+
 def candidate_sets(docs: DataFrame, sets: DataFrame, lists: DataFrame, size: int) -> DataFrame:
-    """(class, shingles) of the classes in ``lists``: hashed anew from one document of each."""
+    """(class, shingles) of the classes in ``lists``: hashed anew from one document of each,
+    or, for a class that only rows without an id have, from these rows."""
     wanted = (sets.join(lists.select("class").distinct(), "class", "left_semi")
               .groupBy("class").agg(F.min("doc_id").alias("doc_id")))
-    ids = wanted.select("doc_id")
+    wanted = written(wanted, "wanted")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, ROWS):
-                found = [x for x in _sets(whole.slice(at, ROWS), size) if len(x)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([class_of(x) for x in found], pa.int64()), pa.array([x.tobytes() for x in found], pa.binary())],
-                    names=["class", "shingles"])
-
-    texts = by_ids(docs.select("doc_id", "text"), ids, "left_semi").select("text")
+        for _, classes, found in _with_classes(batches, size):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([c for c in classes if c], pa.int64()),
+                 pa.array([x.tobytes() for x in found if len(x)], pa.binary())], names=["class", "shingles"])
+
+    schema = "class long, shingles binary"
+    ids = wanted.where(F.col("doc_id").isNotNull()).select("doc_id")
+    texts = by_ids(docs.select("doc_id", "text"), ids, "left_semi").select("text").mapInArrow(run, schema)
+    nameless = wanted.where(F.col("doc_id").isNull()).select("class")
+    texts = texts.unionByName(docs.where(F.col("doc_id").isNull()).select("text").mapInArrow(run, schema)
+                              .join(nameless, "class", "left_semi"))
     # dealt out by class once: this, and both joins of every probe, need no further exchange of sets
-    return (texts.mapInArrow(run, "class long, shingles binary")
-            .repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "class").dropDuplicates(["class"]))
+    return (texts.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "class")
+            .dropDuplicates(["class"]))
 
 
 def probe(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -271,6 +290,79 @@ def _one_probe_each(members: DataFrame, probed: DataFrame | None, num: int, den:
             .select("best.a", "best.b").distinct())
 
 
+def _reaching(table: pa.Table, num: int, den: int) -> pa.Table:
+    """(a, b) of the pairs of one task's list members that reach the class a's share of the count.
+
+    Each class merges those of its lists that it needs not set aside (all but the longest
+    t - 1, t being its least share of the count) and binary-searches what they offer in the others.
+    """
+    post = {c: table.column(c).to_numpy() for c in ("list", "class", "n", "rank", "root", "total", "side")}
+    order = np.lexsort((post["class"], post["list"]))
+    lists, cls, n, rank, root, total, side = (post[c][order].astype(np.int64) for c in post)
+    first = np.r_[True, lists[1:] != lists[:-1]]
+    start = np.flatnonzero(first)[np.cumsum(first) - 1]
+    two_sides = len(np.unique(side)) > 1
+    by_class = np.argsort(cls, kind="stable")
+    cuts = np.r_[0, np.flatnonzero(np.diff(cls[by_class])) + 1, len(cls)]
+    a, b = [], []
+    for low, high in zip(cuts[:-1], cuts[1:]):
+        own = by_class[low:high]
+        x, w = own[0], high - low
+        name, size = cls[x], n[x]
+        share = lambda k: 1 + (np.minimum(size, k) // EXTRA) * w // total[x]  # noqa: B023,E731
+        # partners of smaller names stand before the class in each of its lists
+        own = own[np.argsort(own - start[own], kind="stable")]
+        aside = int(share(-(-num * size // den))) - 1
+        short, long = own[:w - aside], own[w - aside:]
+        sizes = short - start[short]
+        if not sizes.sum():
+            continue
+
+        def meets(at: np.ndarray, mine: np.ndarray) -> np.ndarray:
+            k = n[at]
+            overlap = -(-(size + k) * num // (num + den))  # noqa: B023
+            extra = np.minimum(size, k) // EXTRA  # noqa: B023
+            return ((den * np.minimum(size, k) >= num * np.maximum(size, k))  # noqa: B023
+                    & (mine <= size - overlap + extra) & (rank[at] <= k - overlap + extra))  # noqa: B023
+
+        at = np.arange(sizes.sum()) + np.repeat(start[short] - np.r_[0, np.cumsum(sizes)[:-1]], sizes)
+        good = (root[at] != root[x]) & meets(at, np.repeat(rank[short], sizes))
+        if two_sides:
+            good &= side[at] != side[x]
+        at = at[good]
+        partners, where, counts = np.unique(cls[at], return_index=True, return_counts=True)
+        least = share(n[at[where]])
+        left = counts + aside >= least
+        partners, counts, least = partners[left], counts[left], least[left]
+        for y in long if len(partners) else ():
+            members = cls[start[y]:y]
+            if len(members):
+                place = np.minimum(np.searchsorted(members, partners), len(members) - 1)
+                counts = counts + ((members[place] == partners) & meets(start[y] + place, rank[y]))
+        partners = partners[counts >= least]
+        a.append(np.full(len(partners), name))
+        b.append(partners)
+    none = [np.empty(0, np.int64)]
+    return pa.table({"a": pa.array(np.concatenate(a or none)), "b": pa.array(np.concatenate(b or none))})
+
+
+def across(members: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b), a > b: the pairs of classes in different components that meet in as many lists as partners must."""
+    open_lists = (members.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+                  .where("low != high").select("list", "low"))
+    left = written(members.join(open_lists, "list"), "open")
+    buckets = max(1, -(-left.count() // OPEN_POSTINGS))
+    left = left.withColumn("bucket", F.pmod(F.xxhash64("low"), F.lit(buckets)))
+    blocks = left.groupBy("bucket").agg(F.ceil(F.count("*") / OPEN_POSTINGS).alias("blocks"))
+    totals = left.groupBy("class").agg(F.count("*").alias("total"))
+    block = F.pmod(F.xxhash64(F.lit(1), "class"), F.col("blocks"))
+    dealt = (left.join(totals, "class").join(blocks, "bucket")
+             .select("bucket", "list", "class", "n", "rank", "root", "total", block.alias("side"),
+                     F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("with")))
+    return (dealt.withColumn("i", F.least("side", "with")).withColumn("j", F.greatest("side", "with"))
+            .groupBy("bucket", "i", "j").applyInArrow(lambda t: _reaching(t, num, den), "a long, b long").distinct())
+
+
 def link_classes(lists: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """(node, root) of all classes that link with another class."""
     links = probed = roots = None
@@ -280,14 +372,8 @@ def link_classes(lists: DataFrame, sets: DataFrame, num: int, den: int) -> DataF
         links = found if links is None else links.unionByName(found)
         probed = pairs if probed is None else probed.unionByName(pairs)
         roots = components(links)
-    members = _rooted(lists, roots)
-    open_lists = (members.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-                  .where("low != high").select("list"))
-    left = written(members.join(open_lists, "list", "left_semi"), "open")
-    right = left.select("list", F.struct("root", "class", "n", "rank").alias("other"))
-    across = _common_lists(left.join(right, "list").where(
-        (F.col("root") != F.col("other.root")) & (F.col("class") > F.col("other.class")) & _meets(num, den))).select("a", "b")
-    found = written(probe(across.join(probed, ["a", "b"], "left_anti"), sets, num, den), "links")
+    left = across(_rooted(lists, roots), num, den)
+    found = written(probe(left.join(probed, ["a", "b"], "left_anti"), sets, num, den), "links")
     return components(links.unionByName(found))
 
 
@@ -316,8 +402,25 @@ def similarity_components(docs: DataFrame, size: int = SHINGLE, num: int = NUM,
 
 def keep_one_of_each(docs: DataFrame, size: int = SHINGLE, num: int = NUM, den: int = DEN) -> DataFrame:
     """The documents, with their columns, less those that link (through others) to one with a
-    smaller doc_id. Rows that repeat the kept id are that document and stay; rows without an
-    id or without a set stay."""
+    smaller doc_id. Rows that repeat the kept id are that document and stay; of rows that share
+    an id, only those whose own text links go; rows without an id or without a set stay."""
     found = similarity_components(docs, size, num, den)
-    gone = found.where((F.col("class") != 0) & (F.col("component_id") < F.col("doc_id"))).select("doc_id")
-    return by_ids(docs, gone, "left_anti")
+    goes = F.coalesce((F.col("class") != 0) & (F.col("component_id") < F.col("doc_id")), F.lit(False))
+    found = written(found.withColumn("goes", goes), "found")
+    ids = found.groupBy("doc_id").agg(F.bool_or("goes").alias("any"), F.bool_and("goes").alias("all")).where("any")
+    ids = written(ids, "linked")
+    kept = by_ids(docs, ids.select("doc_id"), "left_anti")
+    mixed = ids.where(~F.col("all")).select("doc_id")
+    if mixed.isEmpty():
+        return kept
+    rows = by_ids(docs, mixed, "left_semi")
+    schema = T.StructType([*rows.schema.fields, T.StructField("class of the row", T.LongType())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, classes, _ in _with_classes(batches, size):
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(classes, pa.int64())],
+                                             names=[*batch.schema.names, "class of the row"])
+
+    stay = found.where(~F.col("goes")).select("doc_id", F.col("class").alias("class of the row")).distinct()
+    rows = rows.mapInArrow(run, schema).join(stay, ["doc_id", "class of the row"], "left_semi")
+    return kept.unionByName(rows.select(*docs.columns))
