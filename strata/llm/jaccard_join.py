@@ -59,7 +59,7 @@ NUM, DEN = 4, 5
 ROUNDS = 1
 EXTRA = 20
 OPEN_POSTINGS = 50_000
-ROWS = 1_000
+ROWS = 250
 _STEP_OF_SIZE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -154,7 +154,7 @@ def short_postings(docs: DataFrame, lengths, buckets: int, size: int, num: int,
                     cls.append(name)
                     ns.append(len(found))
                     held += short
-                    if held > 1_000_000:
+                    if held > 250_000:
                         yield from flush(shingle, cls, ns)
                         shingle, cls, ns, held, seen = [], [], [], 0, set()
         if held:
