@@ -53,4 +53,4 @@ def test_each_stage_takes_effect(spark, folder):
 
 def test_registered():
     assert {"pipeline", *[n for n in entry.queries() if n.startswith("op")]} <= set(entry.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in entry.queries() if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in entry.queries() if n.startswith("op")) == list(range(1, 14))
