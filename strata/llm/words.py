@@ -7,8 +7,11 @@ one block of about ``BLOCK`` bytes (a longer single word widens its block).
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 BLOCK = 1 << 20
 SHINGLE = 5
@@ -119,3 +122,16 @@ def shingles(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
+
+
+def byte_slices(batch: pa.RecordBatch, name: str, size: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch with about ``size`` bytes in the named text column (a longer row is alone)."""
+    lengths = np.asarray(pc.fill_null(pc.binary_length(column(batch, name)), 0))
+    start, total = 0, 0
+    for i, n in enumerate(lengths.tolist()):
+        if i > start and total + n > size:
+            yield batch.slice(start, i - start)
+            start, total = i, 0
+        total += n
+    if start < batch.num_rows:
+        yield batch.slice(start)
