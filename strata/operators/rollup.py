@@ -1,8 +1,9 @@
-"""Group-level measures: exact distinct count with avg/min/max, distinct rows."""
+"""Group-level measures: exact distinct count with avg/min/max, distinct counts that merge, distinct rows."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -62,3 +63,42 @@ def distinct_rows(df: DataFrame, cols: Sequence[str], where=None) -> DataFrame:
     if where is not None:
         out = out.filter(where)
     return out.distinct()
+
+
+def distinct_state(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """(keys, bucket, bits): the exact set of the integer ``value`` per group, as bitmaps of 32,768 values.
+
+    A stored state answers distinct counts at any coarser grain (``distinct_counts``) and
+    takes later loads (``merge_states``) without the rows it came from. Bitmaps are built in
+    each map task, so a hot group sends one bitmap per bucket and task, and a group's set is
+    spread over its buckets. A bitmap has 4 KB: the state is for dense integers (surrogate
+    keys, the ordinals of ``ordinal.encode_labels``) and groups with many of them; for
+    groups of a few values ``count_distinct`` is smaller. NULL is no value; a group with
+    none but NULLs keeps an empty bitmap (bucket 0).
+    """
+    v = F.col(value).cast("long")
+    bucket = F.coalesce(F.bitmap_bucket_number(v), F.lit(0).cast("long"))
+    return (df.select(*keys, bucket.alias("bucket"), F.bitmap_bit_position(v).alias("bit"))
+            .groupBy(*keys, "bucket").agg(F.bitmap_construct_agg("bit").alias("bits")))
+
+
+def merge_states(states: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """One state of several loads' states (values that they share count once)."""
+    out = states[0]
+    for other in states[1:]:
+        out = out.unionByName(other)
+    return out.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def distinct_counts(state: DataFrame, grains: Mapping[str, Sequence[str]], name: str) -> DataFrame:
+    """(grain, every key of the state or NULL, count): exact distinct counts at several grains of one state."""
+    keys = [c for c in state.columns if c not in ("bucket", "bits")]
+    types = dict(state.dtypes)
+    parts = []
+    for grain, cols in grains.items():
+        merged = state.groupBy(*cols, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+        counted = merged.groupBy(*cols).agg(F.sum(F.bitmap_count("bits")).alias(name))
+        parts.append(counted.select(F.lit(grain).alias("grain"), *[
+            F.col(k) if k in cols else F.lit(None).cast(types[k]).alias(k) for k in keys],
+            F.coalesce(name, F.lit(0).cast("long")).alias(name)))
+    return reduce(DataFrame.unionByName, parts)

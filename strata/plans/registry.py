@@ -38,6 +38,7 @@ from strata.operators.features import entity_profile, latest_non_null, median_fi
 from strata.operators.joins import left_any_match, lookup, star
 from strata.operators.ordinal import encode_labels
 from strata.operators.pivot import pivot_max
+from strata.operators.rollup import distinct_counts, distinct_state, merge_states
 from strata.operators.predict import CATEGORY_EDGES, CATEGORY_LABELS, hold_out
 from strata.operators.profile import (best_worst, category_share, count_by, coverage, fanout, footer_profile, null_profile,
                                       table_counts, top_n)
@@ -468,6 +469,11 @@ def q_page_completeness(spark, sf):
     return landing.page_report(series_documents(spark, sf, "o_custkey"), "series")
 
 
+def q_page_gaps(spark, sf):
+    """Every page that a series declares and that did not land."""
+    return landing.missing_pages(series_documents(spark, sf, "o_custkey"), "series")
+
+
 def q_payload_sizes(spark, sf):
     return landing.payload_sizes(series_documents(spark, sf), "series")
 
@@ -607,6 +613,36 @@ def q_coverage_profile(spark, sf):
     return coverage(obs, {"countries": "geo_area_code", "goals": "goal_code", "years": "year"}, "year")
 
 
+def q_distinct_grains(spark, sf):
+    """Distinct customers per goal, region, year and in all, from one stored state of two loads."""
+    dim = customer_dimension(spark, sf).select("country_code", "region")
+    obs = observations(spark, sf).select(dotted("indicator_code", 1).alias("goal_code"), "year", "geo_area_code", "indicator_code")
+    obs = obs.join(dim, obs["geo_area_code"] == dim["country_code"], "left")
+    keys = ["goal_code", "region", "year"]
+    final = F.col("indicator_code").endswith(".F")
+    loads = [distinct_state(obs.where(part), keys, "geo_area_code") for part in (final, ~final)]
+    path = scratch_path(spark, "distinct")
+    sinks.write_table(merge_states(loads, keys), path=path)
+    grains = {"goal": ["goal_code"], "region": ["region"], "year": ["year"], "goal and year": ["goal_code", "year"], "all": []}
+    return distinct_counts(spark.read.parquet(path), grains, "countries")
+
+
+def partitioned_facts(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """The progress facts in folders by year, and the time dimension, both written."""
+    facts, times = scratch_path(spark, "facts"), scratch_path(spark, "times")
+    sinks.write_table(_progress(spark, sf).repartition("year", F.pmod(F.xxhash64("country_code"), F.lit(8))), path=facts, partition_by=["year"])
+    sinks.write_table(marts.dim_time(observations(spark, sf), baseline=ERA_BASELINE, target=ERA_TARGET), path=times)
+    return spark.read.parquet(facts), spark.read.parquet(times)
+
+
+def q_era_facts(spark, sf):
+    """Facts of one era: the filtered time dimension prunes the facts' folders when the query runs."""
+    facts, times = partitioned_facts(spark, sf)
+    era = times.where(F.col("development_era") == marts.ERA_LABELS[1]).select("year", "is_sdg_baseline")
+    return _round(facts.join(era, "year").groupBy("year", "goal_code", "is_sdg_baseline").agg(
+        F.count(F.lit(1)).alias("facts"), F.max("max_indicator_value").alias("greatest"), F.min("min_indicator_value").alias("least")))
+
+
 def q_footer_counts(spark, sf):
     """Counts and key ranges of whole tables from their files' footers."""
     keys = {"orders": "o_orderkey", "customer": "c_custkey", "events": "event_id", "part": "p_partkey", "lineitem": "l_orderkey"}
@@ -892,6 +928,19 @@ def q_bucketed_table(spark, sf):
     return _round(spark.table(name).groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"), F.sum("o_totalprice").alias("total")))
 
 
+def q_described_tables(spark, sf):
+    """The descriptions that tables were written with, read back from the catalogue after a second load."""
+    parts = []
+    for name, words in {"orders": "Orders, one row each", "customer": "Customers: 'key', name", "part": "Parts \u2014 the catalogue"}.items():
+        path = scratch_path(spark, "described")
+        table = f"{name}_{path.rsplit('-', 1)[-1]}"
+        for description in ("first load", words):
+            sinks.write_table(_t(spark, sf, name), path=path, table=table, comment=description)
+        parts.append(spark.table(table).agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("table_name"), F.lit(sinks.table_description(spark, table)).cast("string").alias("description"), "rows"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def q_export_report(spark, sf):
     """Several extracts: one status row each, a failing one does not stop the others."""
     root = scratch_path(spark, "exports")
@@ -947,6 +996,10 @@ QUERIES: dict[str, Query] = {
     "table_counts": q_table_counts,
     "coverage_profile": q_coverage_profile,
     "footer_counts": q_footer_counts,
+    "distinct_grains": q_distinct_grains,
+    "era_facts": q_era_facts,
+    "page_gaps": q_page_gaps,
+    "described_tables": q_described_tables,
     "count_by_code": q_count_by_code,
     "count_by_region": q_count_by_region,
     "null_profile": q_null_profile,

@@ -55,6 +55,11 @@ def _take_place(spark: SparkSession, staged: str, path: str) -> None:
         _remove(spark, old)
 
 
+def table_description(spark: SparkSession, table: str) -> str | None:
+    """The description a catalogue table was written with."""
+    return spark.catalog.getTable(table).description
+
+
 def write_table(df: DataFrame, path: str | None = None, table: str | None = None,
                 partition_by: Sequence[str] = (), comment: str | None = None, fmt: str = "parquet",
                 bucket_by: tuple[int, Sequence[str]] | None = None) -> None:

@@ -369,3 +369,24 @@ def test_any_match_keeps_repeated_and_unmatched_rows(spark):
     cond = (left.l1 == right.r) | (left.l2 == right.r2)
     want = sorted((tuple(r) for r in left.join(right, cond, "left").collect()), key=repr)
     assert got == want
+
+
+def test_distinct_counts_of_merged_states(spark):
+    import random
+
+    from strata.operators.rollup import distinct_counts, distinct_state, merge_states
+
+    draw = random.Random(3)
+    values = [None, 0, -1, 1, 32767, 32768, 32769, -32768, 1 << 40, (1 << 62) + 5]
+    rows = [(draw.choice("ab"), draw.choice([1, 2, None]), draw.choice(values)) for _ in range(120)] + [("c", 1, None)]
+    frame = lambda part: spark.createDataFrame(part, "g string, y int, v long")
+    keys = ["g", "y"]
+    state = merge_states([distinct_state(frame(part), keys, "v") for part in (rows[:70], rows[50:])], keys)
+    got = {(r.grain, r.g, r.y): r.n for r in distinct_counts(state, {"g": ["g"], "y": ["y"], "both": keys, "all": []}, "n").collect()}
+    want = {}
+    for g, y, v in rows:
+        for key in (("g", g, None), ("y", None, y), ("both", g, y), ("all", None, None)):
+            want.setdefault(key, set()).update([] if v is None else [v])
+    assert got == {k: len(v) for k, v in want.items()}
+    none = distinct_state(frame([]), keys, "v")
+    assert [r.n for r in distinct_counts(none, {"g": ["g"], "all": []}, "n").collect()] == [0]

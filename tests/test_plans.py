@@ -105,3 +105,37 @@ def test_buckets_write_one_file_each(spark):
     sinks.write_table(spark.range(10_000).repartition(16).withColumn("k", F.col("id") % 50), path=path,
                       table="few_files", bucket_by=(8, ["k"]))
     assert len([f for f in os.listdir(local_path(path)) if f.endswith(".parquet")]) <= 8
+
+
+def test_filtered_time_dimension_prunes_the_facts(spark):
+    df = registry.q_era_facts(spark, SF01)
+    assert "dynamicpruning" in _plan(df)
+    facts, times = registry.partitioned_facts(spark, SF01)
+    joined = facts.join(times.where("development_era = 'SDG Era'"), "year")
+    joined.collect()
+
+    def scans(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return scans(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return scans(node.plan())
+        if name == "FileSourceScanExec":
+            return [node]
+        children = node.children()
+        return [x for i in range(children.size()) for x in scans(children.apply(i))]
+
+    read = {int(x.metrics().apply("numFiles").value()) for x in scans(joined._jdf.queryExecution().executedPlan())
+            if "dynamicpruning" in x.toString()}
+    wanted = len(facts.where("year between 1998 and 2000").inputFiles())
+    named = facts.select("year", F.input_file_name().alias("f")).distinct().groupBy().agg(
+        F.count_distinct("f").alias("every"), F.count_distinct(F.when(F.col("year").between(1998, 2000), F.col("f"))).alias("era")).first()
+    assert named.era < named.every <= wanted and read == {named.era}
+
+
+def test_distinct_state_is_built_before_the_shuffle(spark):
+    from strata.operators.rollup import distinct_state
+
+    df = spark.range(100_000).select((F.col("id") % 3).alias("k"), "id")
+    plan = _plan(distinct_state(df, ["k"], "id"))
+    assert "partial_bitmap_construct_agg" in plan[plan.rfind("Exchange"):]
