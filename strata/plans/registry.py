@@ -34,7 +34,7 @@ from strata.functions.classify import band, threshold
 from strata.functions.clean import safe_double
 from strata.functions.keys import dotted, prefix, surrogate_key
 from strata.operators.change import lag_delta, lag_delta_ranged
-from strata.operators.features import entity_profile, latest_non_null, median_fill
+from strata.operators.features import bracketed_medians, entity_profile, latest_non_null, median_fill
 from strata.operators.joins import left_any_match, lookup, star
 from strata.operators.ordinal import encode_labels
 from strata.operators.pivot import pivot_max
@@ -747,6 +747,15 @@ def q_median_fill(spark, sf):
         "doc_id", "quality", "toxic", "labelled_chars"))
 
 
+def q_bracket_medians(spark, sf):
+    """Lines above and below the medians of four measures, which are found inside a sketch's brackets."""
+    lines = _t(spark, sf, "lineitem")
+    measures = ["l_extendedprice", "l_quantity", "l_discount", "l_partkey"]
+    medians = bracketed_medians(lines, measures)
+    return _round(lines.groupBy("l_returnflag").agg(*[x for m in measures for x in (
+        F.lit(medians[m]).cast("double").alias(f"{m}_median"), F.count_if(F.col(m) > F.lit(medians[m])).alias(f"{m}_above"))]))
+
+
 def q_label_encode(spark, sf):
     d = _t(spark, sf, "documents").select(
         "doc_id", "lang", F.when(F.col("n_chars") < 100, F.lit(None).cast("string")).otherwise(F.col("source")).alias("source"))
@@ -1010,6 +1019,7 @@ QUERIES: dict[str, Query] = {
     "entity_profile": q_entity_profile,
     "latest_attributes": q_latest_attributes,
     "median_fill": q_median_fill,
+    "bracket_medians": q_bracket_medians,
     "label_encode": q_label_encode,
     "target_flag": q_target_flag,
     "target_summary": q_target_summary,

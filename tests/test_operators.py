@@ -390,3 +390,30 @@ def test_distinct_counts_of_merged_states(spark):
     assert got == {k: len(v) for k, v in want.items()}
     none = distinct_state(frame([]), keys, "v")
     assert [r.n for r in distinct_counts(none, {"g": ["g"], "all": []}, "n").collect()] == [0]
+
+
+def test_bracketed_medians_equal_exact_ones(spark):
+    from strata.operators.features import bracketed_medians
+
+    inf, nan = float("inf"), float("nan")
+    cases = [[1.0], [1.0, 2.0], [None, nan], [], [3.0, 3.0, 1.0, None], [-inf, inf], [inf, inf, 1.0], [-0.0, 0.0, 5e-324, 5e-324]]
+    for values in cases:
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        assert repr(bracketed_medians(df, ["x"])) == repr(exact_medians(df, ["x"])), values
+    df = spark.range(20_001).select(
+        F.pmod(F.xxhash64("id"), F.lit(10_007)).cast("double").alias("a"),
+        F.when(F.col("id") % 3 == 0, F.lit(7.0)).otherwise(F.col("id") / 7).alias("hot"),
+        F.when(F.col("id") % 2 == 0, F.col("id").cast("double")).alias("half"), F.lit(None).cast("double").alias("none"))
+    cols = ["a", "hot", "half", "none"]
+    want = exact_medians(df, cols)
+    for accuracy in (4, 100, 10_000):       # wide and narrow brackets
+        assert bracketed_medians(df, cols, accuracy) == want
+
+
+def test_bracketed_medians_open_a_bracket_that_misses(spark, monkeypatch):
+    from strata.operators import features
+
+    df = spark.range(101).select(F.col("id").cast("double").alias("x"), (F.col("id") * 2.0).alias("y"))
+    far = lambda c, shares, accuracy: F.array(F.lit(90.0), F.lit(95.0))
+    monkeypatch.setattr(features.F, "percentile_approx", lambda c, s, a: F.first(far(c, s, a)))
+    assert features.bracketed_medians(df, ["x", "y"]) == {"x": 50.0, "y": 100.0}
