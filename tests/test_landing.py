@@ -117,6 +117,21 @@ def test_missing_pages_blocks(spark):
     assert got == [("S", 7), ("S", 2048), ("S", 5000), ("T", 1), ("T", 2), ("T", 3)]
 
 
+def test_missing_pages_shuffle_no_missing_page(spark, capsys):
+    # two blocks and a page past the last declared one, twice landed pages, a series without a name
+    pages = [("S", 9, p) for p in (2, 2, 4, 5, 9, 12, 40)] + [(None, 3, 2), ("T", 4, 0), ("U", 8, 8)]
+    rows = [(s, json.dumps([{"page": p, "pages": n}, []])) for s, n, p in pages]
+    payloads = spark.createDataFrame(rows, "series string, payload string")
+    missing = landing.missing_pages(payloads, "series", block=4)
+    want = [("S", p) for p in (1, 3, 6, 7, 8)] + [(None, p) for p in (1, 2, 3)] + [("T", p) for p in (1, 2, 3, 4)] + [
+        ("U", p) for p in range(1, 8)]
+    assert sorted(((r.series, r.page) for r in missing.collect()), key=repr) == sorted(want, key=repr)
+    # missing pages may be a thousand times the landed ones: they are made after the last exchange
+    missing.explain("simple")
+    plan = capsys.readouterr().out
+    assert "Join" not in plan and plan.index("sequence(low") < plan.index("Exchange")
+
+
 def test_land_raw_reports_every_unreadable_document(spark, tmp_path):
     root = str(tmp_path / "landing")
     good = {"goals": [{"code": 1}], "targets": [{"code": "1.1"}], "indicators": [{"code": "1.1.1"}],
