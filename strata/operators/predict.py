@@ -57,6 +57,21 @@ def assemble(df: DataFrame, features: Sequence[str], name: str = "features") ->
     return VectorAssembler(inputCols=list(features), outputCol=name).transform(filled)
 
 
+TASK_ROWS = 50_000
+
+
+def dealt_out(train: DataFrame, task_rows: int = TASK_ROWS) -> DataFrame:
+    """The rows, in partitions of ``task_rows`` at most; they stay where they are if no partition holds more.
+
+    A forest keeps every row with its tree counts cached (over a kilobyte a row for 100 trees)
+    and reads it in each pass. The feature table's last exchange is far smaller than that and
+    is coalesced to a few partitions at any size, so the rows are dealt out by their number.
+    """
+    held = train.groupBy(F.spark_partition_id().alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    held = held.agg(F.sum("n").alias("rows"), F.max("n").alias("most")).first()
+    return train if (held["most"] or 0) <= task_rows else train.repartition(math.ceil(held["rows"] / task_rows))
+
+
 def fit_forest(train: DataFrame, label: str, trees: int = 100, depth: int = 10, seed: int = 42,
                features: str = "features", max_memory_mb: int = 1024, cache_node_ids: bool = True):
     """MLlib random forest (bootstrap, sqrt feature subsets per split).
@@ -64,12 +79,13 @@ def fit_forest(train: DataFrame, label: str, trees: int = 100, depth: int = 10,
     ``max_memory_mb`` lets one pass over the data grow more nodes at once and
     ``cache_node_ids`` keeps each row's node between passes (checkpointed in
     the shared folder every 10 iterations), both cutting the passes a deep
-    forest needs; neither changes the model's parameters.
+    forest needs; neither changes the model's parameters. Many rows are dealt
+    out first (``dealt_out``).
     """
     rf = RandomForestClassifier(labelCol=label, featuresCol=features, numTrees=trees,
                                 maxDepth=depth, seed=seed, maxMemoryInMB=max_memory_mb,
                                 cacheNodeIds=cache_node_ids)
-    return rf.fit(train)
+    return rf.fit(dealt_out(train.select(label, features)))
 
 
 def score(model, df: DataFrame, prob_name: str = "prediction_2030_probability",

@@ -58,3 +58,23 @@ def test_importances(run):
     values = [r.importance for r in rows]
     assert {r.feature for r in rows} == set(marts.model_features()) and len(rows) == len(marts.model_features())
     assert values == sorted(values, reverse=True) and abs(sum(values) - 1) < 0.01 and values[0] > 0
+
+
+def test_training_rows_are_dealt_out_by_their_number(spark, monkeypatch):
+    from strata.operators import predict
+    seen = []
+
+    class Forest:
+        def __init__(self, **_):
+            pass
+
+        def fit(self, train):
+            seen.append(train)
+
+    monkeypatch.setattr(predict, "RandomForestClassifier", Forest)
+    few, many = (spark.range(0, n, 1, 1).selectExpr("id AS features", "id % 2 AS label", "'x' AS name")
+                 for n in (50, predict.TASK_ROWS * 3 - 5))
+    predict.fit_forest(few, "label")
+    predict.fit_forest(many, "label")
+    assert [train.rdd.getNumPartitions() for train in seen] == [1, 3]
+    assert seen[1].selectExpr("sum(features)", "count(*)").first() == many.selectExpr("sum(features)", "count(*)").first()
