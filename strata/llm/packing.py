@@ -17,6 +17,7 @@ being interchangeable; an empty table gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -33,6 +34,7 @@ CACHE_WORDS = 500_000
 
 # fixed values: white space of the tokenizer's split, its contractions and its letters in Latin text
 _FAST = re.compile("[!-~À-ÖØ-öø-įı-ſ]+")
+_FAST_TEXT = re.compile("[!-~À-ÖØ-öø-įı-ſ\\s]*")
 _PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-įı-ſ]+|[0-9]"
                     "|[^\\sa-z0-9ß-öø-įı-ſ]+")
 _NOT_SPLIT = "\x1c\x1d\x1e\x1f"
@@ -45,14 +47,30 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) if b in kept else chr(256 + others.index(b)) for b in range(256)}
 
 
+class PieceIds(dict):
+    """The ids of each piece as bytes; a piece that is not remembered goes to the model."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.model = model
+        self.letters = _byte_letters()
+
+    def __missing__(self, piece: str) -> bytes:
+        text = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+        ids = [t.id for t in self.model.tokenize(text)]
+        got = self[piece] = struct.pack(f"<{len(ids)}I", *ids)
+        return got
+
+
 class WordTokenizer:
-    """Whole-text token ids as little-endian bytes, remembered word by word.
+    """Whole-text token ids as little-endian bytes, remembered piece by piece.
 
     White space separates the tokenizer's pieces, so a text's ids are those of its
-    words in order. A word of Latin letters and printable ASCII is split here and only
-    its pieces go to the model; any other word, and any text with the file's special
+    words in order. A text of Latin letters, printable ASCII and white space is split
+    here in one go and only its pieces go to the model. Other texts are taken word by
+    word: such a word is split here, any other word, and any text with the file's special
     tokens or with separators that only Python splits at, goes to the tokenizer whole.
-    The memory for words is emptied when full, which changes no result.
+    The memories for pieces and words are emptied when full, which changes no result.
     """
 
     def __init__(self, path: str):
@@ -62,16 +80,7 @@ class WordTokenizer:
         self.model = self.full.model
         self.special = [t.content for t in self.full.get_added_tokens_decoder().values()]
         self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-        self.letters = _byte_letters()
-
-    def _piece(self, piece: str) -> bytes:
-        got = self.pieces.get(piece)
-        if got is None:
-            text = piece if piece.isascii() else "".join(self.letters[b] for b in piece.encode())
-            got = np.array([t.id for t in self.model.tokenize(text)], dtype="<u4").tobytes()
-            self.pieces[piece] = got
-        return got
+        self.pieces = PieceIds(self.model)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
@@ -81,19 +90,22 @@ class WordTokenizer:
         if len(self.words) > CACHE_WORDS:
             self.words = {}
         if len(self.pieces) > CACHE_WORDS:
-            self.pieces = {}
+            self.pieces.clear()
+        piece = self.pieces.__getitem__
         plain = [not any(c in t for c in _NOT_SPLIT) and not any(s in t for s in self.special) for t in texts]
-        split = [t.split() if ok else [] for t, ok in zip(texts, plain)]
+        fast = [ok and _FAST_TEXT.fullmatch(t) is not None for t, ok in zip(texts, plain)]
+        split = [t.split() if ok and not quick else [] for t, ok, quick in zip(texts, plain, fast)]
         missing = {w for ws in split for w in ws} - self.words.keys()
         slow = []
         for word in missing:
             if _FAST.fullmatch(word):
-                self.words[word] = b"".join(map(self._piece, _PIECE.findall(word.lower())))
+                self.words[word] = b"".join(map(piece, _PIECE.findall(word.lower())))
             else:
                 slow.append(word)
         self.words.update(zip(slow, self._whole(slow)))
         get = self.words.__getitem__
-        ids = [b"".join(map(get, ws)) for ws in split]
+        ids = [b"".join(map(piece, _PIECE.findall(t.lower()))) if quick else b"".join(map(get, ws))
+               for t, ws, quick in zip(texts, split, fast)]
         rest = [i for i, ok in enumerate(plain) if not ok]
         for i, whole in zip(rest, self._whole([texts[i] for i in rest])):
             ids[i] = whole

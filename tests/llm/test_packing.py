@@ -18,6 +18,16 @@ def test_word_ids_equal_the_tokenizers():
     assert got == [full.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_plain_texts_are_split_in_one_go():
+    full, own = Tokenizer.from_file(PATH), WordTokenizer(PATH)
+    plain = "Foo foo, FOO!\tfoo\u0085Été\xa0été it's\r\nIT'S 12"
+    texts = [plain, plain + " 日本 foo,", plain + " x\x1cy", "", " \n"]
+    assert len(own.encode([plain])) == 1
+    assert not own.words and own.pieces.keys() == {"foo", ",", "!", "été", "it", "'s", "1", "2"}  # no word of its own
+    got = [np.frombuffer(b, "<u4").tolist() for b in own.encode(texts)]
+    assert got == [full.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_best_fit_takes_the_tightest_window():
     lengths = [7, 6, 5, 3, 2, 2, 1]
     sequences, offsets = best_fit_decreasing(lengths, 10)
