@@ -4,8 +4,8 @@ import numpy as np
 
 from pyspark.sql import functions as F
 
-from strata.llm.passages import (_LINK, SLACK, agreeing_runs, compact_windows, matched_places, repeated_passages, run_blocks,
-                                 verbatim_passages, window_blocks)
+from strata.llm.passages import (_LINK, _WINDOW, SLACK, agreeing_runs, compact_windows, matched_places, near_links,
+                                 repeated_passages, run_blocks, verbatim_passages, window_blocks)
 
 
 def test_compact_windows_against_brute_force():
@@ -158,6 +158,49 @@ def test_empty_and_repeated_rows(spark, documents):
     assert all(r.n_dup_words == 80 and r.component_id == 7 for r in rows)
 
 
+def test_no_near_copy_is_lost_among_pieces_of_it(spark, documents):
+    draw = random.Random(41)
+    fresh = lambda n: [f"w{draw.randrange(100_000)}" for _ in range(n)]
+    texts, pairs = [], []
+    for _ in range(30):
+        passage = fresh(64)
+        other = list(passage)
+        other[draw.randrange(20, 44)] = "changed"
+        pairs.append((len(texts), len(texts) + 1))
+        texts += [" ".join(fresh(60) + p + fresh(60)) for p in (passage, other)]
+        for p in (passage, other):  # shorter documents, so leaders, that hold too little of it
+            texts += [" ".join(fresh(4) + p[a:a + 46] + fresh(4)) for a in range(0, 19, 2)]
+    rows = {r.doc_id: r for r in repeated_passages(documents(texts)).collect()}
+    found = [(a, b) for a, b in pairs if min(rows[a].n_dup_words, rows[b].n_dup_words) >= 60]
+    assert len(found) >= 0.97 * len(pairs)
+    assert all(rows[b].component_id == a for a, b in found)
+
+
+def test_near_windows_are_linked_or_share_a_leader():
+    draw = np.random.default_rng(3)
+    runs = [[k for k in range(a, a + 9) if k] for a in range(-8, 1)]
+    for _ in range(100):
+        n = int(draw.integers(0, 50))
+        windows, tiles = np.zeros(n, _WINDOW), draw.integers(1, 255, (3, 16))[draw.integers(0, 3, n)].astype(np.uint8)
+        changed = draw.random((n, 16)) < 0.15
+        tiles[changed] = draw.integers(1, 5, changed.sum())
+        for i in range(n):  # documents' ends
+            tiles[i, draw.integers(4, 9):8] = 0
+        windows["value"], windows["key"] = draw.integers(1, 3, n).astype(np.uint64) << np.uint64(62), np.arange(n)
+        windows["back"], windows["ahead"] = (np.ascontiguousarray(x).view("<u8").reshape(-1) for x in (tiles[:, :8], tiles[:, 8:]))
+        tile = lambda i, k: int(tiles[i, k + 7 if k > 0 else -k - 1])  # noqa: E731, B023
+        near = lambda i, j: windows["value"][i] == windows["value"][j] and any(
+            sum(tile(i, k) != tile(j, k) or not tile(i, k) for k in run) < 2 for run in runs)  # noqa: B023
+        linked = {}
+        for x in near_links(windows):
+            linked.setdefault(int(x["member"]), set()).add(int(x["leader"]))
+            linked.setdefault(int(x["leader"]), set()).add(int(x["member"]))
+        for i in range(n):
+            for j in range(i):
+                if near(i, j):
+                    assert j in linked.get(i, ()) or linked.get(i, set()) & linked.get(j, set())
+
+
 def test_links_of_one_alignment_leave_a_task_once(spark, documents):
     draw = random.Random(3)
     text = " ".join(f"w{draw.randrange(100_000)}" for _ in range(400))
