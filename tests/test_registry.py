@@ -1,5 +1,6 @@
 """Every registered query against its DuckDB oracle on the sf0.01 tables."""
 
+import json
 import os
 import sys
 
@@ -51,3 +52,26 @@ def test_hold_out_is_stable_and_near_fraction(spark):
     assert a == b
     share = sum(a.values()) / len(a)
     assert 0.15 < share < 0.25
+
+
+def test_series_documents_deal_out_records_once(spark, tmp_path, capsys):
+    import datetime
+    from decimal import Decimal
+
+    from strata.plans.registry import series_documents
+    rows = [(k, c, "O", Decimal("1.50"), datetime.date(2001, 1, 1), "5-LOW") for k, c in
+            ((1, 7), (2, 7), (1500, 7), (1500, 7), (2100, 8), (3, None))]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice decimal(15,2), o_orderdate date, "
+                                "o_orderpriority string").write.parquet(str(tmp_path / "orders.parquet"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with very many series
+    try:
+        docs = series_documents(spark, str(tmp_path), "o_custkey")
+        headers = sorted((r.series, json.loads(r.payload)[0]["page"], json.loads(r.payload)[0]["total"], len(json.loads(r.payload)[1]))
+                         for r in docs.collect())
+        series_documents(spark, str(tmp_path), "o_custkey").explain("simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert headers == [(7, 1, 4, 2), (7, 2, 4, 2), (8, 3, 1, 1)]
+    plan = capsys.readouterr().out
+    assert plan.index("collect_list") < plan.index("SortMergeJoin") < plan.index("Exchange hashpartitioning")
